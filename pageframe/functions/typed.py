@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,10 +15,29 @@ WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 NUMBERS = (*WHOLE_NUMBERS, T.FloatType, T.DoubleType, T.DecimalType)
 
 
+# Whole numbers below this size are exact as doubles.
+EXACT = float(2**53)
+
+
 def read_variant(value: Column, parts: list[str], dtype: T.DataType) -> Column:
     return variant_at(value, parts, as_nullable(dtype).simpleString())
 
 
+def read_kind(dtype: T.DataType) -> T.DataType:
+    """What a field is read as at first. A whole number is read as a double, which keeps its
+    fraction; reading it as an integer would cut the fraction off unseen."""
+    return T.DoubleType() if isinstance(dtype, WHOLE_NUMBERS) else dtype
+
+
+def settle(first: Column, value: Column, parts: list[str], dtype: T.DataType) -> Column:
+    """The typed value from the first read. A fraction gives NULL; a number too large for an
+    exact double is read again as an integer."""
+    if not isinstance(dtype, WHOLE_NUMBERS):
+        return first
+    exact = F.when(first == F.floor(first), first.try_cast(dtype))
+    return F.when(F.abs(first) < EXACT, exact).otherwise(read_variant(value, parts, dtype))
+
+
 def fits(value: Column, dtype: T.DataType, nullable: bool) -> Column:
     """True if the variant ``value`` converts to ``dtype`` without loss, all nested values included."""
     if isinstance(dtype, T.VariantType):
@@ -77,12 +98,41 @@ def text_to(value: Column, dtype: T.DataType) -> Column:
     return value.try_cast(dtype)
 
 
+def aside(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)``, evaluated outside the generated code.
+
+    Meant for large expressions that few rows need: inside a stage they would push its
+    methods over the size that the JVM compiles.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 # How a mapped field turned out.
 FINE, WRONG, MISSING, NULL, BLOCKED = 0, 1, 2, 3, 4
 
 
-def json_field_state(item: Column, typed: Column, parts: list[str], field: T.StructField) -> Column:
-    """State of a mapped JSON field of an element; ``typed`` is its already read value."""
+def is_plainly_fine(item: Column, typed: Column, parts: list[str], field: T.StructField) -> Column:
+    """A cheap test that holds for most values. If it fails, the field may still be fine."""
+    dtype = field.dataType
+    if isinstance(dtype, T.StringType):
+        fine = ~(typed.startswith("{") | typed.startswith("[") | typed.isin("true", "false"))
+    elif isinstance(dtype, T.BooleanType):
+        fine = F.schema_of_variant(variant_at(item, parts)) == "BOOLEAN"
+    elif isinstance(dtype, NUMBERS):
+        fine = ~typed.isin(0, 1)
+    elif _checked_inside(dtype):
+        fine = fits(variant_at(item, parts), dtype, field.nullable)
+        return fine if len(parts) < 2 else fine & typed.isNotNull()
+    else:
+        fine = typed.isNotNull()
+    fine = F.coalesce(fine, F.lit(False))
+    if field.nullable and len(parts) < 2:
+        fine = fine | variant_at(item, parts).isNull()
+    return fine
+
+
+def json_field_state(item: Column, parts: list[str], field: T.StructField) -> Column:
+    """State of a mapped JSON field of an element."""
     raw = variant_at(item, parts)
     if _checked_inside(field.dataType):
         good = fits(raw, field.dataType, field.nullable)
@@ -90,12 +140,10 @@ def json_field_state(item: Column, typed: Column, parts: list[str], field: T.Str
         good = F.lit(True)
     else:
         good = leaf_fits(item, parts, field.dataType)
-    blocked = F.lit(False)
+    missing = F.lit(FINE if field.nullable else MISSING)
     for depth in range(1, len(parts)):
         here = variant_at(item, parts[:depth])
-        blocked = blocked | (here.isNotNull() & ~F.is_variant_null(here) & ~is_object(item, parts[:depth]))
-    missing = F.lit(FINE if field.nullable else MISSING)
-    if len(parts) > 1:
+        blocked = here.isNotNull() & ~F.is_variant_null(here) & ~is_object(item, parts[:depth])
         missing = F.when(blocked, F.lit(BLOCKED)).otherwise(missing)
     return (
         F.when(raw.isNull(), missing)

@@ -58,10 +58,12 @@ def finish(
     keep = F.col("error").isNull()
     if partial is not None:
         keep = keep | partial
-    return df.withColumn("error", error).select(
-        *KEYS,
+    outcome = F.struct(
         F.col("entry_no").cast("bigint").alias("entry_no"),
         F.when(keep, record).otherwise(empty).alias("record"),
-        "error",
+        F.col("error"),
         F.when(is_success(), F.lit(handling)).otherwise(F.col("after_retry")).alias("handling"),
     )
+    # The outcome is generated, not projected: a filter on ``error`` would else be pushed below
+    # the projection with a second copy of all that ``error`` is made of.
+    return df.withColumn("error", error).select(*KEYS, F.inline(F.array(outcome)))

@@ -130,7 +130,8 @@ def resolve_attempts(
 
     Attempts go on until the first status that is not retryable or until the retry budget is
     used up; then the last status within the budget stands. The first attempt always counts.
-    All parts are min/max aggregates, so they combine before the shuffle.
+    ``attempt`` is the one whose status stands. All parts are min/max aggregates, so they
+    combine before the shuffle.
     """
     marked = with_strategy(attempts, rules)
     in_budget = (F.col("elapsed_s") <= max_retry_duration_s) | (F.col("attempt") == 1)
@@ -144,7 +145,7 @@ def resolve_attempts(
         F.col("_final").isNull().alias("timed_out"),
     ).select(
         *keys,
-        F.col("_o.attempt").alias("n_attempts"),
+        F.col("_o.attempt").alias("attempt"),
         F.col("_o.status").alias("status"),
         F.col("_o.strategy").alias("strategy"),
         F.col("_o.after_retry").alias("after_retry"),

@@ -7,7 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageframe.functions.paths import as_array, is_object, split_path, variant_at
-from pageframe.functions.typed import BLOCKED, FINE, MISSING, NULL, WRONG, json_field_state, read_variant
+from pageframe.functions.typed import (
+    BLOCKED,
+    MISSING,
+    NULL,
+    WRONG,
+    aside,
+    is_plainly_fine,
+    json_field_state,
+    read_kind,
+    read_variant,
+    settle,
+)
 from pageframe.operators.entries import (
     NOT_ALL_FOUND,
     PAGE,
@@ -84,48 +95,48 @@ def json_entries(
     inner = entry
     for d in range(len(parts)):
         inner = F.when(F.col("depth") == d, variant_at(entry, parts[d:])).otherwise(inner)
-    rows = rows.select(*PAGE, "page_error", "entry_no", "entry", inner.alias("item"))
+    rows = rows.select(*PAGE, "page_error", "entry_no", is_object(entry).alias("is_object"), inner.alias("item"))
 
     values = [f"v{i}" for i in range(len(schema))]
-    states = [f"s{i}" for i in range(len(schema))]
-    typed = rows.select(
+    fields = list(zip(paths, schema, values, strict=True))
+    first = rows.select("*", *[read_variant(item, p, read_kind(f.dataType)).alias(v) for p, f, v in fields])
+    typed = first.select(
         *PAGE,
         "page_error",
         "entry_no",
+        "is_object",
         "item",
-        is_object(entry).alias("is_object"),
-        *[read_variant(item, p, f.dataType).alias(v) for p, f, v in zip(paths, schema, values, strict=True)],
-    )
-    judged = typed.select(
-        "*",
-        *[
-            json_field_state(item, F.col(v), p, f).alias(s)
-            for p, f, v, s in zip(paths, schema, values, states, strict=True)
-        ],
+        *[settle(F.col(v), item, p, f.dataType).alias(v) for p, f, v in fields],
     )
+    plain = F.col("is_object")
+    for p, f, v in fields:
+        plain = plain & is_plainly_fine(item, F.col(v), p, f)
+    pair = F.struct("is_object", "item")
+    problem = F.when(F.col("page_error").isNull() & ~plain, aside(pair, lambda e: element_error(e, schema, paths)))
+    return finish(typed, schema, problem, handling, [F.col(v) for v in values], partial=F.col("error.code") == 1)
+
 
+def element_error(pair: Column, schema: T.StructType, paths: list[list[str]]) -> Column:
+    """Error of an element, NULL if there is none.
+
+    A field that is null where it must not be, or of another type, gives code 0; required
+    fields that were not found give code 1, and the record stays with the error.
+    """
+    item = pair["item"]
     body = F.to_json(
         F.struct(*[variant_at(item, p).alias(f.name) for p, f in zip(paths, schema, strict=True)]),
         {"ignoreNullFields": "false"},
     )
-    reason = F.when(~F.col("is_object"), F.lit("the element is not an object"))
+    reason = F.when(~pair["is_object"], F.lit("the element is not an object"))
     partial = F.lit(False)
-    for f, s in zip(schema, states, strict=True):
-        state = F.col(s)
+    for f, p in zip(schema, paths, strict=True):
+        state = json_field_state(item, p, f)
         reason = reason.when(state == WRONG, F.lit(f"field '{f.name}' is not of type {f.dataType.simpleString()}"))
         reason = reason.when(
             state == NULL,
             F.lit(f"field '{f.name}' is null. Check if the field should be set to Nullable in the output schema."),
         )
         partial = partial | state.isin(MISSING, BLOCKED)
-    entry_error = F.when(reason.isNotNull(), line_error(F.coalesce(body, F.lit("null")), reason)).when(
+    return F.when(reason.isNotNull(), line_error(F.coalesce(body, F.lit("null")), reason)).when(
         partial, make_error(1, F.lit(NOT_ALL_FOUND), body)
     )
-    return finish(
-        judged,
-        schema,
-        entry_error,
-        handling,
-        [F.when(F.col(s) == FINE, F.col(v)) for v, s in zip(values, states, strict=True)],
-        partial=F.col("error.code") == 1,
-    )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageframe.functions.text import lines
-from pageframe.functions.typed import text_to
+from pageframe.functions.typed import aside, text_to
 from pageframe.operators.entries import (
     PAGE,
     explode_entries,
@@ -21,8 +21,8 @@ from pageframe.operators.entries import (
 
 # Fixed value: delimiter per format.
 DELIMITERS = {"csv": ",", "tsv": "\t"}
-# Appended as one more value, to tell how many values a quoted line holds.
-_END = "\x01"
+# Appended as one more value, to tell how many values a quoted line holds (a private-use character).
+_END = "\ue000"
 
 
 def split_line(line: Column, delimiter: str, n: int, quoted: bool) -> Column:
@@ -87,25 +87,43 @@ def delimited_entries(
     raw = [f"r{i}" for i in range(n)]
     rows = rows.select("*", *[F.get("pieces", F.lit(i)).alias(r) for i, r in enumerate(raw)])
 
-    values, reasons = [], []
+    values = [f"v{i}" for i in range(n)]
+    rows = rows.select(
+        *PAGE, "page_error", "entry_no", "entry", "pieces", *raw,
+        *[_typed(F.col(r), f).alias(v) for f, r, v in zip(schema, raw, values, strict=True)],
+    )
+    plain = F.size("pieces") <= n
     if quoted:
-        reasons.append((has_open_quote(line), "a quote is not closed"))
-    reasons.append((F.size("pieces") > n, f"more than {n} columns"))
-    for field, r in zip(schema, raw, strict=True):
-        text = F.col(r)
-        is_text = isinstance(field.dataType, T.StringType)
-        value = text_to(text if is_text and not field.nullable else F.nullif(text, F.lit("")), field.dataType)
-        values.append(value)
+        plain = plain & ~has_open_quote(line)
+    for field, r, v in zip(schema, raw, values, strict=True):
+        if not field.nullable:
+            plain = plain & F.col(v).isNotNull()
+        elif not isinstance(field.dataType, T.StringType):
+            plain = plain & (F.col(v).isNotNull() | F.col(r).isNull() | (F.col(r) == ""))
+    row = F.struct(line.alias("line"), F.col("pieces"))
+    problem = F.when(F.col("page_error").isNull() & ~plain, aside(row, lambda e: row_error(e, schema, quoted)))
+    return finish(rows, schema, problem, handling, [F.col(v) for v in values], None)
+
+
+def _typed(text: Column, field: T.StructField) -> Column:
+    """A value of a line; an empty one is NULL, but for text that must not be null."""
+    keeps_empty = isinstance(field.dataType, T.StringType) and not field.nullable
+    return text_to(text if keeps_empty else F.nullif(text, F.lit("")), field.dataType)
+
+
+def row_error(row: Column, schema: T.StructType, quoted: bool) -> Column:
+    """Error of a line: the first thing that is wrong with it."""
+    line, pieces, n = row["line"], row["pieces"], len(schema)
+    reasons = [(has_open_quote(line), "a quote is not closed")] if quoted else []
+    reasons.append((F.size(pieces) > n, f"more than {n} columns"))
+    for i, field in enumerate(schema):
+        text = F.get(pieces, F.lit(i))
         if not field.nullable:
             reasons.append((text.isNull(), f"no value for field '{field.name}', which is not nullable"))
-        if not is_text:
-            filled = text.isNotNull() if not field.nullable else (text != "")
-            reasons.append(
-                (filled & value.isNull(), f"field '{field.name}' is not of type {field.dataType.simpleString()}")
-            )
-    reason = first_reason(reasons)
-    error = F.when(reason.isNotNull(), line_error(line, reason))
-    return finish(rows, schema, error, handling, values, None)
+        filled = text.isNotNull() if not field.nullable else F.coalesce(text != "", F.lit(False))
+        wrong = filled & _typed(text, field).isNull()
+        reasons.append((wrong, f"field '{field.name}' is not of type {field.dataType.simpleString()}"))
+    return line_error(line, F.coalesce(first_reason(reasons), F.lit("unknown")))
 
 
 def blob_entries(pages: DataFrame, schema: T.StructType, handling: str) -> DataFrame:

@@ -49,7 +49,7 @@ def response_columns(responses: DataFrame, *header_names: str) -> DataFrame:
     return responses.select(
         *KEYS,
         "status",
-        F.octet_length("body").alias("n_bytes"),
+        F.octet_length("body").cast("bigint").alias("n_bytes"),
         body_text(F.col("body")).alias("text"),
         F.xxhash64("body").alias("page_hash"),
         *[first_header(F.col("headers"), n).alias(f"header_{n.lower().replace('-', '_')}") for n in header_names],

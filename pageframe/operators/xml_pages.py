@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageframe.functions.typed import text_to
+from pageframe.functions.typed import aside, text_to
 from pageframe.functions.xpaths import (
     Node,
     XPath,
@@ -94,29 +94,35 @@ def xml_entries(
     raw = [f"r{i}" for i in range(len(schema))]
     rows = rows.select("*", *[select_text(F.col("entry"), element, p).alias(r) for p, r in zip(fields, raw, strict=True)])
 
-    values, reasons = [], []
-    for field, r in zip(schema, raw, strict=True):
-        text = F.col(r)
-        is_text = isinstance(field.dataType, T.StringType)
-        value = text_to(text if is_text and not field.nullable else F.nullif(text, F.lit("")), field.dataType)
-        values.append(value)
+    values = [f"v{i}" for i in range(len(schema))]
+    rows = rows.select("*", *[_typed(F.col(r), f).alias(v) for f, r, v in zip(schema, raw, values, strict=True)])
+    plain = F.lit(True)
+    for field, r, v in zip(schema, raw, values, strict=True):
         if not field.nullable:
-            reasons.append(
-                (
-                    value.isNull() & (F.lit(True) if is_text else (text.isNull() | (text == ""))),
-                    f"field '{field.name}' is null. Check if the field should be set to Nullable in the output schema.",
-                )
-            )
-        if not is_text:
-            reasons.append(
-                (
-                    (text != "") & value.isNull(),
-                    f"field '{field.name}' is not of type {field.dataType.simpleString()}",
-                )
-            )
-    reason = first_reason(reasons)
-    body = F.to_json(
-        F.struct(*[F.col(r).alias(f.name) for r, f in zip(raw, schema, strict=True)]), {"ignoreNullFields": "false"}
-    )
-    error = F.when(reason.isNotNull(), line_error(body, reason))
-    return finish(rows, schema, error, handling, values, None)
+            plain = plain & F.col(v).isNotNull()
+        elif not isinstance(field.dataType, T.StringType):
+            plain = plain & (F.col(v).isNotNull() | F.col(r).isNull() | (F.col(r) == ""))
+    row = F.struct(*[F.col(r).alias(f.name) for f, r in zip(schema, raw, strict=True)])
+    problem = F.when(F.col("page_error").isNull() & ~plain, aside(row, lambda e: element_error(e, schema)))
+    return finish(rows, schema, problem, handling, [F.col(v) for v in values], None)
+
+
+def _typed(text: Column, field: T.StructField) -> Column:
+    """A node's text; an empty one is NULL, but for text that must not be null."""
+    keeps_empty = isinstance(field.dataType, T.StringType) and not field.nullable
+    return text_to(text if keeps_empty else F.nullif(text, F.lit("")), field.dataType)
+
+
+def element_error(texts: Column, schema: T.StructType) -> Column:
+    """Error of an element: its first field that is null where it must not be, or of another type."""
+    reasons = []
+    for field in schema:
+        text = texts[field.name]
+        no_value = text.isNull() if isinstance(field.dataType, T.StringType) else text.isNull() | (text == "")
+        if not field.nullable:
+            advice = "Check if the field should be set to Nullable in the output schema."
+            reasons.append((no_value, f"field '{field.name}' is null. {advice}"))
+        wrong = F.coalesce(text != "", F.lit(False)) & _typed(text, field).isNull()
+        reasons.append((wrong, f"field '{field.name}' is not of type {field.dataType.simpleString()}"))
+    body = F.to_json(texts, {"ignoreNullFields": "false"})
+    return line_error(body, F.coalesce(first_reason(reasons), F.lit("unknown")))
