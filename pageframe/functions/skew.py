@@ -60,8 +60,6 @@ def lookup(
     right are copied; all other keys join as usual. ``left`` is read more than once, so it
     should be a written frame.
     """
-    if left.count() <= hot_rows:
-        return left.join(right, key)
     hot = left.groupBy(key).count().filter(F.col("count") > hot_rows).select(key)
     marks, _ = broadcast_if_small(hot.withColumn("_hot", F.lit(True)))
     if marks.isEmpty():

@@ -1,89 +1,134 @@
-"""Typed reads that tell a missing value, a null and a value of the wrong type apart."""
+"""Typed reads that tell a missing value, a null and a value of the wrong type apart.
 
-from __future__ import annotations
+The tests are SQL text: they are long, and a text is one call to the JVM instead of hundreds.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageframe.functions.paths import as_array, is_object, variant_at
+from pageframe.functions.paths import variant_path
 from pageframe.functions.schemas import as_nullable
 
 WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 NUMBERS = (*WHOLE_NUMBERS, T.FloatType, T.DoubleType, T.DecimalType)
+NESTED = (T.ArrayType, T.MapType, T.StructType)
+# Whole numbers below this size are exact as doubles.
+EXACT = 2**53
 
+# How a mapped field turned out.
+FINE, WRONG, MISSING, NULL, BLOCKED = 0, 1, 2, 3, 4
 
-# Whole numbers below this size are exact as doubles.
-EXACT = float(2**53)
+
+def quote(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def read_variant(value: Column, parts: list[str], dtype: T.DataType) -> Column:
-    return variant_at(value, parts, as_nullable(dtype).simpleString())
+def at(value: str, parts: list[str], ddl: str = "variant") -> str:
+    return f"try_variant_get({value}, {quote(variant_path(parts))}, {quote(ddl)})"
 
 
-def read_kind(dtype: T.DataType) -> T.DataType:
-    """What a field is read as at first. A whole number is read as a double, which keeps its
-    fraction; reading it as an integer would cut the fraction off unseen."""
-    return T.DoubleType() if isinstance(dtype, WHOLE_NUMBERS) else dtype
+def is_object(value: str, parts: list[str] | None = None) -> str:
+    return f"{at(value, parts or [], 'struct<>')} IS NOT NULL"
 
 
-def settle(first: Column, value: Column, parts: list[str], dtype: T.DataType) -> Column:
+def read(value: str, parts: list[str], dtype: T.DataType) -> str:
+    """First read of a field.
+
+    A whole number is read as a double, which keeps its fraction; reading it as an integer
+    would cut the fraction off unseen.
+    """
+    first = T.DoubleType() if isinstance(dtype, WHOLE_NUMBERS) else dtype
+    return at(value, parts, as_nullable(first).simpleString())
+
+
+def settle(first: str, value: str, parts: list[str], dtype: T.DataType) -> str:
     """The typed value from the first read. A fraction gives NULL; a number too large for an
     exact double is read again as an integer."""
     if not isinstance(dtype, WHOLE_NUMBERS):
         return first
-    exact = F.when(first == F.floor(first), first.try_cast(dtype))
-    return F.when(F.abs(first) < EXACT, exact).otherwise(read_variant(value, parts, dtype))
+    name = dtype.simpleString()
+    exact = f"CASE WHEN {first} = floor({first}) THEN try_cast({first} AS {name}) END"
+    return f"CASE WHEN abs({first}) < {EXACT} THEN {exact} ELSE {at(value, parts, name)} END"
+
+
+def leaf_fits(value: str, parts: list[str], dtype: T.DataType) -> str:
+    """True if the value converts to the simple type ``dtype`` without loss."""
+    typed = at(value, parts, dtype.simpleString())
+    kind = f"schema_of_variant({at(value, parts)})"
+    if isinstance(dtype, T.StringType):
+        return f"({typed} IS NOT NULL AND {kind} <> 'BOOLEAN' AND NOT startswith({kind}, 'OBJECT') AND NOT startswith({kind}, 'ARRAY'))"
+    if isinstance(dtype, T.BooleanType):
+        return f"({typed} IS NOT NULL AND {kind} = 'BOOLEAN')"
+    if isinstance(dtype, WHOLE_NUMBERS):
+        same = f"{at(value, parts, 'double')} = CAST({typed} AS DOUBLE)"
+        return f"({typed} IS NOT NULL AND {kind} <> 'BOOLEAN' AND {same})"
+    if isinstance(dtype, NUMBERS):
+        return f"({typed} IS NOT NULL AND {kind} <> 'BOOLEAN')"
+    return f"({typed} IS NOT NULL)"
 
 
-def fits(value: Column, dtype: T.DataType, nullable: bool) -> Column:
-    """True if the variant ``value`` converts to ``dtype`` without loss, all nested values included."""
+def fits(value: str, parts: list[str], dtype: T.DataType, nullable: bool, depth: int = 0) -> str:
+    """True if the value converts to ``dtype`` without loss, all nested values included."""
+    x = f"x{depth}"
     if isinstance(dtype, T.VariantType):
-        ok = F.lit(True)
+        ok = "true"
     elif isinstance(dtype, T.ArrayType):
-        items = as_array(value)
-        ok = items.isNotNull() & F.forall(items, lambda x: fits(x, dtype.elementType, dtype.containsNull))
+        items = at(value, parts, "array<variant>")
+        ok = f"coalesce(forall({items}, {x} -> {fits(x, [], dtype.elementType, dtype.containsNull, depth + 1)}), false)"
     elif isinstance(dtype, T.MapType):
-        items = F.map_values(variant_at(value, [], "map<string,variant>"))
-        ok = items.isNotNull() & F.forall(items, lambda x: fits(x, dtype.valueType, dtype.valueContainsNull))
+        items = f"map_values({at(value, parts, 'map<string,variant>')})"
+        ok = f"coalesce(forall({items}, {x} -> {fits(x, [], dtype.valueType, dtype.valueContainsNull, depth + 1)}), false)"
     elif isinstance(dtype, T.StructType):
-        ok = is_object(value)
-        for field in dtype:
-            inner = variant_at(value, [field.name])
-            if _checked_inside(field.dataType) or not field.nullable:
-                ok = ok & F.coalesce(fits(inner, field.dataType, field.nullable), F.lit(field.nullable))
-            else:
-                ok = ok & (inner.isNull() | F.is_variant_null(inner) | leaf_fits(value, [field.name], field.dataType))
+        tests = [is_object(value, parts)]
+        tests += [fits(value, [*parts, f.name], f.dataType, f.nullable, depth) for f in dtype]
+        ok = "(" + " AND ".join(tests) + ")"
     else:
-        ok = leaf_fits(value, [], dtype)
-    return F.when(value.isNull(), F.lit(nullable)).when(F.is_variant_null(value), F.lit(nullable)).otherwise(ok)
+        ok = leaf_fits(value, parts, dtype)
+    absent = str(nullable).lower()
+    raw = at(value, parts)
+    return f"CASE WHEN {raw} IS NULL OR is_variant_null({raw}) THEN {absent} ELSE {ok} END"
 
 
-def _checked_inside(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.ArrayType, T.MapType, T.StructType))
-
+def is_plainly_fine(item: str, typed: str, parts: list[str], field: T.StructField) -> str:
+    """A cheap test that holds for most values. If it fails, the field may still be fine."""
+    dtype = field.dataType
+    if isinstance(dtype, T.StringType):
+        fine = f"NOT (startswith({typed}, '{{') OR startswith({typed}, '[') OR {typed} IN ('true', 'false'))"
+    elif isinstance(dtype, T.BooleanType):
+        fine = f"schema_of_variant({at(item, parts)}) = 'BOOLEAN'"
+    elif isinstance(dtype, NUMBERS):
+        fine = f"{typed} NOT IN (0, 1)"
+    elif isinstance(dtype, NESTED):
+        fine = f"{fits(item, parts, dtype, field.nullable)} AND {typed} IS NOT NULL"
+    else:
+        fine = f"{typed} IS NOT NULL"
+    fine = f"coalesce({fine}, false)"
+    if field.nullable and len(parts) < 2:
+        fine = f"({fine} OR {at(item, parts)} IS NULL)"
+    return fine
 
-def leaf_fits(value: Column, parts: list[str], dtype: T.DataType) -> Column:
-    """True if the value at ``parts`` converts to the simple type ``dtype`` without loss.
 
-    The kind of the value (boolean, text, ...) is looked up only where the typed value alone
-    cannot tell, as for the text ``true`` or the number 1.
-    """
-    typed = read_variant(value, parts, dtype)
-    kind = F.schema_of_variant(variant_at(value, parts))
-    if isinstance(dtype, T.StringType):
-        unclear = typed.startswith("{") | typed.startswith("[") | typed.isin("true", "false")
-        return typed.isNotNull() & (~unclear | (kind == "STRING"))
-    if isinstance(dtype, T.BooleanType):
-        return typed.isNotNull() & (kind == "BOOLEAN")
-    if isinstance(dtype, NUMBERS):
-        ok = typed.isNotNull() & (~typed.isin(0, 1) | (kind != "BOOLEAN"))
-        if isinstance(dtype, WHOLE_NUMBERS):
-            ok = ok & (variant_at(value, parts, "double") == typed.cast("double"))
-        return ok
-    return typed.isNotNull()
+def field_state(item: str, parts: list[str], field: T.StructField) -> str:
+    """State of a mapped field of an element."""
+    raw = at(item, parts)
+    if isinstance(field.dataType, (*NESTED, T.VariantType)):
+        good = fits(item, parts, field.dataType, field.nullable)
+    else:
+        good = leaf_fits(item, parts, field.dataType)
+    missing = str(FINE if field.nullable else MISSING)
+    for depth in range(1, len(parts)):
+        here = at(item, parts[:depth])
+        blocked = f"{here} IS NOT NULL AND NOT is_variant_null({here}) AND NOT ({is_object(item, parts[:depth])})"
+        missing = f"CASE WHEN {blocked} THEN {BLOCKED} ELSE {missing} END"
+    return (
+        f"CASE WHEN {raw} IS NULL THEN {missing} "
+        f"WHEN is_variant_null({raw}) THEN {FINE if field.nullable else NULL} "
+        f"WHEN {good} THEN {FINE} ELSE {WRONG} END"
+    )
 
 
 def text_to(value: Column, dtype: T.DataType) -> Column:
@@ -98,56 +143,10 @@ def text_to(value: Column, dtype: T.DataType) -> Column:
     return value.try_cast(dtype)
 
 
-def aside(value: Column, fn: Callable[[Column], Column]) -> Column:
-    """``fn(value)``, evaluated outside the generated code.
+def aside(value: str, name: str, expression: str) -> str:
+    """``expression`` over ``value`` under ``name``, evaluated outside the generated code.
 
     Meant for large expressions that few rows need: inside a stage they would push its
     methods over the size that the JVM compiles.
     """
-    return F.get(F.transform(F.array(value), fn), F.lit(0))
-
-
-# How a mapped field turned out.
-FINE, WRONG, MISSING, NULL, BLOCKED = 0, 1, 2, 3, 4
-
-
-def is_plainly_fine(item: Column, typed: Column, parts: list[str], field: T.StructField) -> Column:
-    """A cheap test that holds for most values. If it fails, the field may still be fine."""
-    dtype = field.dataType
-    if isinstance(dtype, T.StringType):
-        fine = ~(typed.startswith("{") | typed.startswith("[") | typed.isin("true", "false"))
-    elif isinstance(dtype, T.BooleanType):
-        fine = F.schema_of_variant(variant_at(item, parts)) == "BOOLEAN"
-    elif isinstance(dtype, NUMBERS):
-        fine = ~typed.isin(0, 1)
-    elif _checked_inside(dtype):
-        fine = fits(variant_at(item, parts), dtype, field.nullable)
-        return fine if len(parts) < 2 else fine & typed.isNotNull()
-    else:
-        fine = typed.isNotNull()
-    fine = F.coalesce(fine, F.lit(False))
-    if field.nullable and len(parts) < 2:
-        fine = fine | variant_at(item, parts).isNull()
-    return fine
-
-
-def json_field_state(item: Column, parts: list[str], field: T.StructField) -> Column:
-    """State of a mapped JSON field of an element."""
-    raw = variant_at(item, parts)
-    if _checked_inside(field.dataType):
-        good = fits(raw, field.dataType, field.nullable)
-    elif isinstance(field.dataType, T.VariantType):
-        good = F.lit(True)
-    else:
-        good = leaf_fits(item, parts, field.dataType)
-    missing = F.lit(FINE if field.nullable else MISSING)
-    for depth in range(1, len(parts)):
-        here = variant_at(item, parts[:depth])
-        blocked = here.isNotNull() & ~F.is_variant_null(here) & ~is_object(item, parts[:depth])
-        missing = F.when(blocked, F.lit(BLOCKED)).otherwise(missing)
-    return (
-        F.when(raw.isNull(), missing)
-        .when(F.is_variant_null(raw), F.lit(FINE if field.nullable else NULL))
-        .when(good, F.lit(FINE))
-        .otherwise(F.lit(WRONG))
-    )
+    return f"get(transform(array({value}), {name} -> {expression}), 0)"

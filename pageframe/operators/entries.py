@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,11 @@ def explode_entries(pages: DataFrame, items: Column, *carry: str) -> DataFrame:
     return pages.select(*PAGE, *carry, "page_error", F.posexplode(items).alias("entry_no", "entry"))
 
 
+def rarely(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` outside the generated code, for large expressions that few rows need."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def line_error(body: Column, reason: Column) -> Column:
     message = F.concat(F.lit("Cannot convert line '"), body, F.lit("' to a record. Reason: "), reason)
     return make_error(0, message, body)

@@ -13,22 +13,14 @@ from pageframe.functions.typed import (
     NULL,
     WRONG,
     aside,
+    at,
+    field_state,
     is_plainly_fine,
-    json_field_state,
-    read_kind,
-    read_variant,
+    quote,
+    read,
     settle,
 )
-from pageframe.operators.entries import (
-    NOT_ALL_FOUND,
-    PAGE,
-    explode_entries,
-    finish,
-    is_success,
-    line_error,
-    make_error,
-    page_problem,
-)
+from pageframe.operators.entries import NOT_ALL_FOUND, PAGE, explode_entries, finish, is_success, page_problem
 
 
 def parse_document(text: Column, lenient: bool = False) -> Column:
@@ -91,52 +83,54 @@ def json_entries(
     )
     rows = explode_entries(located, F.col("items"), "depth")
 
-    entry, item = F.col("entry"), F.col("item")
-    inner = entry
+    inner = F.col("entry")
     for d in range(len(parts)):
-        inner = F.when(F.col("depth") == d, variant_at(entry, parts[d:])).otherwise(inner)
-    rows = rows.select(*PAGE, "page_error", "entry_no", is_object(entry).alias("is_object"), inner.alias("item"))
+        inner = F.when(F.col("depth") == d, variant_at(F.col("entry"), parts[d:])).otherwise(inner)
+    rows = rows.select(*PAGE, "page_error", "entry_no", is_object(F.col("entry")).alias("is_object"), inner.alias("item"))
 
     values = [f"v{i}" for i in range(len(schema))]
     fields = list(zip(paths, schema, values, strict=True))
-    first = rows.select("*", *[read_variant(item, p, read_kind(f.dataType)).alias(v) for p, f, v in fields])
-    typed = first.select(
+    first = rows.selectExpr("*", *[f"{read('item', p, f.dataType)} AS {v}" for p, f, v in fields])
+    typed = first.selectExpr(
         *PAGE,
         "page_error",
         "entry_no",
         "is_object",
         "item",
-        *[settle(F.col(v), item, p, f.dataType).alias(v) for p, f, v in fields],
+        *[f"{settle(v, 'item', p, f.dataType)} AS {v}" for p, f, v in fields],
     )
-    plain = F.col("is_object")
-    for p, f, v in fields:
-        plain = plain & is_plainly_fine(item, F.col(v), p, f)
-    pair = F.struct("is_object", "item")
-    problem = F.when(F.col("page_error").isNull() & ~plain, aside(pair, lambda e: element_error(e, schema, paths)))
+    plain = " AND ".join(["is_object", *[is_plainly_fine("item", v, p, f) for p, f, v in fields]])
+    problem = F.expr(f"CASE WHEN page_error IS NULL AND NOT ({plain}) THEN {element_error(schema, paths)} END")
     return finish(typed, schema, problem, handling, [F.col(v) for v in values], partial=F.col("error.code") == 1)
 
 
-def element_error(pair: Column, schema: T.StructType, paths: list[list[str]]) -> Column:
-    """Error of an element, NULL if there is none.
+def element_error(schema: T.StructType, paths: list[list[str]]) -> str:
+    """SQL for the error of an element, NULL if there is none.
 
     A field that is null where it must not be, or of another type, gives code 0; required
     fields that were not found give code 1, and the record stays with the error.
     """
-    item = pair["item"]
-    body = F.to_json(
-        F.struct(*[variant_at(item, p).alias(f.name) for p, f in zip(paths, schema, strict=True)]),
-        {"ignoreNullFields": "false"},
+    fields = list(zip(paths, schema, strict=True))
+    body = ", ".join(f"{quote(f.name)}, {at('e.item', p)}" for p, f in fields)
+    states = ", ".join(field_state("e.item", p, f) for p, f in fields)
+    names = ", ".join(quote(f.name) for f in schema)
+    kinds = ", ".join(quote(f.dataType.simpleString()) for f in schema)
+    seen = (
+        f"named_struct('is_object', e.is_object, 'states', array({states}), 'body', "
+        f"coalesce(to_json(named_struct({body}), map('ignoreNullFields', 'false')), 'null'))"
+    )
+    first_bad = f"CAST(array_position(transform(s.states, x -> x IN ({WRONG}, {NULL})), true) - 1 AS INT)"
+    reason = (
+        "CASE WHEN NOT s.is_object THEN 'the element is not an object' "
+        f"WHEN exists(s.states, x -> x IN ({WRONG}, {NULL})) THEN concat('field \\'', get(array({names}), {first_bad}), '\\' ', "
+        f"CASE WHEN get(s.states, {first_bad}) = {WRONG} THEN concat('is not of type ', get(array({kinds}), {first_bad})) "
+        "ELSE 'is null. Check if the field should be set to Nullable in the output schema.' END) END"
     )
-    reason = F.when(~pair["is_object"], F.lit("the element is not an object"))
-    partial = F.lit(False)
-    for f, p in zip(schema, paths, strict=True):
-        state = json_field_state(item, p, f)
-        reason = reason.when(state == WRONG, F.lit(f"field '{f.name}' is not of type {f.dataType.simpleString()}"))
-        reason = reason.when(
-            state == NULL,
-            F.lit(f"field '{f.name}' is null. Check if the field should be set to Nullable in the output schema."),
-        )
-        partial = partial | state.isin(MISSING, BLOCKED)
-    return F.when(reason.isNotNull(), line_error(F.coalesce(body, F.lit("null")), reason)).when(
-        partial, make_error(1, F.lit(NOT_ALL_FOUND), body)
+    error = "named_struct('code', {code}, 'message', {message}, 'body', s.body)"
+    wrong = error.format(code=0, message="concat('Cannot convert line \\'', s.body, '\\' to a record. Reason: ', r)")
+    partial = error.format(code=1, message=quote(NOT_ALL_FOUND))
+    judged = (
+        f"CASE WHEN r IS NOT NULL THEN {wrong} "
+        f"WHEN exists(s.states, x -> x IN ({MISSING}, {BLOCKED})) THEN {partial} END"
     )
+    return aside("struct(is_object, item)", "e", aside(seen, "s", aside(reason, "r", judged)))

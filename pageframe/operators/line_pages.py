@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageframe.functions.text import lines
-from pageframe.functions.typed import aside, text_to
+from pageframe.functions.typed import text_to
 from pageframe.operators.entries import (
     PAGE,
     explode_entries,
@@ -17,6 +17,7 @@ from pageframe.operators.entries import (
     first_reason,
     line_error,
     page_problem,
+    rarely,
 )
 
 # Fixed value: delimiter per format.
@@ -101,7 +102,7 @@ def delimited_entries(
         elif not isinstance(field.dataType, T.StringType):
             plain = plain & (F.col(v).isNotNull() | F.col(r).isNull() | (F.col(r) == ""))
     row = F.struct(line.alias("line"), F.col("pieces"))
-    problem = F.when(F.col("page_error").isNull() & ~plain, aside(row, lambda e: row_error(e, schema, quoted)))
+    problem = F.when(F.col("page_error").isNull() & ~plain, rarely(row, lambda e: row_error(e, schema, quoted)))
     return finish(rows, schema, problem, handling, [F.col(v) for v in values], None)
 
 

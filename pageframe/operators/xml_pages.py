@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageframe.functions.typed import aside, text_to
+from pageframe.functions.typed import text_to
 from pageframe.functions.xpaths import (
     Node,
     XPath,
@@ -17,7 +17,7 @@ from pageframe.functions.xpaths import (
     select_text,
     text_of,
 )
-from pageframe.operators.entries import PAGE, explode_entries, finish, first_reason, is_success, line_error, page_problem
+from pageframe.operators.entries import PAGE, explode_entries, finish, first_reason, is_success, line_error, page_problem, rarely
 
 CORRUPT = "_corrupt_record"
 # Name of the root element, behind a declaration, comments and a document type.
@@ -103,7 +103,7 @@ def xml_entries(
         elif not isinstance(field.dataType, T.StringType):
             plain = plain & (F.col(v).isNotNull() | F.col(r).isNull() | (F.col(r) == ""))
     row = F.struct(*[F.col(r).alias(f.name) for f, r in zip(schema, raw, strict=True)])
-    problem = F.when(F.col("page_error").isNull() & ~plain, aside(row, lambda e: element_error(e, schema)))
+    problem = F.when(F.col("page_error").isNull() & ~plain, rarely(row, lambda e: element_error(e, schema)))
     return finish(rows, schema, problem, handling, [F.col(v) for v in values], None)
 
 

@@ -21,9 +21,10 @@ def resolve_chains(facts: DataFrame, max_pages: int | None = None, hot_rows: int
     entries, at a link to a page that was not captured, and where it comes back to a page
     already reached. ``page_no`` counts the steps from the first page.
 
-    The walk is done by pointer doubling: round ``k`` extends every reached page by 2^k
-    steps, so a chain of ``n`` pages takes about log2(n) rounds of equi-joins on 16-byte keys
-    instead of ``n`` dependent steps. Each round is written to the checkpoint folder.
+    The walk is done by pointer doubling. Before round ``k`` every page points 2^k steps
+    ahead; one join along the pointers takes all reached pages 2^k steps on and doubles the
+    pointers. A chain of ``n`` pages takes about log2(n) rounds over 16-byte keys instead of
+    ``n`` dependent steps. Each round is written to the checkpoint folder.
     """
     me, following = page_id(F.col("seed"), F.col("url")), page_id(F.col("seed"), F.col("next_url"))
     goes_on = (F.col("n_entries") > 0) & F.col("next_url").isNotNull()
@@ -40,22 +41,40 @@ def resolve_chains(facts: DataFrame, max_pages: int | None = None, hot_rows: int
     )
     # a URL captured several times counts once; min combines before the shuffle
     pages = cut(rows.groupBy("id").agg(F.min("page").alias("page")).select("id", "page.*"))
+    start = F.when(F.col("is_first"), F.lit(0).cast("bigint"))
+    state = pages.select("id", start.alias("pos"), "next")
 
-    reached = pages.filter("is_first").select("id", F.lit(0).cast("bigint").alias("pos"))
-    jump = pages.filter(F.col("next").isNotNull()).select("id", "next")
-    step = 1
-    while max_pages is None or step < max_pages:
-        ahead = reached.join(jump, "id").select(F.col("next").alias("id"), (F.col("pos") + step).alias("pos"))
-        new = cut(ahead.groupBy("id").agg(F.min("pos").alias("pos")).join(reached, "id", "left_anti"))
-        if new.isEmpty():
+    n_pages = pages.count()
+    step, n_reached = 1, state.filter(F.col("pos").isNotNull()).count()
+    while step < min(n_pages, max_pages or n_pages):
+        state = cut(_advance(state, step, hot_rows if n_pages > hot_rows else None))
+        before, n_reached = n_reached, state.filter(F.col("pos").isNotNull()).count()
+        if n_reached == before:
             break
-        reached = reached.unionByName(new)
-        onward = jump.select(F.col("id").alias("next"), F.col("next").alias("after"))
-        jump = cut(lookup(jump, onward, "next", F.col("id"), hot_rows).select("id", F.col("after").alias("next")))
         step *= 2
+    reached = state.filter(F.col("pos").isNotNull())
     if max_pages is not None:
         reached = reached.filter(F.col("pos") < max_pages)
-    return pages.join(reached, "id").select("seed", "url", "captured_no", F.col("pos").alias("page_no"), "n_entries")
+    return pages.join(reached.select("id", "pos"), "id").select(
+        "seed", "url", "captured_no", F.col("pos").alias("page_no"), "n_entries"
+    )
+
+
+def _advance(state: DataFrame, step: int, hot_rows: int | None) -> DataFrame:
+    """One round over ``id, pos, next``: reached pages go ``step`` on, pointers become twice as long."""
+    pointing = state.filter(F.col("next").isNotNull())
+    ahead = state.select(F.col("id").alias("next"), F.col("next").alias("after"))
+    # many pages may point at one page, so that page is a hot key of this join
+    pairs = pointing.join(ahead, "next") if hot_rows is None else lookup(pointing, ahead, "next", F.col("id"), hot_rows)
+    none, no_pointer = F.lit(None).cast("bigint"), F.lit(None).cast("binary")
+    moved = F.array(
+        F.struct(F.col("id").alias("id"), none.alias("pos"), F.col("after").alias("next")),
+        F.struct(F.col("next").alias("id"), (F.col("pos") + step).alias("pos"), no_pointer.alias("next")),
+    )
+    moved = pairs.select(F.inline(F.filter(moved, lambda m: m["pos"].isNotNull() | m["next"].isNotNull())))
+    kept = state.select("id", "pos", no_pointer.alias("next"))
+    # a page reached before keeps its first position, which is where a loop ends
+    return kept.unionByName(moved).groupBy("id").agg(F.min("pos").alias("pos"), F.max("next").alias("next"))
 
 
 def missing_links(facts: DataFrame, chain: DataFrame) -> DataFrame:

@@ -90,7 +90,8 @@ class PagesDataSource(DataSource):
         return RESPONSE_SCHEMA
 
     def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
-        return PagesReader(dict(self.options))
+        filtered = str(self.options.get("push_filters", "")).lower() == "true"
+        return (FilteredPagesReader if filtered else PagesReader)(dict(self.options))
 
     def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: ANN001, N802
         return PagesStreamReader(dict(self.options))
@@ -106,17 +107,6 @@ class PagesReader(DataSourceReader):
         self.transport = options.get("transport")
         self.low, self.high = 0, None
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
-        """Narrow the page range by filters on ``page_no``; all filters are checked again by Spark."""
-        for f in filters:
-            if getattr(f, "attribute", None) == ("page_no",) and isinstance(getattr(f, "value", None), int):
-                if isinstance(f, (LessThan, LessThanOrEqual, EqualTo)):
-                    end = f.value if isinstance(f, LessThan) else f.value + 1
-                    self.high = end if self.high is None else min(self.high, end)
-                if isinstance(f, (GreaterThan, GreaterThanOrEqual, EqualTo)):
-                    self.low = max(self.low, f.value + 1 if isinstance(f, GreaterThan) else f.value)
-            yield f
-
     def partitions(self) -> list[InputPartition]:
         s = self.source
         n_pages = None
@@ -141,6 +131,25 @@ class PagesReader(DataSourceReader):
                 yield page.as_tuple()
 
 
+class FilteredPagesReader(PagesReader):
+    """The same, with filters on ``page_no`` cutting the pages that are fetched.
+
+    Used with the option ``push_filters``; Spark asks for filters only where
+    ``spark.sql.python.filterPushdown.enabled`` is on, and refuses such a reader elsewhere.
+    """
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
+        """Narrow the page range by filters on ``page_no``; all filters are checked again by Spark."""
+        for f in filters:
+            if getattr(f, "attribute", None) == ("page_no",) and isinstance(getattr(f, "value", None), int):
+                if isinstance(f, (LessThan, LessThanOrEqual, EqualTo)):
+                    end = f.value if isinstance(f, LessThan) else f.value + 1
+                    self.high = end if self.high is None else min(self.high, end)
+                if isinstance(f, (GreaterThan, GreaterThanOrEqual, EqualTo)):
+                    self.low = max(self.low, f.value + 1 if isinstance(f, GreaterThan) else f.value)
+            yield f
+
+
 @dataclass
 class Poll(InputPartition):
     """One micro-batch of one seed."""
