@@ -15,8 +15,6 @@ LATTICE = ("int", "bigint", "double", "boolean")
 WHOLE = r"^[+-]?\d+$"
 DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 TRUTH = r"(?i)^(true|false)$"
-# Columns looked at when the number of columns is not known yet.
-MAX_COLUMNS = 2000
 
 
 def sample_lines(responses: DataFrame, options: SourceOptions) -> DataFrame:
@@ -46,9 +44,7 @@ def infer_columns(responses: DataFrame, options: SourceOptions) -> DataFrame:
     """
     delimiter = DELIMITERS[options.page_format]
     sampled = sample_lines(responses, options)
-    values = split_line(F.col("line"), delimiter, MAX_COLUMNS, quoted=True) if options.enable_quoted_values else split_line(
-        F.col("line"), delimiter, 0, quoted=False
-    )
+    values = split_line(F.col("line"), delimiter, options.enable_quoted_values)
     cells = sampled.select("seed", "line_no", F.posexplode(values).alias("position", "value"))
     value = F.nullif(F.col("value"), F.lit(""))
     is_header = (F.col("line_no") == 0) if options.csv_skip_first_row else F.lit(False)
@@ -83,9 +79,9 @@ def infer_columns(responses: DataFrame, options: SourceOptions) -> DataFrame:
 
 
 def infer_schema(responses: DataFrame, options: SourceOptions) -> T.StructType:
-    """Schema of one delimited source. Only the column descriptions reach the driver."""
+    """Schema of one delimited source. Only the description of its columns reaches the driver."""
     seed = responses.filter(F.col("seed") == options.url)
-    columns = infer_columns(seed, options).orderBy("position").limit(MAX_COLUMNS).collect()
+    columns = infer_columns(seed, options).orderBy("position").collect()
     if not columns:
         raise ValueError("the first page has no lines to infer a schema from")
     return T.StructType(

@@ -22,31 +22,24 @@ from pageframe.operators.entries import (
 
 # Fixed value: delimiter per format.
 DELIMITERS = {"csv": ",", "tsv": "\t"}
-# Appended as one more value, to tell how many values a quoted line holds (a private-use character).
-_END = "\ue000"
 
+def split_line(line: Column, delimiter: str, quoted: bool) -> Column:
+    """Values of a line as an array. With quotes on, a quoted value is kept whole and unquoted.
 
-def split_line(line: Column, delimiter: str, n: int, quoted: bool) -> Column:
-    """Values of a line as an array; a line of more than ``n`` values gives more than ``n``.
-
-    The CSV reader gives NULL both for an empty and for an absent value. The end mark shows
-    where the line ends, so that empty values stay apart from absent ones.
+    The possessive pattern takes runs of characters, so long values cost no stack.
     """
+    d = re.escape(delimiter)
     if not quoted:
-        return F.split(line, re.escape(delimiter), -1)
-    names = [f"c{i}" for i in range(n + 2)]
-    options = {
-        "sep": delimiter,
-        "quote": '"',
-        "escape": '"',
-        "ignoreLeadingWhiteSpace": "true",
-        "maxCharsPerColumn": "-1",
-        "maxColumns": str(max(n + 2, 20480)),
-    }
-    row = F.from_csv(F.concat(line, F.lit(delimiter + _END)), ", ".join(f"{c} STRING" for c in names), options)
-    values = F.transform(F.array(*[row[c] for c in names]), lambda v: F.coalesce(v, F.lit("")))
-    from_end = F.array_position(F.reverse(values), _END)
-    return F.when(from_end == 0, values).otherwise(F.slice(values, 1, (F.lit(n + 2) - from_end).cast("int")))
+        return F.split(line, d, -1)
+    value = f'{d}((?:"(?:[^"]++|"")*+"|[^"{d}]++)*+)'
+    found = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(value), F.lit(1))
+
+    def unquote(v: Column) -> Column:
+        t = F.trim(v)
+        inner = F.replace(F.substring(t, F.lit(2), F.length(t) - 2), F.lit('""'), F.lit('"'))
+        return F.when(t.startswith('"') & t.endswith('"') & (F.length(t) > 1), inner).otherwise(v)
+
+    return F.transform(found, unquote)
 
 
 def has_open_quote(line: Column) -> Column:
@@ -84,7 +77,7 @@ def delimited_entries(
     n = len(schema)
     rows = line_pages(pages, skip_first_row)
     line = F.col("entry")
-    rows = rows.select("*", split_line(line, delimiter, n, quoted).alias("pieces"))
+    rows = rows.select("*", split_line(line, delimiter, quoted).alias("pieces"))
     raw = [f"r{i}" for i in range(n)]
     rows = rows.select("*", *[F.get("pieces", F.lit(i)).alias(r) for i, r in enumerate(raw)])
 
