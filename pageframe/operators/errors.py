@@ -64,15 +64,24 @@ def status_error(status: Column, text: Column) -> Column:
     return make_error(status, message, text)
 
 
-def stop_guard(parsed: DataFrame) -> DataFrame:
-    """Fail the job at the first entry that is to stop it.
+def keep_or_stop(parsed: DataFrame, keep: Column) -> DataFrame:
+    """Entries that are to be kept; the first entry that is to stop the job fails it.
 
-    The check sits in a filter, so no later projection can prune it away.
+    Check and condition are one expression in a filter: as a projection the check could be
+    pruned away, and as a second filter it might see no bad entry any more.
     """
     stops = F.col("error").isNotNull() & (F.col("handling") == STOP)
     where = F.concat_ws(" ", F.lit("page"), F.col("url"), F.lit("entry"), F.col("entry_no").cast("string"))
     text = F.concat_ws(": ", where, F.col("error.message"))
-    return parsed.filter(F.when(stops, F.raise_error(text).cast("boolean")).otherwise(F.lit(True)))
+    return parsed.filter(F.when(stops, F.raise_error(text).cast("boolean")).otherwise(keep))
+
+
+def is_good() -> Column:
+    return F.col("error").isNull()
+
+
+def is_sent() -> Column:
+    return F.col("error").isNotNull() & (F.col("handling") == SEND)
 
 
 @dataclass(frozen=True)
@@ -84,16 +93,22 @@ class Routed:
 
 
 def good_records(parsed: DataFrame, positions: bool = False) -> DataFrame:
-    keep = ["seed", "page_no", "entry_no"] if positions else []
-    return parsed.filter(F.col("error").isNull()).select(*keep, "record.*")
+    columns = ["seed", "page_no", "entry_no"] if positions else []
+    return keep_or_stop(parsed, is_good()).select(*columns, "record.*")
 
 
 def sent_errors(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("error").isNotNull() & (F.col("handling") == SEND)).select(
+    return keep_or_stop(parsed, is_sent()).select(
         "seed", "page_no", "entry_no", "url", "error.code", "error.message", "error.body"
     )
 
 
+def with_outcome(parsed: DataFrame) -> DataFrame:
+    """Both outputs in one frame, told apart by ``outcome``: ``record`` or ``error``."""
+    kept = keep_or_stop(parsed, is_good() | is_sent())
+    return kept.withColumn("outcome", F.when(is_good(), F.lit("record")).otherwise(F.lit("error")))
+
+
 def route(parsed: DataFrame, positions: bool = False, observation: Observation | None = None) -> Routed:
     """Split parsed entries three ways: good ones, ones sent to error; skipped ones are left out.
 
@@ -108,8 +123,7 @@ def route(parsed: DataFrame, positions: bool = False, observation: Observation |
             F.count_if(bad & (F.col("handling") == SEND)).alias("n_sent"),
             F.count_if(bad & (F.col("handling") == SKIP)).alias("n_skipped"),
         )
-    guarded = stop_guard(parsed)
-    return Routed(good_records(guarded, positions), sent_errors(guarded))
+    return Routed(good_records(parsed, positions), sent_errors(parsed))
 
 
 def write_routed(parsed: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -117,10 +131,7 @@ def write_routed(parsed: DataFrame, path: str, mode: str = "errorifexists") -> N
 
     Two writes of two filters would parse every body twice.
     """
-    guarded = stop_guard(parsed)
-    kept = guarded.filter(F.col("error").isNull() | (F.col("handling") == SEND))
-    outcome = F.when(F.col("error").isNull(), F.lit("record")).otherwise(F.lit("error"))
-    kept.withColumn("outcome", outcome).write.mode(mode).partitionBy("outcome").parquet(path)
+    with_outcome(parsed).write.mode(mode).partitionBy("outcome").parquet(path)
 
 
 def resolve_attempts(

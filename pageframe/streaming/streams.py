@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pageframe.operators.errors import Routed, route
+from pageframe.operators.errors import Routed, route, with_outcome
 from pageframe.operators.messages import build_messages
 from pageframe.operators.parse import parse_pages
 from pageframe.operators.responses import RESPONSE_SCHEMA
@@ -70,13 +70,8 @@ def write_stream_routed(
 
     The file sink commits a micro-batch as a whole, so rows are written exactly once.
     """
-    from pageframe.operators.errors import SEND, stop_guard
-
-    guarded = stop_guard(parse_pages(responses, options))
-    kept = guarded.filter(F.col("error").isNull() | (F.col("handling") == SEND))
-    outcome = F.when(F.col("error").isNull(), F.lit("record")).otherwise(F.lit("error"))
     writer = (
-        kept.withColumn("outcome", outcome)
+        with_outcome(parse_pages(responses, options))
         .writeStream.format("parquet")
         .outputMode("append")
         .partitionBy("outcome")
