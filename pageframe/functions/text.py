@@ -14,9 +14,13 @@ def body_text(body: Column) -> Column:
     return F.make_valid_utf8(F.coalesce(body, F.lit(b"")).cast("string"))
 
 
-def lines(text: Column) -> Column:
-    """Lines of ``text``; the empty piece after a final line end is not a line."""
-    pieces = F.split(text, LINE_END)
+def split_lines(text: Column) -> Column:
+    """Pieces of ``text`` between line ends; the alternation is used only where there is a CR."""
+    return F.when(F.contains(text, F.lit("\r")), F.split(text, LINE_END)).otherwise(F.split(text, "\n"))
+
+
+def drop_tail(pieces: Column) -> Column:
+    """Without the empty piece behind a final line end, which is not a line."""
     has_tail = F.element_at(pieces, -1) == ""
     return F.when(has_tail, F.slice(pieces, 1, F.size(pieces) - 1)).otherwise(pieces)
 

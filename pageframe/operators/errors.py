@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from pageframe.functions.typed import quote
+
 # Entry handlings, and per status strategy (retry?, handling after the retries).
 SUCCESS, SKIP, SEND, STOP = "success", "skipOnError", "sendToError", "stopOnError"
 HANDLINGS = (SUCCESS, SKIP, SEND, STOP)
@@ -34,27 +37,18 @@ def no_error() -> Column:
     return F.lit(None).cast(ERROR_TYPE)
 
 
-def strategy_of(status: Column, rules: Sequence[tuple[str, str]]) -> Column:
-    """Strategy of the first rule whose expression matches the whole status code."""
-    chosen = None
-    for pattern, strategy in rules:
-        hit = status.cast("string").rlike(f"^(?:{pattern})$")
-        chosen = F.when(hit, F.lit(strategy)) if chosen is None else chosen.when(hit, F.lit(strategy))
-    return F.lit(DEFAULT_STRATEGY) if chosen is None else chosen.otherwise(F.lit(DEFAULT_STRATEGY))
+def strategy_of(status: str, rules: Sequence[tuple[str, str]]) -> str:
+    """SQL for the strategy of the first rule whose expression matches the whole status code."""
+    whens = [f"WHEN CAST({status} AS STRING) RLIKE {quote(f'^(?:{pattern})$')} THEN {quote(name)}" for pattern, name in rules]
+    return " ".join(["CASE", *whens, "ELSE", quote(DEFAULT_STRATEGY), "END"]) if whens else quote(DEFAULT_STRATEGY)
 
 
 def with_strategy(responses: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
     """Add ``strategy``, ``should_retry`` and ``after_retry`` to each response."""
-    strategy = F.col("strategy")
-    retried = [name for name, (retry, _) in STRATEGIES.items() if retry]
-    after = F.lit(None)
-    for handling in HANDLINGS:
-        names = [name for name, (_, h) in STRATEGIES.items() if h == handling]
-        after = F.when(strategy.isin(names), F.lit(handling)).otherwise(after)
-    return (
-        responses.withColumn("strategy", strategy_of(F.col("status"), rules))
-        .withColumn("should_retry", strategy.isin(retried))
-        .withColumn("after_retry", after)
+    retried = ", ".join(quote(name) for name, (retry, _) in STRATEGIES.items() if retry)
+    after = " ".join(f"WHEN {quote(name)} THEN {quote(handling)}" for name, (_, handling) in STRATEGIES.items())
+    return responses.selectExpr("*", f"{strategy_of('status', rules)} AS strategy").selectExpr(
+        "*", f"strategy IN ({retried}) AS should_retry", f"CASE strategy {after} END AS after_retry"
     )
 
 
@@ -86,10 +80,18 @@ def is_sent() -> Column:
 
 @dataclass(frozen=True)
 class Routed:
-    """Good records and the records sent to the error output."""
+    """Good records and the records sent to the error output, both filters over ``parsed``."""
+
+    parsed: DataFrame
+    positions: bool = False
+
+    @cached_property
+    def records(self) -> DataFrame:
+        return good_records(self.parsed, self.positions)
 
-    records: DataFrame
-    errors: DataFrame
+    @cached_property
+    def errors(self) -> DataFrame:
+        return sent_errors(self.parsed)
 
 
 def good_records(parsed: DataFrame, positions: bool = False) -> DataFrame:
@@ -123,7 +125,7 @@ def route(parsed: DataFrame, positions: bool = False, observation: Observation |
             F.count_if(bad & (F.col("handling") == SEND)).alias("n_sent"),
             F.count_if(bad & (F.col("handling") == SKIP)).alias("n_skipped"),
         )
-    return Routed(good_records(parsed, positions), sent_errors(parsed))
+    return Routed(parsed, positions)
 
 
 def write_routed(parsed: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageframe.functions.text import body_text, lines
+from pageframe.functions.text import body_text, drop_tail, split_lines
 from pageframe.operators.line_pages import DELIMITERS, split_line
 from pageframe.options import SourceOptions
 
@@ -22,11 +22,12 @@ def sample_lines(responses: DataFrame, options: SourceOptions) -> DataFrame:
 
     The sample size counts the header line. Only that much of a page is exploded.
     """
-    every = lines(body_text(F.col("body")))
+    first = responses.filter(F.col("page_no") == 0)
+    split = first.select("seed", split_lines(body_text(F.col("body"))).alias("pieces"))
+    every = drop_tail(F.col("pieces"))
     if options.sample_size is not None:
         every = F.slice(every, 1, options.sample_size)
-    first = responses.filter(F.col("page_no") == 0)
-    return first.select("seed", F.posexplode(every).alias("line_no", "line"))
+    return split.select("seed", F.posexplode(every).alias("line_no", "line"))
 
 
 def _fits(value: Column, name: str) -> Column:

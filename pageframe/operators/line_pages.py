@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageframe.functions.text import lines
+from pageframe.functions.text import drop_tail, split_lines
 from pageframe.functions.typed import text_to
 from pageframe.operators.entries import (
     PAGE,
@@ -46,17 +46,14 @@ def has_open_quote(line: Column) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
 
-def page_lines(skip_first_row: bool) -> Column:
-    every = lines(F.col("text"))
-    if not skip_first_row:
-        return every
-    return F.slice(every, 2, F.greatest(F.size(every) - 1, F.lit(0)))
-
-
 def line_pages(pages: DataFrame, skip_first_row: bool = False) -> DataFrame:
     """One row per line of a good page, one row with a page error for any other page."""
-    found = pages.select(*PAGE, "text", page_problem(F.lit(False), "").alias("page_error"))
-    return explode_entries(found, page_lines(skip_first_row))
+    # the pieces are a column of their own, so that a body is split once
+    split = pages.select(*PAGE, split_lines(F.col("text")).alias("pieces"), page_problem(F.lit(False), "").alias("page_error"))
+    items = drop_tail(F.col("pieces"))
+    if skip_first_row:
+        items = F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0)))
+    return explode_entries(split, items)
 
 
 def text_entries(pages: DataFrame, schema: T.StructType, handling: str) -> DataFrame:

@@ -204,11 +204,19 @@ def build_messages(df: DataFrame, options: SinkOptions, sequence: str | None = N
 
     before, between, after = joints(options)
     rows = record_texts(df, options, F.col(sequence).cast("bigint").alias("_n"))
-    # floor division, also below zero
-    batch = F.floor(F.col("_n") / F.lit(options.batch_size)) if options.batch_size > 1 else F.col("_n")
-    grouped = rows.groupBy("url", batch.cast("bigint").alias("_batch")).agg(
-        F.sort_array(F.collect_list(F.struct("_n", "text"))).alias("_rows")
-    )
+    if options.batch_size == 1:
+        batches = rows.select(
+            "url",
+            F.concat(F.lit(before), F.col("text"), F.lit(after)).alias("body"),
+            F.lit(1).alias("n_records"),
+            F.sha1(F.concat_ws("\n", F.col("url"), F.col("_n").cast("string"))).alias("batch_id"),
+        )
+        return _with_request_columns(batches, options)
+    number = (F.col("_n") - F.pmod(F.col("_n"), F.lit(options.batch_size))).alias("_batch")
+    grouped = rows.groupBy("url", number).agg(F.sort_array(F.collect_list(F.struct("_n", "text"))).alias("_rows"))
+    message = F.lit(f"the numbers in {sequence} are not unique")
+    too_many = F.size("_rows") > options.batch_size
+    grouped = grouped.filter(F.when(too_many, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     text = F.concat(F.lit(before), F.array_join(F.col("_rows.text"), between), F.lit(after))
     batches = grouped.select(
         "url",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageframe.functions.paths import json_primitive, split_path, variant_at
-from pageframe.functions.text import body_text, lines
+from pageframe.functions.text import body_text, drop_tail, split_lines
 from pageframe.functions.xpaths import Node, add_path, parse_xpath
 from pageframe.operators.errors import SUCCESS, with_strategy
 from pageframe.operators.json_pages import json_entries, parse_document, result_items
@@ -79,7 +79,7 @@ def locate(pages: DataFrame, options: SourceOptions, link_path: str | None = Non
         n = F.lit(1)
     else:
         header = 1 if fmt in DELIMITERS and options.csv_skip_first_row else 0
-        n = F.greatest(F.size(lines(text)) - header, F.lit(0))
+        n = F.greatest(F.size(drop_tail(split_lines(text))) - header, F.lit(0))
     return pages.select(
         "*", F.when(good, n).otherwise(F.lit(1)).alias("n_entries"), F.nullif(link, F.lit("")).alias("link")
     ).drop("doc")

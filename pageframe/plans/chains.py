@@ -45,13 +45,18 @@ def resolve_chains(facts: DataFrame, max_pages: int | None = None, hot_rows: int
     state = pages.select("id", start.alias("pos"), "next")
 
     n_pages = pages.count()
+    may_be_hot = n_pages > hot_rows
     step, n_reached = 1, state.filter(F.col("pos").isNotNull()).count()
     while step < min(n_pages, max_pages or n_pages):
-        state = cut(_advance(state, step, hot_rows if n_pages > hot_rows else None))
+        state = _advance(state, step, hot_rows if may_be_hot else None)
+        step *= 2
+        if not may_be_hot:  # two rounds per written table; the second one reuses the first one's shuffle
+            state = _advance(state, step, None)
+            step *= 2
+        state = cut(state)
         before, n_reached = n_reached, state.filter(F.col("pos").isNotNull()).count()
         if n_reached == before:
             break
-        step *= 2
     reached = state.filter(F.col("pos").isNotNull())
     if max_pages is not None:
         reached = reached.filter(F.col("pos") < max_pages)

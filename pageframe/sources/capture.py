@@ -28,15 +28,25 @@ def read_capture(spark: SparkSession, path: str) -> DataFrame:
 
 
 def capture_transport(path: str, buckets: int = 64) -> Transport:
-    """A transport that answers from a capture; an unknown URL gets status 404."""
+    """A transport that answers from a capture; an unknown URL gets status 404.
+
+    Opened buckets are kept by the task (their footers, not their rows).
+    """
+    opened: dict[int, object] = {}
 
     def replayed(method, url, headers, body, timeout_s) -> tuple[int, Headers, bytes]:  # noqa: ANN001
         import pyarrow.dataset as ds
-
-        folder = f"{path.removeprefix('file:')}/bucket={zlib.crc32(url.encode()) % buckets}"
-        try:
-            data = ds.dataset(folder, format="parquet")
-        except FileNotFoundError:
+        from pyarrow import fs
+
+        bucket = zlib.crc32(url.encode()) % buckets
+        if bucket not in opened:
+            files, base = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+            try:
+                opened[bucket] = ds.dataset(f"{base}/bucket={bucket}", format="parquet", filesystem=files)
+            except FileNotFoundError:
+                opened[bucket] = None
+        data = opened[bucket]
+        if data is None:
             return 404, {}, b""
         rows = data.to_table(columns=["status", "headers", "body"], filter=ds.field("url") == url).slice(0, 1).to_pylist()
         if not rows:

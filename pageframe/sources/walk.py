@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import time
@@ -158,12 +159,14 @@ class Cursor:
     """Position in a page sequence: the next page to read, as an index or as a URL.
 
     ``done`` marks a page that has no successor yet: a later read starts by asking it again
-    for its next link, without giving out the page a second time.
+    for its next link, without giving out the page a second time, unless changed pages are
+    to be given out again and its digest is another one now.
     """
 
     page_no: int = 0
     url: str | None = None
     done: bool = False
+    digest: str | None = None
 
     def as_dict(self) -> dict:
         return asdict(self)
@@ -201,14 +204,16 @@ def walk(
         good = STRATEGIES[answer.strategy][1] == SUCCESS
         if good and is_empty(options, answer.body):
             return
-        page = None if cursor.done else Response(options.url, cursor.page_no, url, answer.status, answer.headers, answer.body)
+        digest = hashlib.sha256(answer.body).hexdigest() if options.reemit_on_change else None
+        again = cursor.done and digest == cursor.digest
+        no = cursor.page_no - 1 if cursor.done else cursor.page_no
+        page = None if again else Response(options.url, no, url, answer.status, answer.headers, answer.body)
         if options.pagination == INCREMENT_INDEX:
             cursor = Cursor(cursor.page_no + 1)
             yield page, cursor
         else:
             onward = following_url(options, url, answer)
-            after = cursor.page_no if cursor.done else cursor.page_no + 1
-            cursor = Cursor(after, onward or url, done=not onward)
+            cursor = Cursor(no + 1, onward or url, not onward, None if onward else digest)
             yield page, cursor
             if not onward:
                 return

@@ -8,6 +8,7 @@ header by which a receiver can drop repeats.
 from __future__ import annotations
 
 import base64
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,6 +42,8 @@ def writer_options(
 
 def deliver(options: SinkOptions, transport: Transport, message: dict) -> Answer:
     """Send one message with retries; a status whose handling is to stop fails the job."""
+    if options.wait_between_pages_ms > 0:
+        time.sleep(options.wait_between_pages_ms / 1000)
     rules = options.rules
     headers = {**message["headers"], BATCH_HEADER: message["batch_id"]}
     body = message["body"].encode() if message["body"] is not None else None

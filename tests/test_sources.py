@@ -58,6 +58,15 @@ def test_walk_none_reads_once():
     assert pages_of(o, paged(3), cursor)[0] == []
 
 
+def test_a_single_page_is_given_out_again_only_if_it_changed():
+    for again, want in ((False, []), (True, [0])):
+        o = SourceOptions(**JSON, url="http://h/p", reemit_on_change=again)
+        first, cursor = pages_of(o, paged(1))
+        same, cursor = pages_of(o, paged(1), cursor)
+        changed, cursor = pages_of(o, paged(1, per_page=3), cursor)
+        assert (first, same, changed) == ([0], [], want)
+
+
 def test_walk_resumes_without_loss_or_repeat():
     for more, link in ((INDEX, None), (HEADER, "header")):
         o = SourceOptions(**JSON, **more)
@@ -252,7 +261,7 @@ def test_spool_replays_a_poll(tmp_path):
     spool.write("http://h/p", 1, walk(o, paged(3, link="header"), Cursor(), 2), Cursor())
     entry = spool.entry("http://h/p", 1)
     assert [row[1] for row in spool.pages(entry)] == [0, 1] == [row[1] for row in spool.pages(entry)]
-    assert entry["cursor"] == {"page_no": 2, "url": "http://h/p?page=2", "done": False}
+    assert entry["cursor"] == {"page_no": 2, "url": "http://h/p?page=2", "done": False, "digest": None}
     assert spool.last_number("http://h/p") == 1 and spool.last_number("http://other") == 0 and spool.entry("http://h/p", 2) is None
     headers = next(iter(spool.pages(entry)))[4]
     assert headers["link"] == ['<http://h/p?page=1>; rel="next"']
