@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageframe.functions.lineage import cut
 from pageframe.functions.skew import HOT_ROWS, broadcast_if_small, lookup
 
+# Page numbers of a seed that one window looks at; numbers are unique there, so it is a bound.
+BLOCK = 4096
+
 
 def page_id(seed: Column, url: Column) -> Column:
     """A 16-byte key of a page, much shorter than its seed and URL."""
@@ -21,10 +24,11 @@ def resolve_chains(facts: DataFrame, max_pages: int | None = None, hot_rows: int
     entries, at a link to a page that was not captured, and where it comes back to a page
     already reached. ``page_no`` counts the steps from the first page.
 
-    The walk is done by pointer doubling. Before round ``k`` every page points 2^k steps
-    ahead; one join along the pointers takes all reached pages 2^k steps on and doubles the
-    pointers. A chain of ``n`` pages takes about log2(n) rounds over 16-byte keys instead of
-    ``n`` dependent steps. Each round is written to the checkpoint folder.
+    Stretches captured in order are contracted to their heads first. The walk over the heads
+    is done by pointer doubling: each round joins along the pointers once, which takes all
+    reached heads on to what they point at and doubles the pointers. A chain of ``n`` heads
+    takes about log2(n) rounds over 16-byte keys instead of ``n`` dependent steps. Each round
+    is written to the checkpoint folder.
     """
     me, following = page_id(F.col("seed"), F.col("url")), page_id(F.col("seed"), F.col("next_url"))
     goes_on = (F.col("n_entries") > 0) & F.col("next_url").isNotNull()
@@ -41,45 +45,86 @@ def resolve_chains(facts: DataFrame, max_pages: int | None = None, hot_rows: int
     )
     # a URL captured several times counts once; min combines before the shuffle
     pages = cut(rows.groupBy("id").agg(F.min("page").alias("page")).select("id", "page.*"))
-    start = F.when(F.col("is_first"), F.lit(0).cast("bigint"))
-    state = pages.select("id", start.alias("pos"), "next")
-
-    n_pages = pages.count()
-    may_be_hot = n_pages > hot_rows
+    members = cut(_stretches(pages))
+    state = members.groupBy(F.col("head").alias("id")).agg(
+        F.max(F.when(F.col("is_first"), F.lit(0).cast("bigint"))).alias("pos"),
+        F.max_by("next", "offset").alias("next"),
+        (F.max("offset") + 1).alias("span"),
+    )
+    state = cut(state)
+    n_heads = state.count()
     step, n_reached = 1, state.filter(F.col("pos").isNotNull()).count()
-    while step < min(n_pages, max_pages or n_pages):
-        state = _advance(state, step, hot_rows if may_be_hot else None)
-        step *= 2
-        if not may_be_hot:  # two rounds per written table; the second one reuses the first one's shuffle
-            state = _advance(state, step, None)
-            step *= 2
-        state = cut(state)
+    while step < n_heads:
+        state = cut(_advance(state, hot_rows if n_heads > hot_rows else None))
         before, n_reached = n_reached, state.filter(F.col("pos").isNotNull()).count()
         if n_reached == before:
             break
-    reached = state.filter(F.col("pos").isNotNull())
+        step *= 2
+    heads = state.filter(F.col("pos").isNotNull()).select(F.col("id").alias("head"), "pos")
+    reached = members.join(heads, "head").select("id", (F.col("pos") + F.col("offset")).alias("page_no"))
     if max_pages is not None:
-        reached = reached.filter(F.col("pos") < max_pages)
-    return pages.join(reached.select("id", "pos"), "id").select(
-        "seed", "url", "captured_no", F.col("pos").alias("page_no"), "n_entries"
+        reached = reached.filter(F.col("page_no") < max_pages)
+    return pages.join(reached, "id").select("seed", "url", "captured_no", "page_no", "n_entries")
+
+
+def _stretches(pages: DataFrame) -> DataFrame:
+    """Contract pages that were captured in link order: ``id, head, offset, is_first, next``.
+
+    A stretch is a run of pages of one seed and one block of page numbers, each naming the
+    one behind it. A first page, and a page that several pages name, always begins one, so
+    that every pointer leads to the head of a stretch. Where page numbers are not unique,
+    blocks have no bound, and every page is a stretch of its own.
+    """
+    repeated = pages.groupBy("seed", "captured_no").count().filter(F.col("count") > 1)
+    if not repeated.isEmpty():
+        return pages.select("id", F.col("id").alias("head"), F.lit(0).cast("bigint").alias("offset"), "is_first", "next")
+    named = pages.filter(F.col("next").isNotNull()).groupBy(F.col("next").alias("id")).count()
+    crowded = named.filter(F.col("count") > 1).select("id", F.lit(True).alias("crowded"))
+    block = F.floor(F.col("captured_no") / F.lit(BLOCK))
+    in_block = Window.partitionBy("seed", "block").orderBy("captured_no")
+    follows = F.lag("next").over(in_block).eqNullSafe(F.col("id"))
+    begins = F.col("is_first") | F.coalesce("crowded", F.lit(False)) | ~follows
+    numbered = (
+        pages.join(crowded, "id", "left")
+        .withColumn("block", block)
+        .withColumn("stretch", F.sum(begins.cast("int")).over(in_block))
+    )
+    in_stretch = Window.partitionBy("seed", "block", "stretch").orderBy("captured_no")
+    return numbered.select(
+        "id",
+        F.first("id").over(in_stretch).alias("head"),
+        (F.row_number().over(in_stretch) - 1).cast("bigint").alias("offset"),
+        "is_first",
+        "next",
     )
 
 
-def _advance(state: DataFrame, step: int, hot_rows: int | None) -> DataFrame:
-    """One round over ``id, pos, next``: reached pages go ``step`` on, pointers become twice as long."""
+def _advance(state: DataFrame, hot_rows: int | None) -> DataFrame:
+    """One round over ``id, pos, next, span``: a pointer leads ``span`` pages ahead.
+
+    Reached heads take what they point at to its position; then pointers are joined end to end.
+    """
     pointing = state.filter(F.col("next").isNotNull())
-    ahead = state.select(F.col("id").alias("next"), F.col("next").alias("after"))
+    ahead = state.select(F.col("id").alias("next"), F.col("next").alias("after"), F.col("span").alias("further"))
     # many pages may point at one page, so that page is a hot key of this join
     pairs = pointing.join(ahead, "next") if hot_rows is None else lookup(pointing, ahead, "next", F.col("id"), hot_rows)
-    none, no_pointer = F.lit(None).cast("bigint"), F.lit(None).cast("binary")
+    no_number, no_pointer = F.lit(None).cast("bigint"), F.lit(None).cast("binary")
     moved = F.array(
-        F.struct(F.col("id").alias("id"), none.alias("pos"), F.col("after").alias("next")),
-        F.struct(F.col("next").alias("id"), (F.col("pos") + step).alias("pos"), no_pointer.alias("next")),
-    )
+        F.struct(
+            F.col("id").alias("id"), no_number.alias("pos"), F.col("after").alias("next"),
+            (F.col("span") + F.col("further")).alias("span"),
+        ),
+        F.struct(
+            F.col("next").alias("id"), (F.col("pos") + F.col("span")).alias("pos"), no_pointer.alias("next"),
+            no_number.alias("span"),
+        ),
+    )
     moved = pairs.select(F.inline(F.filter(moved, lambda m: m["pos"].isNotNull() | m["next"].isNotNull())))
-    kept = state.select("id", "pos", no_pointer.alias("next"))
+    kept = state.select("id", "pos", no_pointer.alias("next"), no_number.alias("span"))
     # a page reached before keeps its first position, which is where a loop ends
-    return kept.unionByName(moved).groupBy("id").agg(F.min("pos").alias("pos"), F.max("next").alias("next"))
+    return kept.unionByName(moved).groupBy("id").agg(
+        F.min("pos").alias("pos"), F.max("next").alias("next"), F.max("span").alias("span")
+    )
 
 
 def missing_links(facts: DataFrame, chain: DataFrame) -> DataFrame:

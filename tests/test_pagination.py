@@ -191,9 +191,11 @@ def walk(facts):
     return out
 
 
+@pytest.mark.parametrize("numbering", ["in order", "shuffled", "none"])
 @pytest.mark.parametrize("hot_rows", [1_000_000, 5])
-def test_chains_against_a_walk(spark, hot_rows):
+def test_chains_against_a_walk(spark, hot_rows, numbering, monkeypatch):
     """Long, short, broken, looping and empty chains, with many pages that name one hot page."""
+    monkeypatch.setattr("pageframe.plans.chains.BLOCK", 16)
     rnd = random.Random(7)
     facts = []
     for s, length in enumerate([1, 2, 37, 64, 65, 100]):
@@ -207,6 +209,15 @@ def test_chains_against_a_walk(spark, hot_rows):
     facts += [["self", 0, "self", 200, 1, "self"], ["gap", 0, "gap", 200, 1, "nowhere"], ["late", 0, "elsewhere", 200, 1, None]]
     facts += [["empty", 0, "empty", 200, 1, "e1"], ["empty", 1, "e1", 200, 0, "e2"], ["empty", 2, "e2", 200, 1, None]]
     facts += [["twice", 5, "twice", 200, 1, "t1"], ["twice", 3, "twice", 200, 1, "t1"], ["twice", 4, "t1", 200, 1, None]]
+    if numbering == "shuffled":
+        for s in {f[0] for f in facts} - {"twice"}:
+            mine = [f for f in facts if f[0] == s]
+            numbers = [f[1] for f in mine]
+            rnd.shuffle(numbers)
+            for f, no in zip(mine, numbers, strict=True):
+                f[1] = no
+    if numbering == "none":
+        facts = [[f[0], 0, *f[2:]] for f in facts]
     rnd.shuffle(facts)
     df = spark.createDataFrame([tuple(f) for f in facts], FACTS)
     chain = resolve_chains(df, hot_rows=hot_rows)
