@@ -1,0 +1,78 @@
+"""XPath on one parsed document, for paths that the native subset does not cover.
+
+A small helper of the Arrow UDF and of the page walker; it goes as far as
+``xml.etree.ElementTree`` does: ``//``, ``*``, ``..``, ``[tag]``, ``[@a]``, ``[last()]``, ...
+"""
+
+from __future__ import annotations
+
+import re
+import xml.etree.ElementTree as ET
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def compile_path(path: str) -> tuple[str, str | None]:
+    """A path as ElementTree takes it, below the node it starts at, and a final attribute name."""
+    text = re.sub(r"(?<![\w:.\-])[\w.\-]+:(?=[\w*])", "", path.strip())  # prefixes do not count
+    text = re.sub(r"/?text\(\)$", "", text)
+    attribute = None
+    last = re.search(r"(?:^|/)@([\w.\-]+)$", text)
+    if last:
+        attribute, text = last.group(1), text[: last.start()]
+    text = text.strip()
+    below = "." if text in ("", ".", "/") else "." + (text if text.startswith("/") else "/" + text.removeprefix("./"))
+    bare = re.sub(r"'[^']*'|\"[^\"]*\"", "", text).replace("last()", "").replace("text()", "")
+    if re.search(r"::|[|$<>+,(){}]", bare) or bare.count("[") != bare.count("]"):
+        raise ValueError(f"unsupported XPath '{path}'")
+    try:
+        list(ET.Element("x").iterfind(below))
+    except (SyntaxError, KeyError) as e:
+        raise ValueError(f"unsupported XPath '{path}': {e}") from e
+    return below, attribute
+
+
+def document(text: str) -> ET.Element:
+    """A parsed document below a node of its own, without name prefixes."""
+    top = ET.Element("document")
+    top.append(ET.fromstring(text))  # noqa: S314
+    for e in top.iter():
+        e.tag = e.tag.rpartition("}")[2]
+        e.attrib = {k.rpartition("}")[2]: v for k, v in e.attrib.items()}
+    return top
+
+
+def node_text(e: ET.Element) -> str:
+    """Text of a leaf, inner XML of an element with children."""
+    return (e.text or "") + "".join(ET.tostring(c, encoding="unicode") for c in e)
+
+
+def first_value(start: ET.Element, below: str, attribute: str | None) -> str | None:
+    found = start if below == "." else start.find(below)
+    if found is None:
+        return None
+    return found.get(attribute) if attribute else node_text(found)
+
+
+def element_values(text: Column, result_path: str, fields: list[str]) -> Column:
+    """Per element of the result path the first value of each field path: ``array<array<string>>``.
+
+    NULL for a body that is no XML. Runs in Arrow batches of whole bodies.
+    """
+    elements, _ = compile_path(result_path)
+    wanted = [compile_path(p) for p in fields]
+
+    @F.pandas_udf("array<array<string>>")
+    def values(bodies: pd.Series) -> pd.Series:
+        def one(body: str | None) -> list | None:
+            try:
+                top = document(body or "")
+            except ET.ParseError:
+                return None
+            return [[first_value(e, *w) for w in wanted] for e in top.findall(elements)]
+
+        return pd.Series([one(b) for b in bodies], dtype=object)
+
+    return values(text)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageframe.functions.etree_paths import element_values
 from pageframe.functions.paths import json_primitive, split_path, variant_at
 from pageframe.functions.text import body_text, drop_tail, split_lines
 from pageframe.functions.xpaths import Node, add_path, parse_xpath
@@ -12,7 +13,15 @@ from pageframe.operators.errors import SUCCESS, with_strategy
 from pageframe.operators.json_pages import json_entries, parse_document, result_items
 from pageframe.operators.line_pages import DELIMITERS, blob_entries, delimited_entries, text_entries
 from pageframe.operators.responses import KEYS
-from pageframe.operators.xml_pages import CORRUPT, absolute_nodes, first_text, parse_xml, root_matches, xml_entries
+from pageframe.operators.xml_pages import (
+    CORRUPT,
+    absolute_nodes,
+    first_text,
+    is_native,
+    parse_xml,
+    root_matches,
+    xml_entries,
+)
 from pageframe.options import SourceOptions
 
 
@@ -62,6 +71,13 @@ def locate(pages: DataFrame, options: SourceOptions, link_path: str | None = Non
         n = F.when(items.isNull(), F.lit(1)).otherwise(n)
         if link_path:
             link = json_link(F.col("doc"), link_path)
+    elif fmt == "xml" and not is_native(options.result_path, link_path or "/x"):
+        # the elements of the result path, then the document itself with the link
+        pages = pages.withColumn("doc", F.when(good, element_values(text, options.result_path, [])))
+        n = F.when(F.col("doc").isNull(), F.lit(1)).otherwise(F.size("doc"))
+        if link_path:
+            of_document = F.when(good, element_values(text, ".", [link_path.strip()]))
+            link = F.get(F.get(of_document, F.lit(0)), F.lit(0))
     elif fmt == "xml":
         path = parse_xpath(options.result_path)
         wanted = parse_xpath("/" + link_path.strip().lstrip("/")) if link_path else None

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pageframe.functions.etree_paths import element_values
 from pageframe.functions.typed import text_to
 from pageframe.functions.xpaths import (
     Node,
@@ -73,13 +74,44 @@ def xml_entries(
 ) -> DataFrame:
     """Records of XML pages. Fields without a mapping are read from the child of that name."""
     mapping = mapping or {}
-    path = parse_xpath(result_path)
-    fields = [parse_xpath(mapping.get(f.name, f.name).strip().lstrip("/")) for f in schema]
+    paths = [mapping.get(f.name, f.name).strip().lstrip("/") for f in schema]
+    raw = [f"r{i}" for i in range(len(schema))]
+    if is_native(result_path, *paths):
+        rows = _native_rows(pages, result_path, paths, raw)
+    else:
+        rows = _walked_rows(pages, result_path, paths, raw)
+
+    values = [f"v{i}" for i in range(len(schema))]
+    rows = rows.select("*", *[_typed(F.col(r), f).alias(v) for f, r, v in zip(schema, raw, values, strict=True)])
+    plain = F.lit(True)
+    for field, r, v in zip(schema, raw, values, strict=True):
+        if not field.nullable:
+            plain = plain & F.col(v).isNotNull()
+        elif not isinstance(field.dataType, T.StringType):
+            plain = plain & (F.col(v).isNotNull() | F.col(r).isNull() | (F.col(r) == ""))
+    row = F.struct(*[F.col(r).alias(f.name) for f, r in zip(schema, raw, strict=True)])
+    problem = F.when(F.col("page_error").isNull() & ~plain, rarely(row, lambda e: element_error(e, schema)))
+    return finish(rows, schema, problem, handling, [F.col(v) for v in values], None)
+
+
+def is_native(*paths: str) -> bool:
+    """True if all paths are in the subset that becomes Spark expressions."""
+    try:
+        return all(parse_xpath(p) for p in paths)
+    except ValueError:
+        return False
+
+
+NOT_XML = "The page is not valid XML"
+
+
+def _native_rows(pages: DataFrame, result_path: str, paths: list[str], raw: list[str]) -> DataFrame:
+    """One row per element with the texts of its fields, by ``from_xml``."""
+    path, fields = parse_xpath(result_path), [parse_xpath(p) for p in paths]
     root = Node()
     element = add_path(root, path)
     for p in fields:
         add_path(element, p)
-
     parsed = pages.select(*PAGE, "status", "text", F.when(is_success(), parse_xml(F.col("text"), root)).alias("doc"))
     doc = F.col("doc")
     items = absolute_nodes(doc, root, path)[0]
@@ -88,23 +120,19 @@ def xml_entries(
         F.when(root_matches(F.col("text"), path), items)
         .otherwise(F.array().cast(f"array<{element.ddl()}>"))
         .alias("items"),
-        page_problem(doc.isNull() | doc[CORRUPT].isNotNull(), "The page is not valid XML").alias("page_error"),
+        page_problem(doc.isNull() | doc[CORRUPT].isNotNull(), NOT_XML).alias("page_error"),
     )
     rows = explode_entries(found, F.col("items"))
-    raw = [f"r{i}" for i in range(len(schema))]
-    rows = rows.select("*", *[select_text(F.col("entry"), element, p).alias(r) for p, r in zip(fields, raw, strict=True)])
+    return rows.select("*", *[select_text(F.col("entry"), element, p).alias(r) for p, r in zip(fields, raw, strict=True)])
 
-    values = [f"v{i}" for i in range(len(schema))]
-    rows = rows.select("*", *[_typed(F.col(r), f).alias(v) for f, r, v in zip(schema, raw, values, strict=True)])
-    plain = F.lit(True)
-    for field, r, v in zip(schema, raw, values, strict=True):
-        if not field.nullable:
-            plain = plain & F.col(v).isNotNull()
-        elif not isinstance(field.dataType, T.StringType):
-            plain = plain & (F.col(v).isNotNull() | F.col(r).isNull() | (F.col(r) == ""))
-    row = F.struct(*[F.col(r).alias(f.name) for f, r in zip(schema, raw, strict=True)])
-    problem = F.when(F.col("page_error").isNull() & ~plain, rarely(row, lambda e: element_error(e, schema)))
-    return finish(rows, schema, problem, handling, [F.col(v) for v in values], None)
+
+def _walked_rows(pages: DataFrame, result_path: str, paths: list[str], raw: list[str]) -> DataFrame:
+    """The same for paths outside the subset, by the Arrow UDF."""
+    items = F.when(is_success(), element_values(F.col("text"), result_path, paths))
+    found = pages.select(*PAGE, "status", "text", items.alias("items"))
+    found = found.select(*PAGE, "items", page_problem(F.col("items").isNull(), NOT_XML).alias("page_error"))
+    rows = explode_entries(found, F.col("items"))
+    return rows.select("*", *[F.get("entry", F.lit(i)).alias(r) for i, r in enumerate(raw)])
 
 
 def _typed(text: Column, field: T.StructField) -> Column:

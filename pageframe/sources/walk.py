@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 from urllib.parse import quote_plus, urljoin, urlsplit
 
+from pageframe.functions.etree_paths import compile_path, document, node_text
 from pageframe.functions.paths import split_path
 from pageframe.functions.urls import ABSOLUTE_URL, INDEX_PLACEHOLDER, NEXT_LINK
 from pageframe.operators.errors import DEFAULT_STRATEGY, SEND, SKIP, STOP, STRATEGIES, SUCCESS
@@ -82,20 +83,9 @@ def _json_at(document: object, path: str | None) -> tuple[object, bool]:
     return document, True
 
 
-def _xml_at(text: str, path: str) -> list[str]:
-    import xml.etree.ElementTree as ET
-
-    root = ET.fromstring(text)  # noqa: S314
-    for e in root.iter():
-        e.tag = e.tag.rpartition("}")[2] if isinstance(e.tag, str) else e.tag
-        e.attrib = {k.rpartition("}")[2]: v for k, v in e.attrib.items()}
-    steps = [s for s in re.sub(r"(?<=[/\[@])[\w.\-]+:", "", "/" + path.strip().lstrip("/")).split("/") if s]
-    attribute = steps.pop()[1:] if steps[-1].startswith("@") else None
-    steps = [s for s in steps if s != "text()"]
-    if re.sub(r"\[.*", "", steps[0]) != root.tag:
-        return []
-    found = root.findall("/".join(["."] + steps[1:])) if steps[1:] else [root]
-    return [(e.get(attribute, "") if attribute else "".join(e.itertext())) for e in found]
+def _xml_at(text: str, path: str) -> list[str | None]:
+    below, attribute = compile_path("/" + path.strip().lstrip("/") if not path.strip().startswith("//") else path)
+    return [e.get(attribute) if attribute else node_text(e) for e in document(text).findall(below)]
 
 
 def is_empty(options: SourceOptions, body: bytes) -> bool:

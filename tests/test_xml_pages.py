@@ -97,7 +97,49 @@ def test_primitive(spark, path, value):
 
 
 @pytest.mark.parametrize("path", ["//a", "/a/*", "/a/b[last()]", "/a[b>1]", "/a/parent::b"])
-def test_paths_outside_the_subset_are_refused(path):
+def test_paths_outside_the_subset(path):
     with pytest.raises(ValueError, match="unsupported"):
         parse_xpath(path)
+
+
+@pytest.mark.parametrize("path", ["/a[b>1]", "/a/parent::b", "/a|/b", "/a[", "/a/b[position()<3]"])
+def test_paths_that_are_refused(spark, path):
     assert [f.option for f in options("a STRING", path).validate()] == ["result_path"]
+
+
+@pytest.mark.parametrize(
+    ("path", "titles"),
+    [
+        ("//book", ["Italian", "XQuery", "Trois"]),
+        ("/bookstores//book[@category='web']", ["XQuery", "Trois"]),
+        ("/bookstores/*/book[last()]", ["XQuery", "Trois"]),
+        ("/bookstores/bookstore/book[author]", ["Italian", "XQuery"]),
+        ("/other//book", []),
+    ],
+)
+def test_walked_paths(parsed, path, titles):
+    o = options("title STRING NOT NULL, lang STRING, value DOUBLE", path, fields_mapping={"lang": "title/@lang", "value": ".//value"})
+    got = parsed(o, STORES)
+    assert [r[0] for r, *_ in got] == titles
+    if titles[:1] == ["Italian"]:
+        assert got[0][0] == ("Italian", "en", 15.0)
+
+
+@pytest.mark.parametrize("path", ["/bookstores/bookstore/book", "/bookstores/bookstore/book[@category='web']", "/bookstores/bookstore[2]/book"])
+def test_walked_and_native_paths_agree(parsed, path, monkeypatch):
+    o = options(
+        "title STRING, lang STRING, year STRING, price STRING, author STRING",
+        path,
+        fields_mapping={"lang": "title/@lang", "price": "price/policy"},
+    )
+    native = parsed(o, STORES, "<x", "<bookstores/>")
+    monkeypatch.setattr("pageframe.operators.xml_pages.is_native", lambda *p: False)
+    walked = parsed(o, STORES, "<x", "<bookstores/>")
+    assert native == walked and len(native) > 1
+
+
+def test_walked_links_and_counts(pages):
+    body = '<a:r xmlns:a="u"><links><link rel="x" href="n2"/></links><e/><k><e/></k></a:r>'
+    o = options("v STRING", "//e", pagination_type="Link in response body", next_page_field_path="//link/@href")
+    row = pf.page_facts(pages(body, seed="http://h/p"), o).first()
+    assert (row.n_entries, row.next_url) == (2, "http://h/n2")
