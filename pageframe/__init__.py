@@ -17,6 +17,7 @@ from pageframe.plans.chains import missing_links, pages_on_chain, resolve_chains
 from pageframe.plans.next_url import page_facts
 from pageframe.plans.page_plan import index_plan, missing_pages, replay, stop_on_empty
 from pageframe.sources.capture import capture_transport, read_capture, write_capture
+from pageframe.sources.fetch import fetch_seeds, fetch_urls, keep
 from pageframe.sources.reader import PagesDataSource, fetch_pages, reader_options
 from pageframe.sources.writer import MessagesDataSource, send_messages, writer_options
 
@@ -36,8 +37,11 @@ __all__ = [
     "build_messages",
     "capture_transport",
     "fetch_pages",
+    "fetch_seeds",
+    "fetch_urls",
     "in_order",
     "index_plan",
+    "keep",
     "infer_columns",
     "infer_schema",
     "missing_links",

@@ -25,12 +25,14 @@ STRATEGIES: dict[str, tuple[bool, str]] = {
 }
 DEFAULT_STRATEGY = "Fail"
 
-ERROR_TYPE = "struct<code int, message string, body string>"
+ERROR_TYPE = "struct<code int, message string, body string, body_bytes binary>"
 
 
-def make_error(code: Column | int, message: Column, body: Column) -> Column:
+def make_error(code: Column | int, message: Column, body: Column, body_bytes: Column | None = None) -> Column:
+    """An error record; ``body_bytes`` is the body of pages that are bytes, else NULL."""
     code = F.lit(code) if isinstance(code, int) else code
-    return F.struct(code.cast("int").alias("code"), message.alias("message"), body.alias("body"))
+    raw = F.lit(None).cast("binary") if body_bytes is None else body_bytes
+    return F.struct(code.cast("int").alias("code"), message.alias("message"), body.alias("body"), raw.alias("body_bytes"))
 
 
 def no_error() -> Column:
@@ -52,10 +54,10 @@ def with_strategy(responses: DataFrame, rules: Sequence[tuple[str, str]]) -> Dat
     )
 
 
-def status_error(status: Column, text: Column) -> Column:
+def status_error(status: Column, text: Column, body_bytes: Column | None = None) -> Column:
     """Error of a page whose status was not a success: the status as code, the body as text."""
     message = F.format_string("Request failed with '%d' http status code. Body is '%s'", status, text)
-    return make_error(status, message, text)
+    return make_error(status, message, text, body_bytes)
 
 
 def keep_or_stop(parsed: DataFrame, keep: Column) -> DataFrame:
@@ -101,7 +103,7 @@ def good_records(parsed: DataFrame, positions: bool = False) -> DataFrame:
 
 def sent_errors(parsed: DataFrame) -> DataFrame:
     return keep_or_stop(parsed, is_sent()).select(
-        "seed", "page_no", "entry_no", "url", "error.code", "error.message", "error.body"
+        "seed", "page_no", "entry_no", "url", "error.code", "error.message", "error.body", "error.body_bytes"
     )
 
 

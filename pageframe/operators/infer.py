@@ -59,7 +59,8 @@ def infer_columns(responses: DataFrame, options: SourceOptions) -> DataFrame:
             for name in LATTICE
         ],
     )
-    rows = sampled.groupBy("seed").agg(F.count_if(~is_header).alias("n_rows"))
+    # every line has a first column, so its cells count the lines (the same shuffle is used again)
+    rows = folded.filter(F.col("position") == 0).select("seed", F.col("n_cells").alias("n_rows"))
     kind = F.lit("string")
     for name in reversed(LATTICE):
         kind = F.when(F.col(f"is_{name}"), F.lit(name)).otherwise(kind)

@@ -126,7 +126,7 @@ def element_error(schema: T.StructType, paths: list[list[str]]) -> str:
         f"CASE WHEN get(s.states, {first_bad}) = {WRONG} THEN concat('is not of type ', get(array({kinds}), {first_bad})) "
         "ELSE 'is null. Check if the field should be set to Nullable in the output schema.' END) END"
     )
-    error = "named_struct('code', {code}, 'message', {message}, 'body', s.body)"
+    error = "named_struct('code', {code}, 'message', {message}, 'body', s.body, 'body_bytes', CAST(NULL AS BINARY))"
     wrong = error.format(code=0, message="concat('Cannot convert line \\'', s.body, '\\' to a record. Reason: ', r)")
     partial = error.format(code=1, message=quote(NOT_ALL_FOUND))
     judged = (

@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 
 from pageframe.functions.text import drop_tail, split_lines
 from pageframe.functions.typed import text_to
+from pageframe.operators.errors import status_error
 from pageframe.operators.entries import (
     PAGE,
     explode_entries,
     finish,
     first_reason,
+    is_success,
     line_error,
     page_problem,
     rarely,
@@ -123,6 +125,6 @@ def blob_entries(pages: DataFrame, schema: T.StructType, handling: str) -> DataF
         *PAGE,
         "body",
         F.lit(0).alias("entry_no"),
-        page_problem(F.lit(False), "").alias("page_error"),
+        F.when(~is_success(), status_error(F.col("status"), F.col("text"), F.col("body"))).alias("page_error"),
     )
     return finish(rows, schema, F.lit(None), handling, [F.col("body")], None)

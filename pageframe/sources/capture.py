@@ -16,10 +16,15 @@ from pageframe.sources.transport import Headers, Transport
 
 
 def write_capture(responses: DataFrame, path: str, buckets: int = 64, mode: str = "errorifexists") -> None:
-    """Write responses in buckets; a URL decides its bucket, so no seed can fill one alone."""
+    """Write responses in buckets; a URL decides its bucket, so no seed can fill one alone.
+
+    Inside a bucket rows are spread by all they hold, so that many captures of one URL do not
+    meet in one task. Take about one bucket per GB, so that a lookup stays small.
+    """
     bucket = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(buckets)).cast("int")
     rows = responses.select("seed", "page_no", "url", "status", "headers", "body").withColumn("bucket", bucket)
-    rows = rows.repartition("bucket", F.pmod(F.xxhash64("url"), F.lit(4))).sortWithinPartitions("bucket", "url")
+    spread = F.pmod(F.xxhash64("seed", "page_no", "url", "status", "body"), F.lit(4))
+    rows = rows.repartition("bucket", spread).sortWithinPartitions("bucket", "url")
     rows.write.mode(mode).partitionBy("bucket").option("parquet.block.size", 32 << 20).parquet(path)
 
 

@@ -31,6 +31,7 @@ from pyspark.sql.datasource import (
 from pageframe.operators.responses import RESPONSE_SCHEMA
 from pageframe.options import INCREMENT_INDEX, SourceOptions
 from pageframe.plans.page_plan import page_count
+from pageframe.sources.fetch import RESPONSE_ARROW, as_batch, keep
 from pageframe.sources.transport import Transport, pack, unpack
 from pageframe.sources.walk import Cursor, Response, walk
 
@@ -189,19 +190,8 @@ class Spool:
 
     def write(self, url: str, number: int, pages: Iterator[tuple[Response | None, Cursor]], start: Cursor) -> None:
         """Write the pages as they come (one at a time in memory), then the entry file."""
-        import pyarrow as pa
         import pyarrow.parquet as pq
 
-        schema = pa.schema(
-            [
-                ("seed", pa.string()),
-                ("page_no", pa.int64()),
-                ("url", pa.string()),
-                ("status", pa.int32()),
-                ("headers", pa.map_(pa.string(), pa.list_(pa.string()))),
-                ("body", pa.binary()),
-            ]
-        )
         folder = self._folder(url)
         self.files.create_dir(folder, recursive=True)
         data = f"{folder}/{number:012d}-{uuid.uuid4().hex}.parquet"
@@ -210,10 +200,8 @@ class Spool:
             cursor = after
             if page is None:
                 continue
-            writer = writer or pq.ParquetWriter(data, schema, filesystem=self.files)
-            row = dict(zip(schema.names, page.as_tuple(), strict=True))
-            row["headers"] = list(row["headers"].items())
-            writer.write_table(pa.Table.from_pylist([row], schema=schema))
+            writer = writer or pq.ParquetWriter(data, RESPONSE_ARROW, filesystem=self.files)
+            writer.write_batch(as_batch(page))
         if writer is not None:
             writer.close()
         content = {"data": data if writer is not None else None, "cursor": cursor.as_dict()}
@@ -298,5 +286,4 @@ def fetch_pages(
     options.check()
     register(spark)
     given = reader_options(options, transport, urls, partitions)
-    spark.read.format("pages").options(**given).load().write.mode("errorifexists").parquet(path)
-    return spark.read.schema(RESPONSE_SCHEMA).parquet(path)
+    return keep(spark.read.format("pages").options(**given).load(), path)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,14 +45,31 @@ def fetched_stream(
 def unseen(responses: DataFrame, on_change: bool = False) -> DataFrame:
     """Pages whose URL was not given out before, or, with ``on_change``, whose content is new.
 
-    State is keyed by seed and URL, so one busy seed is spread over all state partitions. Only
-    keys are kept as state, but without a bound in time; use a stream with a watermark and
-    ``dropDuplicatesWithinWatermark`` where pages may be forgotten.
+    State is keyed by seed and URL, so one busy seed is spread over all state partitions; copies
+    of one page are thinned in their tasks before the shuffle, so that a page captured very often
+    does not crowd one of them. Only keys are kept as state, but without a bound in time; use a
+    stream with a watermark and ``dropDuplicatesWithinWatermark`` where pages may be forgotten.
     """
-    if not on_change:
-        return responses.dropDuplicates(["seed", "url"])
-    hashed = responses.withColumn("_hash", F.sha2("body", 256))
-    return hashed.dropDuplicates(["seed", "url", "_hash"]).drop("_hash")
+    keys = ["seed", "url"]
+    if on_change:
+        responses, keys = responses.withColumn("_hash", F.sha2("body", 256)), ["seed", "url", "_hash"]
+    thinned = responses.mapInArrow(_first_copies(keys), responses.schema)
+    return thinned.dropDuplicates(keys).drop("_hash")
+
+
+def _first_copies(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Arrow function that keeps the first row of each key in a task; it remembers keys only."""
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in batches:
+            new = []
+            for key in zip(*[batch.column(k).to_pylist() for k in keys], strict=True):
+                new.append(key not in seen)
+                seen.add(key)
+            yield batch if all(new) else batch.filter(pa.array(new, pa.bool_()))
+
+    return thin
 
 
 def parse_stream(responses: DataFrame, options: SourceOptions) -> Routed:

@@ -214,6 +214,19 @@ def test_open_index_stops_at_the_empty_page(spark, tmp_path):
     assert got.count() == 4 and len(list((tmp_path / "log").iterdir())) == 5
 
 
+def test_fetch_by_dataframe(spark, tmp_path):
+    o = SourceOptions(**JSON, **INDEX, max_index=5)
+    seeds = spark.createDataFrame([("http://a/p?page={pagination.index}",), ("http://b/p?page={pagination.index}",)], "seed string")
+    plan = pf.index_plan(seeds, 0, 1, 6).repartition(3)
+    got = pf.keep(pf.fetch_urls(plan, o, paged(100)), str(tmp_path / "a"))
+    assert sorted((r.seed[7], r.page_no, r.url[-1]) for r in got.collect()) == [(s, i, str(i)) for s in "ab" for i in range(6)]
+    chains = pf.fetch_seeds(spark.createDataFrame([("http://a/p",), ("http://b/p",)], "seed string"), SourceOptions(**JSON, **HEADER), paged(3, link="header"))
+    assert sorted((r.seed, r.page_no) for r in chains.collect()) == [(s, i) for s in ("http://a/p", "http://b/p") for i in range(3)]
+    refused = pf.fetch_urls(plan, o, lambda *a: (404, {}, b"gone"))
+    with pytest.raises(Exception, match="returned status code '404' and body 'gone'"):
+        refused.count()
+
+
 def test_capture_round_trip(spark, tmp_path, pages):
     given = pages("a", "b", "c", seed="http://h/x", headers=[{"Link": ["l"]}, None, None], status=[200, 500, 200])
     path = str(tmp_path / "cap")

@@ -50,6 +50,7 @@ def _statuses(values: list[int]) -> str:
 
 ORACLES: dict[str, str] = {
     "scan_pages": f"SELECT {PAGE}, {ORDER} FROM orders",
+    "fetch_responses": f"SELECT {PAGE}, {ORDER} FROM orders",
     "ordered_records": f"SELECT '{HOST}/orders?page={{pagination.index}}' AS seed, {PAGE}, {ORDER} FROM orders",
     "response_cols": """SELECT page_id AS page_no, url, CAST(200 AS INTEGER) AS status, CAST(octet_length(encode(html)) AS BIGINT) AS n_bytes,
         html AS text, 'text/html' AS header_content_type, CAST(page_id AS VARCHAR) AS header_x_id,
@@ -83,6 +84,10 @@ ORACLES: dict[str, str] = {
         p_partkey AS id, p_brand AS brand FROM part WHERE p_type = 'ECONOMY'""",
     "xml_node_text": """SELECT p_partkey // 50 AS page_no, p_partkey % 50 AS entry_no, p_partkey AS id,
         CASE WHEN p_size % 2 <> 0 THEN '<' || p_name || '>' END AS note, '<b>' || p_brand || '</b>' AS box FROM part""",
+    "xml_walked_path": """SELECT p_partkey // 50 AS page_no, p_partkey % 50 AS entry_no, p_partkey AS id, p_retailprice AS price,
+        CASE WHEN p_size % 2 <> 0 THEN '<' || p_name || '>' END AS note FROM part""",
+    "bytes_errors": """SELECT page_id AS page_no, CAST(500 AS INTEGER) AS code, CAST(octet_length(encode(html)) AS BIGINT) AS n_bytes,
+        md5(html) AS digest FROM pages WHERE page_id % 3 = 0""",
     "xml_next_link": f"""SELECT page_no, '{HOST}/parts?page=' || page_no AS url, count(*) AS n_entries,
         CASE WHEN page_no % 3 <> 2 THEN '{HOST}/parts?page=' || (page_no + 1) END AS next_url
         FROM (SELECT p_partkey // 50 AS page_no FROM part) GROUP BY page_no""",

@@ -71,6 +71,18 @@ def scan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(spark.read.format("pages").options(**given).load(), options)
 
 
+@query
+def fetch_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planned URLs fetched by the tasks that hold them, then parsed."""
+    path = fresh_path(spark, "capture")
+    pages = order_pages(spark, sf_dir)
+    pf.write_capture(pages, path)
+    plan = pf.read_capture(spark, path).select("seed", "page_no", "url").repartition(8)
+    options = orders_options()
+    got = pf.keep(pf.fetch_urls(plan, options, pf.capture_transport(path)), fresh_path(spark, "fetched"))
+    return records(got, options)
+
+
 @query
 def ordered_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = pf.read_captured(order_pages(spark, sf_dir), orders_options(), positions=True)
@@ -272,6 +284,17 @@ def xml_node_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(part_pages(spark, sf_dir), options)
 
 
+@query
+def xml_walked_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths outside the native subset: descendants and the last child."""
+    options = pf.SourceOptions(
+        schema="id BIGINT NOT NULL, price DOUBLE NOT NULL, note STRING",
+        fields_mapping={"price": ".//d:Price", "note": ".//Note"},
+        **{**PARTS, "result_path": "//entry[content]"},
+    )
+    return records(part_pages(spark, sf_dir), options)
+
+
 @query
 def xml_next_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = part_pages(spark, sf_dir)
@@ -553,13 +576,26 @@ def status_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 def http_error_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failed pages that are sent to error; skipped ones give nothing, good ones their records."""
     pages = _status_pages(spark, sf_dir, [200, 404, 429, 503, 500])
-    return route(pf.parse_pages(pages, orders_options(http_errors_handling=RULES))).errors.drop("seed")
+    return route(pf.parse_pages(pages, orders_options(http_errors_handling=RULES))).errors.drop("seed", "body_bytes")
+
+
+@query
+def bytes_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failed pages of a binary source keep their bytes."""
+    pages = table(spark, sf_dir, "pages")
+    status = F.when(F.col("page_id") % 3 == 0, F.lit(500)).otherwise(F.lit(200))
+    got = responses(pages, F.col("url"), F.col("page_id"), F.col("url"), F.col("html"), status=status)
+    options = pf.SourceOptions(
+        url=f"{HOST}/", format="blob", schema="content BINARY NOT NULL", pagination_type="Link in response header", http_errors_handling=RULES[:3] + [("5..", "Send to error")]
+    )
+    sent = route(pf.parse_pages(got, options)).errors
+    return sent.select("page_no", "code", F.octet_length("body_bytes").cast("bigint").alias("n_bytes"), F.md5("body_bytes").alias("digest"))
 
 
 @query
 def send_to_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = pf.parse_pages(bad_customer_pages(spark, sf_dir), csv_options(error_handling="sendToError"))
-    return route(parsed).errors.drop("seed")
+    return route(parsed).errors.drop("seed", "body_bytes")
 
 
 @query
