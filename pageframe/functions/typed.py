@@ -5,8 +5,6 @@ The tests are SQL text: they are long, and a text is one call to the JVM instead
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageframe.functions.paths import variant_path
@@ -131,16 +129,27 @@ def field_state(item: str, parts: list[str], field: T.StructField) -> str:
     )
 
 
-def text_to(value: Column, dtype: T.DataType) -> Column:
-    """A text value as ``dtype``; NULL if it does not convert."""
-    if isinstance(dtype, T.StringType):
-        return value
-    if isinstance(dtype, T.BinaryType):
-        return value.cast("binary")
-    if isinstance(dtype, T.BooleanType):
-        word = F.lower(value)
-        return F.when(word == "true", F.lit(True)).when(word == "false", F.lit(False))
-    return value.try_cast(dtype)
+def text_as(text: str, field: T.StructField) -> str:
+    """A text value as the type of ``field``; NULL if it does not convert.
+
+    An empty text is NULL, but for a text field that must not be null.
+    """
+    if isinstance(field.dataType, T.StringType):
+        return f"nullif({text}, '')" if field.nullable else text
+    if isinstance(field.dataType, T.BinaryType):
+        return f"CAST(nullif({text}, '') AS BINARY)"
+    if isinstance(field.dataType, T.BooleanType):
+        return f"CASE lower({text}) WHEN 'true' THEN true WHEN 'false' THEN false END"
+    return f"try_cast(nullif({text}, '') AS {field.dataType.simpleString()})"
+
+
+def text_is_plainly_fine(text: str, typed: str, field: T.StructField) -> str:
+    """True if a text value, already read as ``typed``, is no error of its field."""
+    if not field.nullable:
+        return f"{typed} IS NOT NULL"
+    if isinstance(field.dataType, T.StringType):
+        return "true"
+    return f"({typed} IS NOT NULL OR coalesce({text}, '') = '')"
 
 
 def aside(value: str, name: str, expression: str) -> str:

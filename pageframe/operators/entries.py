@@ -1,76 +1,63 @@
-"""What the page formats share: one exploded row per entry, then a record or an error."""
+"""What the page formats share: one exploded row per entry, then a record or an error.
 
-from __future__ import annotations
+Conditions are SQL text over the columns of the page: one call to the JVM each.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from pageframe.functions.schemas import as_nullable
+from pageframe.functions.typed import quote
 from pageframe.operators.errors import ERROR_TYPE, SUCCESS, make_error, status_error
 from pageframe.operators.responses import KEYS
 
 PAGE = (*KEYS, "after_retry")
 # Fixed value: message of an entry whose required fields were not all found.
 NOT_ALL_FOUND = "Couldn't find all required fields in the record"
+IS_SUCCESS = f"after_retry = {quote(SUCCESS)}"
+NO_ERROR = f"CAST(NULL AS {ERROR_TYPE})"
 
 
-def is_success() -> Column:
-    return F.col("after_retry") == SUCCESS
-
-
-def page_problem(unreadable: Column, reason: str) -> Column:
-    """Error of a whole page: a status that was no success, or a body that cannot be read."""
-    return F.when(~is_success(), status_error(F.col("status"), F.col("text"))).when(
-        unreadable, make_error(0, F.lit(reason), F.col("text"))
-    )
-
-
-def explode_entries(pages: DataFrame, items: Column, *carry: str) -> DataFrame:
-    """One row per entry; a page with a problem becomes one row without an entry."""
-    items = F.when(F.col("page_error").isNotNull(), F.array(F.lit(None))).otherwise(items)
-    return pages.select(*PAGE, *carry, "page_error", F.posexplode(items).alias("entry_no", "entry"))
+def page_problem(*unreadable: tuple[str, str], body_bytes: str = "CAST(NULL AS BINARY)") -> str:
+    """SQL for the error of a whole page: a status that was no success, or a body that cannot be
+    read, given as conditions with their reasons."""
+    whens = [f"WHEN NOT ({IS_SUCCESS}) THEN {status_error(body_bytes)}"]
+    whens += [f"WHEN {condition} THEN {make_error(0, quote(reason), 'text')}" for condition, reason in unreadable]
+    return " ".join(["CASE", *whens, "END"])
 
 
-def rarely(value: Column, fn: Callable[[Column], Column]) -> Column:
-    """``fn(value)`` outside the generated code, for large expressions that few rows need."""
-    return F.get(F.transform(F.array(value), fn), F.lit(0))
+def explode_entries(pages: DataFrame, *carry: str) -> DataFrame:
+    """One row per entry of ``items``; a page with a problem becomes one row without an entry."""
+    items = "CASE WHEN page_error IS NOT NULL THEN array(NULL) ELSE items END"
+    return pages.selectExpr(*PAGE, *carry, "page_error", f"posexplode({items}) AS (entry_no, entry)")
 
 
-def line_error(body: Column, reason: Column) -> Column:
-    message = F.concat(F.lit("Cannot convert line '"), body, F.lit("' to a record. Reason: "), reason)
+def line_error(body: str, reason: str) -> str:
+    message = f"concat('Cannot convert line \\'', {body}, '\\' to a record. Reason: ', {reason})"
     return make_error(0, message, body)
 
 
-def first_reason(reasons: list[tuple[Column, str]]) -> Column:
-    """Text of the first condition that holds, NULL if none does."""
-    out = None
-    for condition, text in reasons:
-        out = F.when(condition, F.lit(text)) if out is None else out.when(condition, F.lit(text))
-    return F.lit(None).cast("string") if out is None else out
+def first_reason(reasons: list[tuple[str, str]]) -> str:
+    """SQL for the text of the first condition that holds."""
+    whens = [f"WHEN {condition} THEN {quote(text)}" for condition, text in reasons]
+    return " ".join(["CASE", *whens, "ELSE 'unknown'", "END"])
 
 
 def finish(
-    df: DataFrame, schema: T.StructType, entry_error: Column, handling: str, values: list[Column], partial: Column | None
+    df: DataFrame, schema: T.StructType, entry_error: str, handling: str, values: list[str], keeps_partial: bool = False
 ) -> DataFrame:
     """``record`` or ``error`` per entry, with the handling that applies to an error.
 
-    ``partial`` marks errors that still carry the converted record.
+    With ``keeps_partial`` errors of code 1 still carry the converted record.
     """
-    record = F.struct(*[v.alias(f.name) for v, f in zip(values, schema, strict=True)])
-    empty = F.lit(None).cast(as_nullable(schema))
-    error = F.coalesce(F.col("page_error"), entry_error).cast(ERROR_TYPE)
-    keep = F.col("error").isNull()
-    if partial is not None:
-        keep = keep | partial
-    outcome = F.struct(
-        F.col("entry_no").cast("bigint").alias("entry_no"),
-        F.when(keep, record).otherwise(empty).alias("record"),
-        F.col("error"),
-        F.when(is_success(), F.lit(handling)).otherwise(F.col("after_retry")).alias("handling"),
+    record = ", ".join(f"{quote(f.name)}, {v}" for v, f in zip(values, schema, strict=True))
+    keep = "error IS NULL OR error.code = 1" if keeps_partial else "error IS NULL"
+    outcome = (
+        f"named_struct('entry_no', CAST(entry_no AS BIGINT), 'record', CASE WHEN {keep} THEN named_struct({record}) END, "
+        f"'error', error, 'handling', CASE WHEN {IS_SUCCESS} THEN {quote(handling)} ELSE after_retry END)"
     )
     # The outcome is generated, not projected: a filter on ``error`` would else be pushed below
     # the projection with a second copy of all that ``error`` is made of.
-    return df.withColumn("error", error).select(*KEYS, F.inline(F.array(outcome)))
+    judged = df.selectExpr("*", f"CAST(coalesce(page_error, {entry_error}) AS {ERROR_TYPE}) AS error")
+    return judged.selectExpr(*KEYS, f"inline(array({outcome}))")

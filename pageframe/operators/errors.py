@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pageframe.functions.typed import quote
@@ -28,15 +28,9 @@ DEFAULT_STRATEGY = "Fail"
 ERROR_TYPE = "struct<code int, message string, body string, body_bytes binary>"
 
 
-def make_error(code: Column | int, message: Column, body: Column, body_bytes: Column | None = None) -> Column:
-    """An error record; ``body_bytes`` is the body of pages that are bytes, else NULL."""
-    code = F.lit(code) if isinstance(code, int) else code
-    raw = F.lit(None).cast("binary") if body_bytes is None else body_bytes
-    return F.struct(code.cast("int").alias("code"), message.alias("message"), body.alias("body"), raw.alias("body_bytes"))
-
-
-def no_error() -> Column:
-    return F.lit(None).cast(ERROR_TYPE)
+def make_error(code: str | int, message: str, body: str, body_bytes: str = "CAST(NULL AS BINARY)") -> str:
+    """SQL for an error record; ``body_bytes`` is the body of pages that are bytes, else NULL."""
+    return f"named_struct('code', CAST({code} AS INT), 'message', {message}, 'body', {body}, 'body_bytes', {body_bytes})"
 
 
 def strategy_of(status: str, rules: Sequence[tuple[str, str]]) -> str:
@@ -54,30 +48,26 @@ def with_strategy(responses: DataFrame, rules: Sequence[tuple[str, str]]) -> Dat
     )
 
 
-def status_error(status: Column, text: Column, body_bytes: Column | None = None) -> Column:
-    """Error of a page whose status was not a success: the status as code, the body as text."""
-    message = F.format_string("Request failed with '%d' http status code. Body is '%s'", status, text)
-    return make_error(status, message, text, body_bytes)
+def status_error(body_bytes: str = "CAST(NULL AS BINARY)") -> str:
+    """SQL for the error of a page whose status was no success: the status as code, the body as text."""
+    message = """concat('Request failed with \\'', status, '\\' http status code. Body is \\'', text, '\\'')"""
+    return make_error("status", message, "text", body_bytes)
+
 
+IS_GOOD = "error IS NULL"
+IS_SENT = f"error IS NOT NULL AND handling = {quote(SEND)}"
 
-def keep_or_stop(parsed: DataFrame, keep: Column) -> DataFrame:
+
+def keep_or_stop(parsed: DataFrame, keep: str) -> DataFrame:
     """Entries that are to be kept; the first entry that is to stop the job fails it.
 
     Check and condition are one expression in a filter: as a projection the check could be
     pruned away, and as a second filter it might see no bad entry any more.
     """
-    stops = F.col("error").isNotNull() & (F.col("handling") == STOP)
-    where = F.concat_ws(" ", F.lit("page"), F.col("url"), F.lit("entry"), F.col("entry_no").cast("string"))
-    text = F.concat_ws(": ", where, F.col("error.message"))
-    return parsed.filter(F.when(stops, F.raise_error(text).cast("boolean")).otherwise(keep))
-
-
-def is_good() -> Column:
-    return F.col("error").isNull()
-
-
-def is_sent() -> Column:
-    return F.col("error").isNotNull() & (F.col("handling") == SEND)
+    text = "concat('page ', url, ' entry ', entry_no, ': ', error.message)"
+    return parsed.filter(
+        f"CASE WHEN error IS NOT NULL AND handling = {quote(STOP)} THEN CAST(raise_error({text}) AS BOOLEAN) ELSE {keep} END"
+    )
 
 
 @dataclass(frozen=True)
@@ -98,19 +88,19 @@ class Routed:
 
 def good_records(parsed: DataFrame, positions: bool = False) -> DataFrame:
     columns = ["seed", "page_no", "entry_no"] if positions else []
-    return keep_or_stop(parsed, is_good()).select(*columns, "record.*")
+    return keep_or_stop(parsed, IS_GOOD).select(*columns, "record.*")
 
 
 def sent_errors(parsed: DataFrame) -> DataFrame:
-    return keep_or_stop(parsed, is_sent()).select(
+    return keep_or_stop(parsed, IS_SENT).select(
         "seed", "page_no", "entry_no", "url", "error.code", "error.message", "error.body", "error.body_bytes"
     )
 
 
 def with_outcome(parsed: DataFrame) -> DataFrame:
     """Both outputs in one frame, told apart by ``outcome``: ``record`` or ``error``."""
-    kept = keep_or_stop(parsed, is_good() | is_sent())
-    return kept.withColumn("outcome", F.when(is_good(), F.lit("record")).otherwise(F.lit("error")))
+    kept = keep_or_stop(parsed, f"({IS_GOOD}) OR ({IS_SENT})")
+    return kept.selectExpr("*", f"CASE WHEN {IS_GOOD} THEN 'record' ELSE 'error' END AS outcome")
 
 
 def route(parsed: DataFrame, positions: bool = False, observation: Observation | None = None) -> Routed:

@@ -20,7 +20,8 @@ from pageframe.functions.typed import (
     read,
     settle,
 )
-from pageframe.operators.entries import NOT_ALL_FOUND, PAGE, explode_entries, finish, is_success, page_problem
+from pageframe.operators.entries import IS_SUCCESS, NOT_ALL_FOUND, PAGE, explode_entries, finish, line_error, page_problem
+from pageframe.operators.errors import make_error
 
 
 def parse_document(text: Column, lenient: bool = False) -> Column:
@@ -62,8 +63,8 @@ def json_entries(
     parts = split_path(result_path)
     paths = [split_path(mapping.get(f.name, "/" + f.name)) for f in schema]
 
-    docs = pages.select(*PAGE, "status", "text", F.when(is_success(), parse_document(F.col("text"), lenient)).alias("doc"))
     doc = F.col("doc")
+    docs = pages.select(*PAGE, "status", "text", F.when(F.expr(IS_SUCCESS), parse_document(F.col("text"), lenient)).alias("doc"))
     found = docs.select(
         *PAGE,
         "status",
@@ -72,16 +73,11 @@ def json_entries(
         result_items(doc, parts).alias("items"),
         result_depth(doc, parts).alias("depth"),
     )
-    located = found.select(
-        *PAGE,
-        "items",
-        "depth",
-        F.coalesce(
-            page_problem(F.col("no_json"), "The page is not valid JSON"),
-            page_problem(F.col("items").isNull(), f"No object or array found by json path '{result_path or '/'}'"),
-        ).alias("page_error"),
+    problem = page_problem(
+        ("no_json", "The page is not valid JSON"),
+        ("items IS NULL", f"No object or array found by json path '{result_path or '/'}'"),
     )
-    rows = explode_entries(located, F.col("items"), "depth")
+    rows = explode_entries(found.selectExpr(*PAGE, "items", "depth", f"{problem} AS page_error"), "depth")
 
     inner = F.col("entry")
     for d in range(len(parts)):
@@ -100,8 +96,8 @@ def json_entries(
         *[f"{settle(v, 'item', p, f.dataType)} AS {v}" for p, f, v in fields],
     )
     plain = " AND ".join(["is_object", *[is_plainly_fine("item", v, p, f) for p, f, v in fields]])
-    problem = F.expr(f"CASE WHEN page_error IS NULL AND NOT ({plain}) THEN {element_error(schema, paths)} END")
-    return finish(typed, schema, problem, handling, [F.col(v) for v in values], partial=F.col("error.code") == 1)
+    problem = f"CASE WHEN page_error IS NULL AND NOT ({plain}) THEN {element_error(schema, paths)} END"
+    return finish(typed, schema, problem, handling, values, keeps_partial=True)
 
 
 def element_error(schema: T.StructType, paths: list[list[str]]) -> str:
@@ -126,9 +122,7 @@ def element_error(schema: T.StructType, paths: list[list[str]]) -> str:
         f"CASE WHEN get(s.states, {first_bad}) = {WRONG} THEN concat('is not of type ', get(array({kinds}), {first_bad})) "
         "ELSE 'is null. Check if the field should be set to Nullable in the output schema.' END) END"
     )
-    error = "named_struct('code', {code}, 'message', {message}, 'body', s.body, 'body_bytes', CAST(NULL AS BINARY))"
-    wrong = error.format(code=0, message="concat('Cannot convert line \\'', s.body, '\\' to a record. Reason: ', r)")
-    partial = error.format(code=1, message=quote(NOT_ALL_FOUND))
+    wrong, partial = line_error("s.body", "r"), make_error(1, quote(NOT_ALL_FOUND), "s.body")
     judged = (
         f"CASE WHEN r IS NOT NULL THEN {wrong} "
         f"WHEN exists(s.states, x -> x IN ({MISSING}, {BLOCKED})) THEN {partial} END"

@@ -9,18 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageframe.functions.text import drop_tail, split_lines
-from pageframe.functions.typed import text_to
-from pageframe.operators.errors import status_error
-from pageframe.operators.entries import (
-    PAGE,
-    explode_entries,
-    finish,
-    first_reason,
-    is_success,
-    line_error,
-    page_problem,
-    rarely,
-)
+from pageframe.functions.typed import aside, text_as, text_is_plainly_fine
+from pageframe.operators.entries import NO_ERROR, PAGE, explode_entries, finish, first_reason, line_error, page_problem
 
 # Fixed value: delimiter per format.
 DELIMITERS = {"csv": ",", "tsv": "\t"}
@@ -44,24 +34,23 @@ def split_line(line: Column, delimiter: str, quoted: bool) -> Column:
     return F.transform(found, unquote)
 
 
-def has_open_quote(line: Column) -> Column:
-    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+def has_open_quote(line: str) -> str:
+    return f"""(length({line}) - length(replace({line}, '"', ''))) % 2 = 1"""
 
 
 def line_pages(pages: DataFrame, skip_first_row: bool = False) -> DataFrame:
     """One row per line of a good page, one row with a page error for any other page."""
     # the pieces are a column of their own, so that a body is split once
-    split = pages.select(*PAGE, split_lines(F.col("text")).alias("pieces"), page_problem(F.lit(False), "").alias("page_error"))
+    split = pages.select(*PAGE, split_lines(F.col("text")).alias("pieces"), F.expr(page_problem()).alias("page_error"))
     items = drop_tail(F.col("pieces"))
     if skip_first_row:
         items = F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0)))
-    return explode_entries(split, items)
+    return explode_entries(split.select(*PAGE, "page_error", items.alias("items")))
 
 
 def text_entries(pages: DataFrame, schema: T.StructType, handling: str) -> DataFrame:
     """Every line is a record with one string field."""
-    rows = line_pages(pages)
-    return finish(rows, schema, F.lit(None), handling, [F.col("entry")], None)
+    return finish(line_pages(pages), schema, NO_ERROR, handling, ["entry"])
 
 
 def delimited_entries(
@@ -74,57 +63,36 @@ def delimited_entries(
 ) -> DataFrame:
     """Records of CSV/TSV pages; columns are bound to the schema by position."""
     n = len(schema)
-    rows = line_pages(pages, skip_first_row)
-    line = F.col("entry")
-    rows = rows.select("*", split_line(line, delimiter, quoted).alias("pieces"))
-    raw = [f"r{i}" for i in range(n)]
-    rows = rows.select("*", *[F.get("pieces", F.lit(i)).alias(r) for i, r in enumerate(raw)])
-
-    values = [f"v{i}" for i in range(n)]
-    rows = rows.select(
-        *PAGE, "page_error", "entry_no", "entry", "pieces", *raw,
-        *[_typed(F.col(r), f).alias(v) for f, r, v in zip(schema, raw, values, strict=True)],
-    )
-    plain = F.size("pieces") <= n
+    raw, values = [f"r{i}" for i in range(n)], [f"v{i}" for i in range(n)]
+    fields = list(zip(schema, raw, values, strict=True))
+    rows = line_pages(pages, skip_first_row).select("*", split_line(F.col("entry"), delimiter, quoted).alias("pieces"))
+    rows = rows.selectExpr("*", *[f"get(pieces, {i}) AS {r}" for i, r in enumerate(raw)])
+    rows = rows.selectExpr("*", *[f"{text_as(r, f)} AS {v}" for f, r, v in fields])
+    plain = [f"size(pieces) <= {n}", *[text_is_plainly_fine(r, v, f) for f, r, v in fields]]
     if quoted:
-        plain = plain & ~has_open_quote(line)
-    for field, r, v in zip(schema, raw, values, strict=True):
-        if not field.nullable:
-            plain = plain & F.col(v).isNotNull()
-        elif not isinstance(field.dataType, T.StringType):
-            plain = plain & (F.col(v).isNotNull() | F.col(r).isNull() | (F.col(r) == ""))
-    row = F.struct(line.alias("line"), F.col("pieces"))
-    problem = F.when(F.col("page_error").isNull() & ~plain, rarely(row, lambda e: row_error(e, schema, quoted)))
-    return finish(rows, schema, problem, handling, [F.col(v) for v in values], None)
-
+        plain.append(f"NOT ({has_open_quote('entry')})")
+    error = aside("struct(entry, pieces)", "e", row_error(schema, quoted))
+    problem = f"CASE WHEN page_error IS NULL AND NOT ({' AND '.join(plain)}) THEN {error} END"
+    return finish(rows, schema, problem, handling, values)
 
-def _typed(text: Column, field: T.StructField) -> Column:
-    """A value of a line; an empty one is NULL, but for text that must not be null."""
-    keeps_empty = isinstance(field.dataType, T.StringType) and not field.nullable
-    return text_to(text if keeps_empty else F.nullif(text, F.lit("")), field.dataType)
 
-
-def row_error(row: Column, schema: T.StructType, quoted: bool) -> Column:
-    """Error of a line: the first thing that is wrong with it."""
-    line, pieces, n = row["line"], row["pieces"], len(schema)
-    reasons = [(has_open_quote(line), "a quote is not closed")] if quoted else []
-    reasons.append((F.size(pieces) > n, f"more than {n} columns"))
+def row_error(schema: T.StructType, quoted: bool) -> str:
+    """SQL for the error of a line: the first thing that is wrong with it."""
+    n = len(schema)
+    reasons = [(has_open_quote("e.entry"), "a quote is not closed")] if quoted else []
+    reasons.append((f"size(e.pieces) > {n}", f"more than {n} columns"))
     for i, field in enumerate(schema):
-        text = F.get(pieces, F.lit(i))
+        text = f"get(e.pieces, {i})"
         if not field.nullable:
-            reasons.append((text.isNull(), f"no value for field '{field.name}', which is not nullable"))
-        filled = text.isNotNull() if not field.nullable else F.coalesce(text != "", F.lit(False))
-        wrong = filled & _typed(text, field).isNull()
-        reasons.append((wrong, f"field '{field.name}' is not of type {field.dataType.simpleString()}"))
-    return line_error(line, F.coalesce(first_reason(reasons), F.lit("unknown")))
+            reasons.append((f"{text} IS NULL", f"no value for field '{field.name}', which is not nullable"))
+        filled = f"{text} IS NOT NULL" if not field.nullable else f"coalesce({text}, '') <> ''"
+        reasons.append(
+            (f"{filled} AND ({text_as(text, field)}) IS NULL", f"field '{field.name}' is not of type {field.dataType.simpleString()}")
+        )
+    return line_error("e.entry", first_reason(reasons))
 
 
 def blob_entries(pages: DataFrame, schema: T.StructType, handling: str) -> DataFrame:
     """The whole body is one record with one bytes field, even if it is empty."""
-    rows = pages.select(
-        *PAGE,
-        "body",
-        F.lit(0).alias("entry_no"),
-        F.when(~is_success(), status_error(F.col("status"), F.col("text"), F.col("body"))).alias("page_error"),
-    )
-    return finish(rows, schema, F.lit(None), handling, [F.col("body")], None)
+    rows = pages.selectExpr(*PAGE, "body", "0 AS entry_no", f"{page_problem(body_bytes='body')} AS page_error")
+    return finish(rows, schema, NO_ERROR, handling, ["body"])

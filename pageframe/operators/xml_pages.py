@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageframe.functions.etree_paths import element_values
-from pageframe.functions.typed import text_to
+from pageframe.functions.typed import aside, quote, text_as, text_is_plainly_fine
 from pageframe.functions.xpaths import (
     Node,
     XPath,
@@ -18,7 +18,7 @@ from pageframe.functions.xpaths import (
     select_text,
     text_of,
 )
-from pageframe.operators.entries import PAGE, explode_entries, finish, first_reason, is_success, line_error, page_problem, rarely
+from pageframe.operators.entries import IS_SUCCESS, PAGE, explode_entries, finish, first_reason, line_error, page_problem
 
 CORRUPT = "_corrupt_record"
 # Name of the root element, behind a declaration, comments and a document type.
@@ -82,16 +82,12 @@ def xml_entries(
         rows = _walked_rows(pages, result_path, paths, raw)
 
     values = [f"v{i}" for i in range(len(schema))]
-    rows = rows.select("*", *[_typed(F.col(r), f).alias(v) for f, r, v in zip(schema, raw, values, strict=True)])
-    plain = F.lit(True)
-    for field, r, v in zip(schema, raw, values, strict=True):
-        if not field.nullable:
-            plain = plain & F.col(v).isNotNull()
-        elif not isinstance(field.dataType, T.StringType):
-            plain = plain & (F.col(v).isNotNull() | F.col(r).isNull() | (F.col(r) == ""))
-    row = F.struct(*[F.col(r).alias(f.name) for f, r in zip(schema, raw, strict=True)])
-    problem = F.when(F.col("page_error").isNull() & ~plain, rarely(row, lambda e: element_error(e, schema)))
-    return finish(rows, schema, problem, handling, [F.col(v) for v in values], None)
+    fields = list(zip(schema, raw, values, strict=True))
+    rows = rows.selectExpr("*", *[f"{text_as(r, f)} AS {v}" for f, r, v in fields])
+    plain = " AND ".join(text_is_plainly_fine(r, v, f) for f, r, v in fields)
+    error = aside(f"struct({', '.join(raw)})", "e", element_error(schema, raw))
+    problem = f"CASE WHEN page_error IS NULL AND NOT ({plain}) THEN {error} END"
+    return finish(rows, schema, problem, handling, values)
 
 
 def is_native(*paths: str) -> bool:
@@ -112,7 +108,7 @@ def _native_rows(pages: DataFrame, result_path: str, paths: list[str], raw: list
     element = add_path(root, path)
     for p in fields:
         add_path(element, p)
-    parsed = pages.select(*PAGE, "status", "text", F.when(is_success(), parse_xml(F.col("text"), root)).alias("doc"))
+    parsed = pages.select(*PAGE, "status", "text", F.when(F.expr(IS_SUCCESS), parse_xml(F.col("text"), root)).alias("doc"))
     doc = F.col("doc")
     items = absolute_nodes(doc, root, path)[0]
     found = parsed.select(
@@ -120,37 +116,36 @@ def _native_rows(pages: DataFrame, result_path: str, paths: list[str], raw: list
         F.when(root_matches(F.col("text"), path), items)
         .otherwise(F.array().cast(f"array<{element.ddl()}>"))
         .alias("items"),
-        page_problem(doc.isNull() | doc[CORRUPT].isNotNull(), NOT_XML).alias("page_error"),
+        F.expr(page_problem((f"doc IS NULL OR doc.{CORRUPT} IS NOT NULL", NOT_XML))).alias("page_error"),
     )
-    rows = explode_entries(found, F.col("items"))
+    rows = explode_entries(found)
     return rows.select("*", *[select_text(F.col("entry"), element, p).alias(r) for p, r in zip(fields, raw, strict=True)])
 
 
 def _walked_rows(pages: DataFrame, result_path: str, paths: list[str], raw: list[str]) -> DataFrame:
     """The same for paths outside the subset, by the Arrow UDF."""
-    items = F.when(is_success(), element_values(F.col("text"), result_path, paths))
+    items = F.when(F.expr(IS_SUCCESS), element_values(F.col("text"), result_path, paths))
     found = pages.select(*PAGE, "status", "text", items.alias("items"))
-    found = found.select(*PAGE, "items", page_problem(F.col("items").isNull(), NOT_XML).alias("page_error"))
-    rows = explode_entries(found, F.col("items"))
+    found = found.selectExpr(*PAGE, "items", f"{page_problem(('items IS NULL', NOT_XML))} AS page_error")
+    rows = explode_entries(found)
     return rows.select("*", *[F.get("entry", F.lit(i)).alias(r) for i, r in enumerate(raw)])
 
 
-def _typed(text: Column, field: T.StructField) -> Column:
-    """A node's text; an empty one is NULL, but for text that must not be null."""
-    keeps_empty = isinstance(field.dataType, T.StringType) and not field.nullable
-    return text_to(text if keeps_empty else F.nullif(text, F.lit("")), field.dataType)
-
-
-def element_error(texts: Column, schema: T.StructType) -> Column:
-    """Error of an element: its first field that is null where it must not be, or of another type."""
+def element_error(schema: T.StructType, raw: list[str]) -> str:
+    """SQL for the error of an element: its first field that is null where it must not be, or of another type."""
     reasons = []
-    for field in schema:
-        text = texts[field.name]
-        no_value = text.isNull() if isinstance(field.dataType, T.StringType) else text.isNull() | (text == "")
+    for field, r in zip(schema, raw, strict=True):
+        text = f"e.{r}"
         if not field.nullable:
+            no_value = f"{text} IS NULL" if isinstance(field.dataType, T.StringType) else f"coalesce({text}, '') = ''"
             advice = "Check if the field should be set to Nullable in the output schema."
             reasons.append((no_value, f"field '{field.name}' is null. {advice}"))
-        wrong = F.coalesce(text != "", F.lit(False)) & _typed(text, field).isNull()
-        reasons.append((wrong, f"field '{field.name}' is not of type {field.dataType.simpleString()}"))
-    body = F.to_json(texts, {"ignoreNullFields": "false"})
-    return line_error(body, F.coalesce(first_reason(reasons), F.lit("unknown")))
+        reasons.append(
+            (
+                f"coalesce({text}, '') <> '' AND ({text_as(text, field)}) IS NULL",
+                f"field '{field.name}' is not of type {field.dataType.simpleString()}",
+            )
+        )
+    texts = ", ".join(f"{quote(f.name)}, e.{r}" for f, r in zip(schema, raw, strict=True))
+    body = f"to_json(named_struct({texts}), map('ignoreNullFields', 'false'))"
+    return line_error(body, first_reason(reasons))
