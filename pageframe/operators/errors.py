@@ -24,6 +24,8 @@ STRATEGIES: dict[str, tuple[bool, str]] = {
     "Retry and send to error": (True, SEND),
 }
 DEFAULT_STRATEGY = "Fail"
+# No status code reaches this number.
+STATUS_SPAN = 100_000
 
 ERROR_TYPE = "struct<code int, message string, body string, body_bytes binary>"
 
@@ -138,21 +140,18 @@ def resolve_attempts(
     ``attempt`` is the one whose status stands. All parts are min/max aggregates, so they
     combine before the shuffle.
     """
+    in_budget = F.expr(f"elapsed_s <= {float(max_retry_duration_s)}D OR attempt = 1")
+    # attempt and status as one number: the least and greatest of it aggregate by hashing
+    outcome = F.col("attempt").cast("bigint") * STATUS_SPAN + F.col("status")
     marked = with_strategy(attempts, rules)
-    in_budget = (F.col("elapsed_s") <= max_retry_duration_s) | (F.col("attempt") == 1)
-    outcome = F.struct("attempt", "status", "strategy", "after_retry")
-    final = F.min(F.when(in_budget & ~F.col("should_retry"), outcome))
-    last = F.max(F.when(in_budget, outcome))
-    picked = marked.groupBy(*keys).agg(final.alias("_final"), last.alias("_last"))
-    return picked.select(
-        *keys,
-        F.coalesce("_final", "_last").alias("_o"),
-        F.col("_final").isNull().alias("timed_out"),
-    ).select(
+    picked = marked.groupBy(*keys).agg(
+        F.min(F.when(in_budget & ~F.col("should_retry"), outcome)).alias("final"),
+        F.max(F.when(in_budget, outcome)).alias("last"),
+    )
+    resolved = picked.select(
         *keys,
-        F.col("_o.attempt").alias("attempt"),
-        F.col("_o.status").alias("status"),
-        F.col("_o.strategy").alias("strategy"),
-        F.col("_o.after_retry").alias("after_retry"),
-        "timed_out",
+        F.expr(f"coalesce(final, last) DIV {STATUS_SPAN} AS attempt"),
+        F.expr(f"CAST(coalesce(final, last) % {STATUS_SPAN} AS INT) AS status"),
+        F.col("final").isNull().alias("timed_out"),
     )
+    return with_strategy(resolved, rules).select(*keys, "attempt", "status", "strategy", "after_retry", "timed_out")

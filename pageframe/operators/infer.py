@@ -59,24 +59,21 @@ def infer_columns(responses: DataFrame, options: SourceOptions) -> DataFrame:
             for name in LATTICE
         ],
     )
-    # every line has a first column, so its cells count the lines (the same shuffle is used again)
-    rows = folded.filter(F.col("position") == 0).select("seed", F.col("n_cells").alias("n_rows"))
     kind = F.lit("string")
     for name in reversed(LATTICE):
         kind = F.when(F.col(f"is_{name}"), F.lit(name)).otherwise(kind)
     name = F.concat(F.lit("body_"), F.col("position").cast("string"))
     if options.csv_skip_first_row:
         name = F.coalesce(F.nullif(F.trim("first_value"), F.lit("")), name)
+    described = F.struct(
+        F.col("position").cast("int").alias("position"), name.alias("name"), kind.alias("type"), "n_empty", "n_cells", "first_value"
+    )
+    # one row per column of a seed; every line has a first column, so its cells count the lines
+    columns = folded.groupBy("seed").agg(F.max("n_cells").alias("n_rows"), F.collect_list(described).alias("columns"))
     return (
-        folded.filter(F.col("first_value").isNotNull())
-        .join(rows, "seed")
-        .select(
-            "seed",
-            F.col("position").cast("int").alias("position"),
-            name.alias("name"),
-            kind.alias("type"),
-            ((F.col("n_empty") > 0) | (F.col("n_cells") < F.col("n_rows"))).alias("nullable"),
-        )
+        columns.select("seed", "n_rows", F.inline("columns"))
+        .filter(F.col("first_value").isNotNull())
+        .select("seed", "position", "name", "type", ((F.col("n_empty") > 0) | (F.col("n_cells") < F.col("n_rows"))).alias("nullable"))
     )
 
 
