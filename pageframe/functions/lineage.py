@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a cluster the
-    setting is needed, since a folder of one machine is lost with that machine.
+    Where nothing is named, as in tests, it is a folder of the warehouse, which the executors
+    share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="pageframe-")
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_between"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
@@ -35,3 +32,16 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str = "rows", path: str | None = None) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back."""
+    path = path or fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what was written to ``path``, a path of ``fresh_path`` that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
