@@ -17,7 +17,7 @@ from pageframe.llm.rows import text_of
 BITS = 20
 #: Labelled rows that are learned from, at most: those whose doc_id hashes lowest.
 SAMPLE = 16_000
-EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.1, 1.0, 1.5, 1.0
+EPOCHS, ALPHA, BETA, L1, L2 = 3, 1.0, 1.0, 5.0, 1.0
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 _HASHES: dict[bytes, int] = {}
