@@ -115,8 +115,7 @@ def verdicts(docs: DataFrame, limit: int = LINE_LIMIT, least: int = LEAST_KEPT)
 
     A document fails the base rules with under 20 words or over 30 % of them in repeated windows of
     8. Of the others, lines that are common on their host (``source``; null is a host of its own) are
-    removed; a document that is left with under 20 words, or under ``least`` % of them, is depleted and
-    not kept. Lines are compared with blanks joined and A-Z lower-cased.
+    removed; a document that is left with under ``least`` % of its words is depleted and not kept. Lines are compared with blanks joined and A-Z lower-cased.
 
     Null and empty texts have no words and fail. Rows with a null doc_id count as documents;
     repeated rows give a row each with the same verdict; no rows give none; other columns are ignored.
@@ -131,5 +130,5 @@ def verdicts(docs: DataFrame, limit: int = LINE_LIMIT, least: int = LEAST_KEPT)
     rows = table.drop("lines", "host", "core").join(removed, "key", "left").fillna(0, ["removed_words"])
     left = F.col("n_words") - F.col("removed_words")
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    kept = ~failed & (left >= FEWEST_WORDS) & (100 * left >= least * F.col("n_words"))
+    kept = ~failed & (100 * left >= least * F.col("n_words"))
     return rows.withColumns({"base_failed": failed, "kept": kept})
