@@ -120,7 +120,7 @@ def element_error(schema: T.StructType, paths: list[list[str]]) -> str:
         "CASE WHEN NOT s.is_object THEN 'the element is not an object' "
         f"WHEN exists(s.states, x -> x IN ({WRONG}, {NULL})) THEN concat('field \\'', get(array({names}), {first_bad}), '\\' ', "
         f"CASE WHEN get(s.states, {first_bad}) = {WRONG} THEN concat('is not of type ', get(array({kinds}), {first_bad})) "
-        "ELSE 'is null. Check if the field should be set to Nullable in the output schema.' END) END"
+        "ELSE 'is null, which its schema does not allow' END) END"
     )
     wrong, partial = line_error("s.body", "r"), make_error(1, quote(NOT_ALL_FOUND), "s.body")
     judged = (

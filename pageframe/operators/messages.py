@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -124,6 +125,11 @@ def _with_request_columns(batches: DataFrame, options: SinkOptions) -> DataFrame
     )
 
 
+def _message_id(*parts: Column) -> Column:
+    """An id that two messages share only if all parts are equal, the content among them."""
+    return F.sha1(F.concat_ws("\n", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
+
+
 def _chunks(options: SinkOptions):
     """Arrow function that joins consecutive records of one URL into messages of a partition."""
     size = options.batch_size
@@ -166,7 +172,7 @@ _CHUNK_NAMES = ["url", "body", "n_records", "batch_id"]
 _CHUNK_TYPES = [pa.string(), pa.string(), pa.int64(), pa.string()]
 
 
-def build_messages(df: DataFrame, options: SinkOptions, sequence: str | None = None) -> DataFrame:
+def build_messages(df: DataFrame, options: SinkOptions, sequence: str | None = None, run: str | None = None) -> DataFrame:
     """Request messages of at most ``batch_size`` records each.
 
     By default every partition fills its own messages, with no shuffle; the record texts are
@@ -177,10 +183,17 @@ def build_messages(df: DataFrame, options: SinkOptions, sequence: str | None = N
     ``sequence`` names a unique integer column that numbers the records. Then the records
     numbered ``k * batch_size`` up to the next multiple form one message (per URL), whatever
     the partitioning is; a group has no more than ``batch_size`` records by construction.
+
+    ``batch_id`` is a hash of the run, the place in it, the URL and the content. Two messages of a run
+    never share it; messages of different content never share it, whatever run or attempt they are
+    from. ``run`` names the run, a new name for each call by default, so that a later job or
+    micro-batch never repeats an id. With ``sequence`` the number is the place and needs no run.
     """
     options.check(df.schema)
+    run = run or uuid.uuid4().hex
     if options.verb == "DELETE":
-        number = F.xxhash64("url") if sequence is None else F.col("_n")
+        place = [F.lit(run), F.monotonically_increasing_id(), F.col("url")]
+        number = _message_id(*place) if sequence is None else F.col("_n")
         carry = [] if sequence is None else [F.col(sequence).cast("bigint").alias("_n")]
         rows = record_texts(df, options, *carry)
         batches = rows.select("url", F.col("text").alias("body"), F.lit(1).alias("n_records"), number.cast("string").alias("batch_id"))
@@ -196,10 +209,11 @@ def build_messages(df: DataFrame, options: SinkOptions, sequence: str | None = N
                 "url",
                 F.concat(F.lit(before), F.col("text"), F.lit(after)).alias("body"),
                 F.lit(1).alias("n_records"),
-                F.monotonically_increasing_id().cast("string").alias("batch_id"),
+                _message_id(F.lit(run), F.monotonically_increasing_id(), F.col("url"), F.col("text")).alias("batch_id"),
             )
         else:
             batches = rows.mapInArrow(_chunks(options), "url STRING, body STRING, n_records BIGINT, batch_id STRING")
+            batches = batches.withColumn("batch_id", _message_id(F.lit(run), F.col("batch_id"), F.col("url"), F.col("body")))
         return _with_request_columns(batches, options)
 
     before, between, after = joints(options)
@@ -209,7 +223,7 @@ def build_messages(df: DataFrame, options: SinkOptions, sequence: str | None = N
             "url",
             F.concat(F.lit(before), F.col("text"), F.lit(after)).alias("body"),
             F.lit(1).alias("n_records"),
-            F.sha1(F.concat_ws("\n", F.col("url"), F.col("_n").cast("string"))).alias("batch_id"),
+            _message_id(F.col("url"), F.col("_n"), F.col("text")).alias("batch_id"),
         )
         return _with_request_columns(batches, options)
     number = (F.col("_n") - F.pmod(F.col("_n"), F.lit(options.batch_size))).alias("_batch")
@@ -222,6 +236,6 @@ def build_messages(df: DataFrame, options: SinkOptions, sequence: str | None = N
         "url",
         text.alias("body"),
         F.size("_rows").alias("n_records"),
-        F.sha1(F.concat_ws("\n", F.col("url"), F.col("_batch").cast("string"))).alias("batch_id"),
+        _message_id(F.col("url"), F.col("_batch"), text).alias("batch_id"),
     )
     return _with_request_columns(batches, options)

@@ -22,7 +22,8 @@ from pageframe.operators.entries import IS_SUCCESS, PAGE, explode_entries, finis
 
 CORRUPT = "_corrupt_record"
 # Name of the root element, behind a declaration, comments and a document type.
-ROOT = r"^(?:\s|\uFEFF|<\?[\s\S]*?\?>|<!--[\s\S]*?-->|<!DOCTYPE[^>\[]*(?:\[[\s\S]*?\]\s*)?>)*<(?:[^\s:/>]+:)?([^\s/>:]+)"
+# Possessive: a loop that may give back keeps a stack frame for each round.
+ROOT = r"^(?:\s++|\uFEFF|<\?[\s\S]*?\?>|<!--[\s\S]*?-->|<!DOCTYPE[^>\[]*(?:\[[\s\S]*?\]\s*)?>)*+<(?:[^\s:/>]+:)?([^\s/>:]+)"
 
 
 def parse_xml(text: Column, root: Node) -> Column:
@@ -138,8 +139,8 @@ def element_error(schema: T.StructType, raw: list[str]) -> str:
         text = f"e.{r}"
         if not field.nullable:
             no_value = f"{text} IS NULL" if isinstance(field.dataType, T.StringType) else f"coalesce({text}, '') = ''"
-            advice = "Check if the field should be set to Nullable in the output schema."
-            reasons.append((no_value, f"field '{field.name}' is null. {advice}"))
+            advice = "which its schema does not allow"
+            reasons.append((no_value, f"field '{field.name}' is null, {advice}"))
         reasons.append(
             (
                 f"coalesce({text}, '') <> '' AND ({text_as(text, field)}) IS NULL",

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pageframe.functions.lineage import cut
 from pageframe.operators.errors import Routed, route
+from pageframe.operators.infer import infer_schema
+from pageframe.operators.line_pages import DELIMITERS
 from pageframe.operators.parse import parse_pages
 from pageframe.options import INCREMENT_INDEX, NONE, SourceOptions
 from pageframe.plans.chains import pages_on_chain, resolve_chains
@@ -23,11 +27,16 @@ def pages_to_read(responses: DataFrame, options: SourceOptions) -> DataFrame:
         facts = page_facts(planned, options).select("seed", "page_no", "n_entries")
         return stop_on_empty(planned, facts)
     facts = cut(page_facts(responses, options))
-    return pages_on_chain(responses, resolve_chains(facts, options.max_pages))
+    return pages_on_chain(responses, resolve_chains(facts))
 
 
 def parse_captured(responses: DataFrame, options: SourceOptions) -> DataFrame:
-    """Entries of all pages a paged read would fetch."""
+    """Entries of all pages a paged read would fetch.
+
+    A CSV or TSV read without a schema infers it from the first page of the source first.
+    """
+    if options.schema is None and options.page_format in DELIMITERS:
+        options = replace(options, schema=infer_schema(responses, options))
     options.check()
     return parse_pages(pages_to_read(responses, options), options)
 

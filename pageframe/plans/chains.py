@@ -17,7 +17,7 @@ def page_id(seed: Column, url: Column) -> Column:
     return F.unhex(F.md5(F.concat_ws("\n", seed, url).cast("binary")))
 
 
-def resolve_chains(facts: DataFrame, max_pages: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def resolve_chains(facts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Pages reached from each seed's first URL: ``seed, url, captured_no, page_no, n_entries``.
 
     A walk goes on from a page that has entries and a next URL; it ends at a page without
@@ -62,8 +62,6 @@ def resolve_chains(facts: DataFrame, max_pages: int | None = None, hot_rows: int
         step *= 2
     heads = state.filter(F.col("pos").isNotNull()).select(F.col("id").alias("head"), "pos")
     reached = members.join(heads, "head").select("id", (F.col("pos") + F.col("offset")).alias("page_no"))
-    if max_pages is not None:
-        reached = reached.filter(F.col("page_no") < max_pages)
     return pages.join(reached, "id").select("seed", "url", "captured_no", "page_no", "n_entries")
 
 

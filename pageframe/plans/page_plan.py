@@ -82,6 +82,4 @@ def missing_pages(plan: DataFrame, responses: DataFrame) -> DataFrame:
 def in_plan(responses: DataFrame, options: SourceOptions) -> DataFrame:
     """Captured index pages within the maximum; a plain filter that reaches the scan."""
     n_pages = page_count(options.start_index, options.index_increment, options.max_index)
-    if options.max_pages is not None:
-        n_pages = options.max_pages if n_pages is None else min(n_pages, options.max_pages)
     return responses if n_pages is None else responses.filter(F.col("page_no") < n_pages)

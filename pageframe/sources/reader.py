@@ -99,7 +99,11 @@ class PagesDataSource(DataSource):
 
 
 class PagesReader(DataSourceReader):
-    """Batch reader: index pages are fetched in parallel ranges, any other sequence per seed."""
+    """Batch reader: index pages are fetched in parallel ranges, any other sequence per seed.
+
+    With a maximum index every page up to it is given out, empty ones too, so the rows depend neither
+    on ``partitions`` nor on filters; without one the walk ends in front of the first empty page.
+    """
 
     def __init__(self, options: dict[str, str]):
         self.source = _source_options(options)
@@ -115,7 +119,6 @@ class PagesReader(DataSourceReader):
             n_pages = page_count(s.start_index, s.index_increment, s.max_index)
         if n_pages is None:  # the end, or the next URL, is known only after a fetch
             return [PageRange(u, 0, self.high) for u in self.seeds]
-        n_pages = n_pages if s.max_pages is None else min(n_pages, s.max_pages)
         n_pages = n_pages if self.high is None else min(n_pages, self.high)
         size = max(1, -(-max(0, n_pages - self.low) * len(self.seeds) // self.n_partitions))
         return [
@@ -127,7 +130,9 @@ class PagesReader(DataSourceReader):
     def read(self, partition: PageRange) -> Iterator[tuple]:
         source = replace(self.source, url=partition.url)
         limit = None if partition.last is None else partition.last - partition.first
-        for page, _ in walk(source, unpack(self.transport), Cursor(partition.first), limit):
+        # a range cannot know of an empty page in another one, so all its pages are given out and
+        # the plan over the fetched pages stops at the first empty one
+        for page, _ in walk(source, unpack(self.transport), Cursor(partition.first), limit, stop_on_empty=limit is None):
             if page is not None:
                 yield page.as_tuple()
 

@@ -66,9 +66,9 @@ def fetch(options: SourceOptions, transport: Transport, url: str) -> Answer:
     handling = STRATEGIES[answer.strategy][1]
     if handling == STOP:
         text = answer.body.decode("utf-8", "replace")
-        raise RuntimeError(f"Fetching from url '{url}' returned status code '{answer.status}' and body '{text}'")
+        raise RuntimeError(f"'{url}' answered {answer.status}: {text}")
     if handling in (SKIP, SEND) and not options.supports_skipping_pages:
-        raise RuntimeError(f"Pagination type '{options.pagination}' does not support skipping pages")
+        raise RuntimeError(f"a page cannot be skipped with pagination type '{options.pagination}'")
     return answer
 
 
@@ -171,19 +171,38 @@ def page_url(options: SourceOptions, cursor: Cursor) -> str | None:
     return options.url.replace(INDEX_PLACEHOLDER, str(index))
 
 
+def readable(options: SourceOptions, body: bytes) -> bool:
+    """False if the parser can take nothing from a page, so that it can never be an empty one."""
+    text = body.decode("utf-8", "replace")
+    try:
+        if options.page_format == "json":
+            _json_at(json.loads(text), options.result_path)
+        if options.page_format == "xml":
+            document(text)
+    except Exception:
+        return False
+    return True
+
+
 def walk(
-    options: SourceOptions, transport: Transport, start: Cursor, max_pages: int | None = None, seconds: float | None = None
+    options: SourceOptions,
+    transport: Transport,
+    start: Cursor,
+    max_pages: int | None = None,
+    seconds: float | None = None,
+    stop_on_empty: bool = True,
 ) -> Iterator[tuple[Response | None, Cursor]]:
     """Pages from ``start`` on, each with the cursor behind it.
 
-    Stops in front of a page without entries, where there is no next URL, and at the page
-    or time limit. Yields ``None`` for a re-read page whose successor was asked for.
+    Stops in front of a page without entries (unless ``stop_on_empty`` is off), where there is no next
+    URL, and at the page or time limit. An index without a maximum ends only with an empty page; if
+    a page of it cannot be read, it may never come, so the walk fails there if errors stop the read,
+    and else ends behind that page. Yields ``None`` for a re-read page whose successor was asked for.
     """
     cursor, given, deadline = start, 0, None if seconds is None else time.monotonic() + seconds
     first = True
+    open_end = options.pagination == INCREMENT_INDEX and options.max_index is None
     while (max_pages is None or given < max_pages) and (deadline is None or time.monotonic() < deadline):
-        if options.max_pages is not None and cursor.page_no >= options.max_pages:
-            return
         url = page_url(options, cursor)
         if url is None:
             return
@@ -192,8 +211,11 @@ def walk(
         first = False
         answer = fetch(options, transport, url)
         good = STRATEGIES[answer.strategy][1] == SUCCESS
-        if good and is_empty(options, answer.body):
+        if good and stop_on_empty and is_empty(options, answer.body):
             return
+        lost = good and open_end and not readable(options, answer.body)
+        if lost and options.entry_handling == STOP:
+            raise RuntimeError(f"the page at '{url}' cannot be read")
         digest = hashlib.sha256(answer.body).hexdigest() if options.reemit_on_change else None
         again = cursor.done and digest == cursor.digest
         no = cursor.page_no - 1 if cursor.done else cursor.page_no
@@ -201,6 +223,8 @@ def walk(
         if options.pagination == INCREMENT_INDEX:
             cursor = Cursor(cursor.page_no + 1)
             yield page, cursor
+            if lost:
+                return
         else:
             onward = following_url(options, url, answer)
             cursor = Cursor(no + 1, onward or url, not onward, None if onward else digest)

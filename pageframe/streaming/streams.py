@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from pageframe.operators.errors import Routed, route, with_outcome
 from pageframe.operators.messages import build_messages
@@ -106,18 +106,20 @@ def send_stream(
     checkpoint: str,
     transport: Transport | str = "http",
     error_path: str | None = None,
+    configure: Callable[[DataStreamWriter], DataStreamWriter] | None = None,
 ) -> StreamingQuery:
-    """Build and send the messages of a stream of records, micro-batch by micro-batch."""
+    """Build and send the messages of a stream of records, micro-batch by micro-batch.
+
+    Ids of messages hold the checkpoint's path and the number of the micro-batch, so they stay the
+    same when it is run again. ``configure`` sets the trigger; by default all there is is sent once.
+    """
     options.check(records.schema)
     given = writer_source.writer_options(options, transport, error_path)
 
     def one_batch(df: DataFrame, batch_id: int) -> None:
         writer_source.register(df.sparkSession)
-        build_messages(df, options).write.format("page_messages").options(**given).mode("append").save()
+        build_messages(df, options, run=f"{checkpoint}#{batch_id}").write.format("page_messages").options(**given).mode("append").save()
 
-    return (
-        records.writeStream.foreachBatch(one_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = records.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
+    writer = configure(writer) if configure else writer.trigger(availableNow=True)
+    return writer.start()

@@ -72,3 +72,18 @@ def recorder(folder: str, status: int = 200) -> Transport:
 
 def requests(folder: str) -> list[dict]:
     return [json.loads(f.read_text()) for f in sorted(Path(folder).iterdir())]
+
+
+def with_gap(empty: int) -> Transport:
+    """Pages without an end, but for one empty page."""
+
+    def answer(method, url, headers, body, timeout_s):
+        i = int(url.partition("page=")[2])
+        return 200, {}, json.dumps({"items": [] if i == empty else [{"v": i}]}).encode()
+
+    return answer
+
+
+def unreadable(method, url, headers, body, timeout_s):
+    """An API that answers 200 with what is no JSON, for ever."""
+    return 200, {}, b"oops"

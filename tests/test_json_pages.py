@@ -13,31 +13,32 @@ def options(schema, result_path=None, **more):
     return pf.SourceOptions(url=URL, schema=schema, result_path=result_path, **{"error_handling": "sendToError", **more})
 
 
-BOOKS = json.dumps(
+HARVEST = json.dumps(
     {
-        "errors": [],
-        "response": {
-            "books": [
-                {"id": "11", "title": "A", "printInfo": {"page": 488, "coverType": "hard"}},
-                {"id": "12", "title": "B", "printInfo": {"page": 543, "coverType": "soft"}},
-            ]
+        "farm": {
+            "warnings": [],
+            "crates": [
+                {"label": "q7", "weight": {"grams": 1250, "scale": "old"}, "fruit": "plum"},
+                {"label": "q8", "weight": {"grams": 980, "scale": "new"}, "fruit": "pear"},
+            ],
         },
+        "notes": [],
     }
 )
 
 
 def test_result_path(parsed):
-    got = parsed(options("id STRING NOT NULL, title STRING NOT NULL", "/response/books"), BOOKS)
-    assert [r for r, *_ in got] == [("11", "A"), ("12", "B")]
+    got = parsed(options("label STRING NOT NULL, fruit STRING NOT NULL", "/farm/crates"), HARVEST)
+    assert [r for r, *_ in got] == [("q7", "plum"), ("q8", "pear")]
 
 
 def test_result_path_through_the_array(parsed):
-    got = parsed(options("page INT NOT NULL, coverType STRING", "/response/books/printInfo"), BOOKS)
-    assert [r for r, *_ in got] == [(488, "hard"), (543, "soft")]
+    got = parsed(options("grams INT NOT NULL, scale STRING", "/farm/crates/weight"), HARVEST)
+    assert [r for r, *_ in got] == [(1250, "old"), (980, "new")]
 
 
 def test_result_path_to_one_object(parsed):
-    got = parsed(options("errors ARRAY<STRING>", "/"), BOOKS)
+    got = parsed(options("notes ARRAY<STRING>", "/"), HARVEST)
     assert [r for r, *_ in got] == [([],)]
 
 
@@ -46,21 +47,13 @@ def test_root_array(parsed):
     assert [r for r, *_ in got] == [((1),), ((2),)]
 
 
-ISSUES = json.dumps(
+FLIGHTS = json.dumps(
     {
-        "startAt": 1,
-        "issues": [
-            {
-                "key": "N-14",
-                "fields": {
-                    "issuetype": {"name": "Bug", "subtask": False},
-                    "fixVersions": [{"id": "1", "name": "4.1", "released": True}],
-                    "description": "text",
-                    "project": {"projectCategory": {"name": "Infra"}},
-                },
-            },
-            {"key": "N-13", "fields": {"issuetype": {"name": "Task", "subtask": True}, "fixVersions": [], "project": {"projectCategory": {"name": "X"}}}},
+        "board": [
+            {"no": "K 14", "leg": {"stops": [{"port": "OUL", "gate": "4", "open": True}], "plane": {"maker": {"town": "Linz"}}, "night": False, "hint": "late"}},
+            {"no": "K 13", "leg": {"plane": {"maker": {"town": "Gent"}}, "stops": [], "night": True}, "crew": 5},
         ],
+        "hour": 6,
     }
 )
 
@@ -68,21 +61,15 @@ ISSUES = json.dumps(
 def test_mapping_with_nested_types(parsed):
     got = parsed(
         options(
-            "key STRING NOT NULL, type STRING NOT NULL, isSubtask BOOLEAN NOT NULL, description STRING, "
-            "projectCategory STRING NOT NULL, fixVersions ARRAY<STRUCT<id: STRING NOT NULL, name: STRING, released: BOOLEAN>> NOT NULL",
-            "/issues",
-            fields_mapping={
-                "type": "/fields/issuetype/name",
-                "description": "/fields/description",
-                "projectCategory": "/fields/project/projectCategory/name",
-                "isSubtask": "/fields/issuetype/subtask",
-                "fixVersions": "/fields/fixVersions",
-            },
+            "no STRING NOT NULL, town STRING NOT NULL, night BOOLEAN NOT NULL, hint STRING, "
+            "stops ARRAY<STRUCT<gate: STRING NOT NULL, port: STRING, open: BOOLEAN>> NOT NULL",
+            "/board",
+            fields_mapping={"town": "/leg/plane/maker/town", "night": "/leg/night", "hint": "/leg/hint", "stops": "/leg/stops"},
         ),
-        ISSUES,
+        FLIGHTS,
     )
-    assert got[0][0] == ("N-14", "Bug", False, "text", "Infra", [("1", "4.1", True)])
-    assert got[1][0] == ("N-13", "Task", True, None, "X", [])
+    assert got[0][0] == ("K 14", "Linz", False, "late", [("4", "OUL", True)])
+    assert got[1][0] == ("K 13", "Gent", True, None, [])
 
 
 def test_record_schema_text(parsed):
@@ -167,7 +154,7 @@ def test_missing_null_and_blocked(parsed):
         (None, 0),
     ]
     assert "Couldn't find all required fields" in got[1][2]
-    assert "Nullable" in got[2][2]
+    assert "does not allow" in got[2][2]
 
 
 def test_pages_that_cannot_be_read(parsed):
@@ -224,9 +211,9 @@ def test_json_path_get(spark, path, value, walked, left):
 
 def test_parse_plan_has_no_shuffle_and_prunes_columns(spark, tmp_path, pages):
     path = str(tmp_path / "cap")
-    pages(BOOKS).write.parquet(path)
+    pages(HARVEST).write.parquet(path)
     read = spark.read.parquet(path)
-    plan = pf.route(pf.parse_pages(read.filter("seed = 'x'"), options("id STRING", "/response/books"))).records
+    plan = pf.route(pf.parse_pages(read.filter("seed = 'x'"), options("label STRING", "/farm/crates"))).records
     text = plan._jdf.queryExecution().toString()
     assert "Exchange" not in text and "Python" not in text
     scan = next(line for line in text.splitlines() if "FileScan" in line)

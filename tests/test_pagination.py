@@ -153,14 +153,14 @@ def test_xml_next_link(pages):
 CODE = """
 def get_next_page_url(url, page, headers):
     import json
-    n = json.loads(page)["nextpage"]
+    n = json.loads(page)["then"]
     return None if n > 3 else "http://h.com/p?%d" % n
 """
 
 
 def test_custom(pages):
     urls = [URL] + [f"{URL}?{i}" for i in (1, 2, 3, 4)]
-    got = pages(*[page(i, nextpage=i + 1) for i in range(5)], seed=URL, urls=urls)
+    got = pages(*[page(i, then=i + 1) for i in range(5)], seed=URL, urls=urls)
     assert [v for _, v in read(got, options("Custom", custom_next_url=CODE))] == [0, 1, 2, 3]
     by_header = options("Custom", custom_next_url=lambda url, body, headers: headers.get("X-Next"))
     tagged = pages(page(1), page(2), seed=URL, urls=urls[:2], headers=[{"x-NEXT": [urls[1]]}, None])
@@ -226,13 +226,6 @@ def test_chains_against_a_walk(spark, hot_rows, numbering, monkeypatch):
     assert [(r.seed, r.page_no, r.url) for r in missing] == [("gap", 1, "nowhere")]
 
 
-def test_chain_page_cap(spark):
-    facts = [("s", i, "s" if i == 0 else f"u{i}", 200, 1, f"u{i + 1}") for i in range(40)]
-    for cap in (1, 2, 7, 39, 100):
-        got = resolve_chains(spark.createDataFrame(facts, FACTS), max_pages=cap).collect()
-        assert sorted(r.page_no for r in got) == list(range(min(cap, 40)))
-
-
 def test_missing_pages(pages, spark):
     plan = spark.createDataFrame([("s", i, f"u{i}") for i in range(4)], "seed string, page_no long, url string")
     got = pages("a", "b", seed="s", urls=["u0", "u2"])

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from fake_api import failing_first, from_folder, paged, recorder, requests
+from fake_api import failing_first, from_folder, paged, recorder, requests, unreadable, with_gap
 
 import pageframe as pf
 from pageframe.options import SourceOptions
@@ -48,7 +48,6 @@ def test_walk(more, link):
     o = SourceOptions(**JSON, **more)
     assert pages_of(o, paged(4, link=link))[0] == [0, 1, 2, 3]
     assert pages_of(o, paged(4, link=link), max_pages=2)[0] == [0, 1]
-    assert pages_of(SourceOptions(**JSON, max_pages=3, **more), paged(4, link=link))[0] == [0, 1, 2]
 
 
 def test_walk_none_reads_once():
@@ -98,7 +97,7 @@ def test_xml_walk():
 
 def test_a_stop_status_fails():
     o = SourceOptions(**JSON, url="http://h/p")
-    with pytest.raises(RuntimeError, match="returned status code '403' and body 'no'"):
+    with pytest.raises(RuntimeError, match="answered 403: no"):
         list(walk(o, lambda *a: (403, {}, b"no"), Cursor()))
 
 
@@ -223,7 +222,7 @@ def test_fetch_by_dataframe(spark, tmp_path):
     chains = pf.fetch_seeds(spark.createDataFrame([("http://a/p",), ("http://b/p",)], "seed string"), SourceOptions(**JSON, **HEADER), paged(3, link="header"))
     assert sorted((r.seed, r.page_no) for r in chains.collect()) == [(s, i) for s in ("http://a/p", "http://b/p") for i in range(3)]
     refused = pf.fetch_urls(plan, o, lambda *a: (404, {}, b"gone"))
-    with pytest.raises(Exception, match="returned status code '404' and body 'gone'"):
+    with pytest.raises(Exception, match="answered 404: gone"):
         refused.count()
 
 
@@ -363,3 +362,45 @@ def test_stream_writer(spark, tmp_path, pages):
     )
     q.awaitTermination()
     assert [r["body"] for r in requests(str(tmp_path / "sent"))] == ['{"v":1}\n{"v":2}']
+
+
+# --- reads that don't depend on how they are cut up ----------------------------------------
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 8])
+def test_ranges_with_an_empty_page(spark, partitions):
+    o = SourceOptions(**JSON, **INDEX, max_index=39)
+    df = load(spark, o, with_gap(5), partitions=partitions)
+    assert sorted(r.page_no for r in df.collect()) == list(range(40))
+    assert values(pf.read_captured(df, o).records) == [0, 1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("handling", ["stopOnError", "skipOnError", "sendToError"])
+def test_an_open_index_of_unreadable_pages_ends(handling):
+    o = SourceOptions(**JSON, **INDEX, error_handling=handling)
+    if handling == "stopOnError":
+        with pytest.raises(RuntimeError, match="cannot be read"):
+            pages_of(o, unreadable)
+    else:
+        assert pages_of(o, unreadable)[0] == [0]
+
+
+def test_batch_ids_never_repeat_for_other_content(spark):
+    rows = spark.createDataFrame([(i, f"t{i % 3}") for i in range(40)], "id long, t string").repartition(4)
+    for sink in (
+        pf.SinkOptions(url="http://h/in", batch_size=3),
+        pf.SinkOptions(url="http://h/in"),
+        pf.SinkOptions(url="http://h/in/#t", method="DELETE"),
+    ):
+        ids = [r.batch_id for part in (rows, rows) for r in pf.build_messages(part, sink).collect()]
+        assert len(ids) == len(set(ids))
+        same = [sorted(r.batch_id for r in pf.build_messages(rows, sink, run="x").collect()) for _ in range(2)]
+        assert same[0] == same[1] and not set(same[0]) & set(ids)
+
+
+def test_a_delimited_read_without_a_schema(spark, pages):
+    body = "id,name,price\n1,a,2.5\n2,,3"
+    o = SourceOptions(url="http://h/p", format="csv", csv_skip_first_row=True)
+    read = pf.read_captured(pages(body, seed="http://h/p"), o).records.orderBy("id")
+    assert read.dtypes == [("id", "int"), ("name", "string"), ("price", "double")]
+    assert [tuple(r) for r in read.collect()] == [(1, "a", 2.5), (2, None, 3.0)]

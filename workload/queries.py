@@ -500,26 +500,17 @@ NEXT_PAGE = """
 import json
 
 def get_next_page_url(url, page, headers):
-    number = json.loads(page)["nextpage"]
-    if number is None or "json" not in headers["Content-Type"]:
-        return None
-    return url.split("?")[0] + "?page=" + str(number)
+    onward = json.loads(page).get("onward")
+    return url.partition("?")[0] + "?" + "&".join(onward) if onward else None
 """
 
 
 @query
 def custom_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The user's own function names the next page."""
-    extra = lambda p, n: [F.when(~((p == "5-LOW") & (n == 3)), n + 1).alias("nextpage")]
-    wrapped = seed_pages(spark, sf_dir, _seed_url, extra=extra)
-    # to_json leaves null fields out; the function expects them
-    pages = wrapped.withColumn(
-        "body",
-        F.when(
-            ~F.contains(body_text(F.col("body")), F.lit('"nextpage"')),
-            F.concat(F.regexp_replace(body_text(F.col("body")), r"\}$", ""), F.lit(',"nextpage":null}')).cast("binary"),
-        ).otherwise(F.col("body")),
-    )
+    onward = lambda n: F.array(F.concat(F.lit("page="), (n + 1).cast("string")))
+    extra = lambda p, n: [F.when(~((p == "5-LOW") & (n == 3)), onward(n)).alias("onward")]
+    pages = seed_pages(spark, sf_dir, _seed_url, extra=extra)
     options = orders_options(**{**CHAINED, "pagination_type": "Custom", "custom_next_url": NEXT_PAGE})
     return pf.read_captured(pages, options, positions=True).records
 
