@@ -71,20 +71,24 @@ class Model:
     bits: int = BITS
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS, bits: int = BITS) -> Model:
-    """A model learned from ``labelled`` (doc_id, text, label 0 or 1); nothing else is an input.
-
-    Buckets of the texts are made where the texts are. The updates follow one another, so one task
-    makes them, over the at most ``sample`` rows whose doc_id hashes lowest, in the order of another
-    hash; it holds their distinct buckets only. Without rows the model has no weights.
+def train(docs: DataFrame, known: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS, bits: int = BITS) -> Model:
+    """A model learned from the texts of ``docs`` (doc_id, text) that ``known`` (doc_id, label 0 or 1) labels.
+
+    Of the labelled ids the ``sample`` that hash lowest are learned from; these alone go to the tasks
+    that read the texts, so no text is shuffled. Buckets of the texts are made where the texts are;
+    of rows with equal doc_id one counts. The updates follow one another, so one task makes them, in
+    the order of another hash; it holds the distinct buckets of at most ``sample`` texts. Without
+    rows the model has no weights.
     """
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.md5("text")]
-    chosen = labelled.filter("label is not null").select("doc_id", text_of().alias("text"), F.col("label").cast("int").alias("label"))
+    chosen = known.select("doc_id", F.col("label").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = rows.select("text", "label", "doc_id", F.xxhash64(F.col("doc_id"), F.lit("order")).alias("h"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.unique(buckets(t.as_py(), bits)) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("label"), pa.array(found, pa.list_(pa.int32()))], names=["h", "label", "at"])
+            columns = [batch.column(c) for c in ("doc_id", "h", "label")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "h", "label", "at"])
 
     def learn(table: pa.Table) -> pa.Table:
         table = table.sort_by("h")
@@ -96,12 +100,8 @@ def train(labelled: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS, bits:
         at = np.flatnonzero(w)
         return pa.table({"at": pa.array([at.tolist()], pa.list_(pa.int64())), "w": pa.array([w[at].tolist()], pa.list_(pa.float64()))})
 
-    if sample:
-        keys = chosen.select("doc_id", F.md5("text").alias("m"), order[0].alias("h")).orderBy("h", "doc_id", "m").limit(sample)
-        bound = keys.agg(F.max("h").alias("h")).first()["h"]
-        chosen = chosen.filter(F.xxhash64("doc_id") <= F.lit(bound)) if bound is not None else chosen.limit(0)
-    rows = chosen.select("text", "label", F.xxhash64(F.col("doc_id"), F.lit("order")).alias("h"))
-    rows = rows.mapInArrow(features, "h long, label int, at array<int>")
+    rows = rows.mapInArrow(features, "doc_id long, h long, label int, at array<int>")
+    rows = rows.groupBy("doc_id", "h", "label").agg(F.min("at").alias("at")).drop("doc_id")
     found = rows.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(learn, "at array<long>, w array<double>").first()
     if found is None:
         return Model(np.zeros(0, np.int64), np.zeros(0), bits)
@@ -146,6 +146,6 @@ def rated(docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
     """
     known = labels.filter(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    model = train(docs.select("doc_id", "text").join(known, "doc_id"), **kw)
+    model = train(docs, known, **kw)
     scored = score(docs, model, [F.col("doc_id")])
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
