@@ -1,3 +1,35 @@
-"""SQL of the queries that SQL can express."""
+"""SQL of the queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+Fingerprints (XXH64), token ids, learned scores and spans with checksums are beyond it; those queries
+are tested against plain computations.
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_warc": """
+        WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM p),
+        r AS (SELECT *, n >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first AS again FROM f)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN again THEN first END AS refers_to FROM r""",
+    "op6_mixing": r"""
+        WITH d AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS digest,
+            CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+        s AS (SELECT source, CAST(sum(size) AS BIGINT) AS n FROM d GROUP BY source),
+        w AS (SELECT source, n, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS w FROM s),
+        r AS (SELECT *, sum(n) OVER () - 3.0 * coalesce(sum(n) OVER (ORDER BY n / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+            sum(w) OVER (ORDER BY n / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM w),
+        l AS (SELECT arg_min(CAST(rest / weights AS DOUBLE), n / w) AS level FROM r WHERE rest / weights <= 3.0 * n / w),
+        t AS (SELECT source, n, least(n * CAST(3 AS DOUBLE), coalesce(level, 1e300) * w) AS target FROM w, l),
+        p AS (SELECT d.*, t.n, t.target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY digest, size
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / CAST(2 AS DOUBLE) AS half
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, n AS source_size, CAST(target AS DOUBLE) AS target,
+            CAST(size * ((half < target)::INT + (half + n < target)::INT + (half + 2 * n < target)::INT) AS BIGINT) AS taken FROM p""",
+    "op9_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}

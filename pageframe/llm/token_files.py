@@ -46,7 +46,7 @@ def encode_segment(doc_ids: list[int | None], counts: list[int], ids: np.ndarray
         if not more.any():
             break
         rest = rest[more] >> CHUNK_BITS
-    known = np.packbits([d is not None for d in doc_ids], bitorder="little").tobytes()
+    known = np.packbits(np.array([d is not None for d in doc_ids], bool), bitorder="little").tobytes()
     index = np.array([d or 0 for d in doc_ids], "<i8").tobytes() + known + np.array(counts, "<u4").tobytes()
     return MAGIC + struct.pack("<IIB", len(doc_ids), len(ids), len(levels)) + index + b"".join(levels)
 

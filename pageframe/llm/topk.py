@@ -114,11 +114,11 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = TOP, block: int = BLOCK)
         out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)]
         if len(left) and len(right):
             size = key[0]
-            lists = SortedLists(right["vec_id"].to_numpy(), np.array(right["v"].tolist(), np.int64).reshape(-1, size))
+            lists = SortedLists(right["vec_id"].to_numpy(), np.array(right["v"].tolist(), np.int64).reshape(len(right), size))
             for low in range(0, len(left), BATCH):
                 part = left.iloc[low : low + BATCH]
                 own = part["vec_id"].to_numpy()
-                queries = np.array(part["v"].tolist(), np.float64).reshape(-1, size)
+                queries = np.array(part["v"].tolist(), np.float64).reshape(len(part), size)
                 for q, (ids, scores) in zip(own, lists.top(own, queries, k), strict=True):
                     out.append(pd.DataFrame({"query_id": q, "vec_id": ids, "score": scores.astype(np.int64)}))
         return pd.concat(out)
