@@ -90,8 +90,8 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = TOP, block: int = BLOCK)
     are closed, and the final scores of the others are resolved. A block's best are merged per query.
 
     Rows with a null vec_id, a null vector, or a null or non-finite component take no part; an
-    empty vector scores 0 with other empty ones; repeated rows are candidates each; fewer rows than
-    ``k`` give all of them; no rows give none. Scores are exact while below 2^53.
+    empty vector scores 0 with other empty ones; repeated rows are candidates each and ask once, rows
+    of one vec_id with unlike vectors ask each; fewer rows than ``k`` give all of them; no rows give none. Scores are exact while below 2^53.
     """
     ints = F.transform("embedding", lambda x: F.floor(F.lit(SCALE) * x.cast("double")).cast("long"))
     rows = vectors.filter(F.col("vec_id").isNotNull() & _usable(F.col("embedding")))
@@ -102,16 +102,16 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = TOP, block: int = BLOCK)
         blocks = F.when(F.col("dim") == r["dim"], F.lit(-(-r["count"] // block))).otherwise(blocks)
     of = F.pmod(F.xxhash64("vec_id", "v"), blocks).cast("int")
     every_block = F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1))
-    queries = rows.filter(F.col("vec_id") % every == 0)
-    queries = queries.select("dim", every_block.alias("block"), F.xxhash64("vec_id").alias("h"), "vec_id", "v")
+    queries = rows.filter(F.col("vec_id") % every == 0).distinct()
+    queries = queries.select("dim", every_block.alias("block"), F.xxhash64("vec_id", "v").alias("h"), "vec_id", "v")
     # queries of a block are dealt to several tasks, each with the block's candidates
     asked = sum(r["count"] for r in sizes) // every + 1
     parts = max(1, asked // (16 * BATCH))
     candidates = rows.select("dim", of.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "vec_id", "v")
-    queries = queries.select("dim", "block", F.pmod("h", F.lit(parts)).cast("int").alias("part"), "vec_id", "v")
+    queries = queries.select("dim", "block", F.pmod("h", F.lit(parts)).cast("int").alias("part"), "h", "vec_id", "v")
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)]
+        out = [pd.DataFrame({"h": [], "query_id": [], "vec_id": [], "score": []}, dtype=np.int64)]
         if len(left) and len(right):
             size = key[0]
             lists = SortedLists(right["vec_id"].to_numpy(), np.array(right["v"].tolist(), np.int64).reshape(len(right), size))
@@ -119,11 +119,11 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = TOP, block: int = BLOCK)
                 part = left.iloc[low : low + BATCH]
                 own = part["vec_id"].to_numpy()
                 queries = np.array(part["v"].tolist(), np.float64).reshape(len(part), size)
-                for q, (ids, scores) in zip(own, lists.top(own, queries, k), strict=True):
-                    out.append(pd.DataFrame({"query_id": q, "vec_id": ids, "score": scores.astype(np.int64)}))
+                for h, q, (ids, scores) in zip(part["h"], own, lists.top(own, queries, k), strict=True):
+                    out.append(pd.DataFrame({"h": h, "query_id": q, "vec_id": ids, "score": scores.astype(np.int64)}))
         return pd.concat(out)
 
     keys = ["dim", "block", "part"]
-    found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(run, "query_id long, vec_id long, score long")
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(run, "h long, query_id long, vec_id long, score long")
+    best = W.partitionBy("query_id", "h").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -261,14 +261,16 @@ def test_top_k_edges(spark, monkeypatch):
     rows = [(i, rng.normal(0, 0.2, 8).tolist()) for i in range(150)] + [(200 + i, [0.5] * 8) for i in range(60)]
     rows += [(400, None), (420, [1.0, None] * 4), (440, [float("nan")] * 8), (460, [float("inf")] * 8), (480, [1.0, 2.0]), (481, [3.0, 1.0]), (500, []), (None, [0.1] * 8), (20, [0.3] * 8)]
     df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<float>, score string, rank int")
+    rows.append((60, rows[60][1]))
     good = [(i, np.floor(64 * np.array(v, np.float32).astype(float)).astype(int)) for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(v).all()]
     want = []
-    for q, v in good:
-        if q % 20 == 0 and q != 20:  # 20 occurs twice, so it asks twice
+    for q, v in {(i, tuple(v.tolist())) for i, v in good}:
+        v = np.array(v, int)
+        if q % 20 == 0:  # 60 is repeated and asks once, 20 occurs with two vectors, which ask each
             best = sorted((-int(v @ c), i) for i, c in good if i != q and len(c) == len(v))[:20]
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
     for block in (16, 64, 4096):
-        got = [tuple(r) for r in topk.top_k(df.repartition(4), block=block).collect() if r["query_id"] != 20]
+        got = [tuple(r) for r in topk.top_k(df.unionByName(df.filter("vec_id = 60")).repartition(4), block=block).collect()]
         assert sorted(got) == sorted(want)
     assert topk.top_k(df.limit(0)).count() == 0
 
