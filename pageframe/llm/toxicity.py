@@ -110,19 +110,20 @@ def train(docs: DataFrame, known: DataFrame, sample: int = SAMPLE, epochs: int =
 
 def score(docs: DataFrame, model: Model, carry: list[Column]) -> DataFrame:
     """The columns of ``carry`` and ``score``, 0 to 1, of each whole text; a null text counts as empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    bits = model.bits
+    shared = docs.sparkSession.sparkContext.broadcast((model.buckets, model.values))  # plain arrays
     narrow = docs.select(*carry, text_of().alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        weights = np.zeros((1 << model.bits) + 1)
-        weights[model.buckets] = model.values
+        used_buckets, values = shared.value
+        weights = np.zeros((1 << bits) + 1)
+        weights[used_buckets] = values
         used = weights != 0
         for batch in batches:
             at = batch.schema.get_field_index("_text")
             sums = []
             for text in batch.column(at):
-                found = buckets(text.as_py(), model.bits)
+                found = buckets(text.as_py(), bits)
                 sums.append(weights[np.unique(found[used[found]])].sum() + weights[-1])
             scores = 1 / (1 + np.exp(-np.clip(np.array(sums, float), -30, 30)))
             columns = [c for i, c in enumerate(batch.columns) if i != at]
