@@ -14,9 +14,12 @@ def body_text(body: Column) -> Column:
     return F.make_valid_utf8(F.coalesce(body, F.lit(b"")).cast("string"))
 
 
-def split_lines(text: Column) -> Column:
-    """Pieces of ``text`` between line ends; the alternation is used only where there is a CR."""
-    return F.when(F.contains(text, F.lit("\r")), F.split(text, LINE_END)).otherwise(F.split(text, "\n"))
+def split_lines(text: Column, limit: int = -1) -> Column:
+    """Pieces of ``text`` between line ends; the alternation is used only where there is a CR.
+
+    With a limit, the last piece is all that is left behind ``limit - 1`` pieces.
+    """
+    return F.when(F.contains(text, F.lit("\r")), F.split(text, LINE_END, limit)).otherwise(F.split(text, "\n", limit))
 
 
 def drop_tail(pieces: Column) -> Column:

@@ -23,7 +23,8 @@ def sample_lines(responses: DataFrame, options: SourceOptions) -> DataFrame:
     The sample size counts the header line. Only that much of a page is exploded.
     """
     first = responses.filter(F.col("page_no") == 0)
-    split = first.select("seed", split_lines(body_text(F.col("body"))).alias("pieces"))
+    limit = -1 if options.sample_size is None else options.sample_size + 1
+    split = first.select("seed", split_lines(body_text(F.col("body")), limit).alias("pieces"))
     every = drop_tail(F.col("pieces"))
     if options.sample_size is not None:
         every = F.slice(every, 1, options.sample_size)
