@@ -38,6 +38,11 @@ def line_error(body: str, reason: str) -> str:
     return make_error(0, message, body)
 
 
+def missing_error(url: str) -> str:
+    """SQL for the error of a page that is due but was not captured."""
+    return make_error(0, f"concat('Failed to load the page ', {url})", "CAST(NULL AS STRING)")
+
+
 def first_reason(reasons: list[tuple[str, str]]) -> str:
     """SQL for the text of the first condition that holds."""
     whens = [f"WHEN {condition} THEN {quote(text)}" for condition, text in reasons]

@@ -13,32 +13,43 @@ from pageframe.operators.infer import infer_schema
 from pageframe.operators.line_pages import DELIMITERS
 from pageframe.operators.parse import parse_pages
 from pageframe.options import INCREMENT_INDEX, NONE, SourceOptions
+from pageframe.plans.captures import captured_once, chain_holes, first_holes, hole_entries, index_holes
 from pageframe.plans.chains import pages_on_chain, resolve_chains
 from pageframe.plans.next_url import page_facts
 from pageframe.plans.page_plan import in_plan, single_pages, stop_on_empty
 
 
 def pages_to_read(responses: DataFrame, options: SourceOptions) -> DataFrame:
-    """The captured responses a paged read would fetch, numbered in reading order."""
+    """The captured responses a paged read would fetch, numbered in reading order, each page once."""
+    return _pages_and_holes(responses, options)[0]
+
+
+def _pages_and_holes(responses: DataFrame, options: SourceOptions) -> tuple[DataFrame, DataFrame]:
+    """The pages to read, and ``seed, page_no, url`` of those that are due but were not captured."""
+    responses = captured_once(responses)
     if options.pagination == NONE:
-        return single_pages(responses)
+        return single_pages(responses), first_holes(responses)
     if options.pagination == INCREMENT_INDEX:
         planned = in_plan(responses, options)
-        facts = page_facts(planned, options).select("seed", "page_no", "n_entries")
-        return stop_on_empty(planned, facts)
+        facts = cut(page_facts(planned, options).select("seed", "page_no", "n_entries"))
+        return stop_on_empty(planned, facts), index_holes(facts, options)
     facts = cut(page_facts(responses, options))
-    return pages_on_chain(responses, resolve_chains(facts))
+    chain = cut(resolve_chains(facts))
+    return pages_on_chain(responses, chain), chain_holes(facts, chain)
 
 
 def parse_captured(responses: DataFrame, options: SourceOptions) -> DataFrame:
     """Entries of all pages a paged read would fetch.
 
-    A CSV or TSV read without a schema infers it from the first page of the source first.
+    A page that is due but was not captured is an entry without a record: an error of code 0 under
+    the handling of bad records. A page captured several times counts once. A CSV or TSV read without a schema infers it from the first page of the source first.
     """
     if options.schema is None and options.page_format in DELIMITERS:
         options = replace(options, schema=infer_schema(responses, options))
     options.check()
-    return parse_pages(pages_to_read(responses, options), options)
+    pages, holes = _pages_and_holes(responses, options)
+    parsed, holes = parse_pages(pages, options), cut(holes)
+    return parsed if holes.isEmpty() else parsed.unionByName(hole_entries(holes, options))
 
 
 def read_captured(

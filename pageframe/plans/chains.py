@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageframe.functions.lineage import cut
 from pageframe.functions.skew import HOT_ROWS, broadcast_if_small, lookup
+from pageframe.plans.captures import page_id
 
 # Page numbers of a seed that one window looks at; numbers are unique there, so it is a bound.
 BLOCK = 4096
 
 
-def page_id(seed: Column, url: Column) -> Column:
-    """A 16-byte key of a page, much shorter than its seed and URL."""
-    return F.unhex(F.md5(F.concat_ws("\n", seed, url).cast("binary")))
-
-
 def resolve_chains(facts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Pages reached from each seed's first URL: ``seed, url, captured_no, page_no, n_entries``.
 

@@ -251,3 +251,64 @@ def test_small_stops_are_broadcast_and_bodies_stay(pages):
     got = pages(page(1), page(), seed=template)
     plan = pf.pages_to_read(got, o)._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def outcome(responses, o):
+    """(page, value) of the records and (page, code, url) of the errors."""
+    both = pf.read_captured(responses, o, positions=True)
+    records = [(r.page_no, r.v) for r in both.records.orderBy("page_no", "entry_no").collect()]
+    return records, [(e.page_no, e.code, e.url) for e in both.errors.orderBy("page_no").collect()]
+
+
+def test_missing_index_pages_are_errors(pages, monkeypatch):
+    monkeypatch.setattr("pageframe.plans.captures.BLOCK", 2)
+    template = "http://h.com/p?{pagination.index}"
+    url = "http://h.com/p?{}".format
+    more = {"url": template, "start_index": 0, "index_increment": 10, "error_handling": "sendToError"}
+    numbers = [0, 1, 3, 4, 7]
+    got = pages(*[page(n) for n in numbers], seed=template, urls=[url(10 * n) for n in numbers], page_nos=numbers)
+    records = [(n, n) for n in numbers]
+    o = options("Increment an index", **more)
+    assert outcome(got, o) == (records, [(n, 0, url(10 * n)) for n in (2, 5, 6)])
+    o = options("Increment an index", max_index=90, **more)
+    assert outcome(got, o) == (records, [(n, 0, url(10 * n)) for n in (2, 5, 6, 8, 9)])
+    empty = pages(*[page(n) if n != 4 else page() for n in numbers], seed=template, urls=[url(10 * n) for n in numbers], page_nos=numbers)
+    assert outcome(empty, o) == (records[:3], [(2, 0, url(20))])
+    with pytest.raises(Exception, match="Failed to load the page"):
+        read(got, options("Increment an index", **{**more, "error_handling": "stopOnError"}))
+    assert read(got, options("Increment an index", **{**more, "error_handling": "skipOnError"})) == records
+
+
+def test_missing_pages_of_chains_are_errors(pages):
+    urls = [URL] + [f"{URL}?t={i}" for i in range(1, 5)]
+    more = {"next_page_token_path": "n", "next_page_url_parameter": "t", "error_handling": "sendToError"}
+    o = options("Token in response body", **more)
+    bodies = [page(i, n=str(i + 1)) for i in range(5)]
+    assert outcome(pages(*bodies, seed=URL, urls=urls), o) == ([(i, i) for i in range(5)], [])  # the capture ends there
+    at = [0, 1, 3, 4]
+    got = pages(*[bodies[i] for i in at], seed=URL, urls=[urls[i] for i in at], page_nos=at)
+    assert outcome(got, o) == ([(0, 0), (1, 1)], [(2, 0, urls[2])])
+    with pytest.raises(Exception, match="Failed to load the page"):
+        read(got, options("Token in response body", **{**more, "error_handling": "stopOnError"}))
+    headless = pages(*bodies[1:], seed=URL, urls=urls[1:], page_nos=[1, 2, 3, 4])
+    assert outcome(headless, o) == ([], [(0, 0, URL)])
+
+
+@pytest.mark.parametrize("kind", ["None", "Increment an index", "Token in response body"])
+def test_a_page_captured_several_times_counts_once(pages, kind):
+    more = {"None": {}, "Increment an index": {"start_index": 0, "index_increment": 1}}.get(
+        kind, {"next_page_token_path": "n", "next_page_url_parameter": "t"}
+    )
+    seed = f"{URL}?t={{pagination.index}}" if kind == "Increment an index" else URL
+    urls = [f"{URL}?t={i}" if i or kind == "Increment an index" else URL for i in range(3)]
+    bodies = [page(i, n=str(i + 1)) for i in range(3)]
+    twice = [(0, bodies[0]), (1, bodies[1]), (1, bodies[1]), (1, page(1, n="2", again=True)), (2, bodies[2]), (0, bodies[0])]
+    got = pages(*[b for _, b in twice], seed=seed, urls=[urls[i] for i, _ in twice], page_nos=[i for i, _ in twice])
+    want = [(i, i) for i in range(1 if kind == "None" else 3)]
+    assert read(got, options(kind, **{"url": seed, **more})) == want
+
+
+def test_empty_capture_has_no_pages_and_no_holes(pages, spark):
+    none = pages("x").limit(0)
+    for kind, more in (("None", {}), ("Increment an index", {"start_index": 0, "index_increment": 1, "url": URL + "{pagination.index}"})):
+        assert outcome(none, options(kind, error_handling="sendToError", **more)) == ([], [])

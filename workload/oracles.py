@@ -133,6 +133,15 @@ ORACLES: dict[str, str] = {
     "missing_pages": f"""SELECT DISTINCT page_no, '{HOST}/orders?page=' || page_no AS url, CAST(0 AS INTEGER) AS code,
         'Failed to load the page {HOST}/orders?page=' || page_no AS message
         FROM (SELECT o_orderkey // 50 AS page_no FROM orders) WHERE page_no % 13 = 5""",
+    "read_with_holes": f"""WITH p AS (SELECT o_orderkey // 50 AS page_no, count(*) AS n FROM orders GROUP BY 1)
+        SELECT page_no, CASE WHEN page_no % 13 = 5 THEN 0 ELSE n END AS n_records, CAST(CASE WHEN page_no % 13 = 5 THEN 0 END AS INTEGER) AS code,
+            CASE WHEN page_no % 13 = 5 THEN 'Failed to load the page {HOST}/orders?page=' || page_no END AS message FROM p""",
+    "chain_with_holes": f"""{SEEDED}, p AS (SELECT slug, n, count(*) AS c, '{HOST}/orders/' || slug || '?page=' AS u FROM s GROUP BY slug, n)
+        SELECT u || '0' AS seed, n AS page_no, CASE WHEN lost THEN 0 ELSE c END AS n_records, CAST(CASE WHEN lost THEN 0 END AS INTEGER) AS code,
+            CASE WHEN lost THEN 'Failed to load the page ' || u || n END AS message
+        FROM (SELECT *, (slug = '2-high' AND n = 3) OR (slug = '5-low' AND n = 0) AS lost FROM p)
+        WHERE NOT (slug = '2-high' AND n > 3) AND NOT (slug = '5-low' AND n > 0)""",
+    "read_recaptured": f"SELECT {PAGE}, {ORDER} FROM orders",
     "status_route": f"""WITH p AS (SELECT DISTINCT o_orderkey // 50 AS page_no FROM orders),
         q AS (SELECT page_no, {_statuses([200, 204, 404, 429, 503, 500, 302, 2000, 600])} AS status FROM p)
         SELECT page_no, status, CASE WHEN status BETWEEN 200 AND 299 THEN 'Success' WHEN status = 404 THEN 'Skip'
