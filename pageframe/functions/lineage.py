@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,6 +42,22 @@ def stored(df: DataFrame, name: str = "rows", path: str | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, path: str | None = None, **counts: str) -> tuple[DataFrame, dict[str, int]]:
+    """``stored`` with the number of rows as ``rows``, and of those where each expression of ``counts`` holds.
+
+    The write counts as it goes, so there is no second job.
+    """
+    path, seen = path or fresh_path(df.sparkSession, "counted"), Observation()
+    metrics = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.expr(e)).alias(n) for n, e in counts.items()]]
+    return stored(df.observe(seen, *metrics), path=path), {n: v or 0 for n, v in seen.get.items()}
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files at ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete what was written to ``path``, a path of ``fresh_path`` that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -7,20 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageframe.functions.lineage import cut
+from pageframe.functions.lineage import counted, fresh_path, size_of
 
-# A frame is broadcast only after it was counted and found to be no larger than this.
+# A frame is broadcast only after it was written and found to be no larger than this, in rows and in files.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 # Rows of one key above which its rows are spread over several tasks.
 HOT_ROWS = 1_000_000
 SALTS = 64
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` written to the checkpoint folder and counted; hinted only within ``limit`` rows."""
-    written = cut(df)
-    small = written.limit(limit + 1).count() <= limit
-    return (F.broadcast(written) if small else written), small
+    """``df`` written to the shared folder; hinted only within ``limit`` rows and ``BROADCAST_BYTES``."""
+    written, small, _ = small_or_not(df, limit)
+    return written, small
+
+
+def small_or_not(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool, int]:
+    """``broadcast_if_small`` and the number of rows, all from one job."""
+    path = fresh_path(df.sparkSession, "side")
+    written, n = counted(df, path)
+    small = n["rows"] <= limit and size_of(df.sparkSession, path) <= BROADCAST_BYTES
+    return (F.broadcast(written) if small else written), small, n["rows"]
 
 
 def attach(
@@ -61,8 +69,8 @@ def lookup(
     should be a written frame.
     """
     hot = left.groupBy(key).count().filter(F.col("count") > hot_rows).select(key)
-    marks, _ = broadcast_if_small(hot.withColumn("_hot", F.lit(True)))
-    if marks.isEmpty():
+    marks, _, n_hot = small_or_not(hot.withColumn("_hot", F.lit(True)))
+    if not n_hot:
         return left.join(right, key)
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).otherwise(

@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pageframe.functions.lineage import cut
+from pageframe.functions.lineage import stored
 from pageframe.operators.errors import Routed, route
 from pageframe.operators.infer import infer_schema
 from pageframe.operators.line_pages import DELIMITERS
@@ -24,17 +24,17 @@ def pages_to_read(responses: DataFrame, options: SourceOptions) -> DataFrame:
     return _pages_and_holes(responses, options)[0]
 
 
-def _pages_and_holes(responses: DataFrame, options: SourceOptions) -> tuple[DataFrame, DataFrame]:
-    """The pages to read, and ``seed, page_no, url`` of those that are due but were not captured."""
+def _pages_and_holes(responses: DataFrame, options: SourceOptions) -> tuple[DataFrame, DataFrame | None]:
+    """The pages to read, and ``seed, page_no, url`` of those that are due but were not captured, if any."""
     responses = captured_once(responses)
     if options.pagination == NONE:
         return single_pages(responses), first_holes(responses)
     if options.pagination == INCREMENT_INDEX:
         planned = in_plan(responses, options)
-        facts = cut(page_facts(planned, options).select("seed", "page_no", "n_entries"))
+        facts = stored(page_facts(planned, options).select("seed", "page_no", "n_entries"), "facts")
         return stop_on_empty(planned, facts), index_holes(facts, options)
-    facts = cut(page_facts(responses, options))
-    chain = cut(resolve_chains(facts))
+    facts = stored(page_facts(responses, options), "facts")
+    chain = resolve_chains(facts)
     return pages_on_chain(responses, chain), chain_holes(facts, chain)
 
 
@@ -48,8 +48,8 @@ def parse_captured(responses: DataFrame, options: SourceOptions) -> DataFrame:
         options = replace(options, schema=infer_schema(responses, options))
     options.check()
     pages, holes = _pages_and_holes(responses, options)
-    parsed, holes = parse_pages(pages, options), cut(holes)
-    return parsed if holes.isEmpty() else parsed.unionByName(hole_entries(holes, options))
+    parsed = parse_pages(pages, options)
+    return parsed if holes is None else parsed.unionByName(hole_entries(holes, options))
 
 
 def read_captured(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageframe.functions.skew import broadcast_if_small
+from pageframe.functions.skew import broadcast_if_small, small_or_not
 from pageframe.functions.urls import fill_index
 from pageframe.operators.entries import missing_error
 from pageframe.operators.responses import KEYS
@@ -26,8 +26,8 @@ def captured_once(responses: DataFrame) -> DataFrame:
     """
     me = page_id(F.col("seed"), F.col("url"))
     again = responses.select(me.alias("_page")).groupBy("_page").count().filter(F.col("count") > 1)
-    again, _ = broadcast_if_small(again.select("_page", F.lit(True).alias("_again")))
-    if again.isEmpty():
+    again, _, n_again = small_or_not(again.select("_page", F.lit(True).alias("_again")))
+    if not n_again:
         return responses
     marked = responses.withColumn("_page", me).join(again, "_page", "left")
     order = F.struct("page_no", F.xxhash64("body"), "status", F.to_json("headers"))
@@ -36,8 +36,8 @@ def captured_once(responses: DataFrame) -> DataFrame:
     return marked.filter(F.col("_again").isNull()).select(*responses.columns).unionByName(chosen)
 
 
-def index_holes(facts: DataFrame, options: SourceOptions) -> DataFrame:
-    """Index pages that are due but were not captured: ``seed, page_no, url``.
+def index_holes(facts: DataFrame, options: SourceOptions) -> DataFrame | None:
+    """Index pages that are due but were not captured: ``seed, page_no, url``; None if there are none.
 
     Due are the pages in front of the first one without entries; without such a page, those of the
     plan if it has a maximum, else those in front of the last one captured. Seeds without a hole
@@ -51,8 +51,10 @@ def index_holes(facts: DataFrame, options: SourceOptions) -> DataFrame:
         F.min(F.when(F.col("n_entries") == 0, F.col("page_no"))).alias("stop"),
     )
     due = F.coalesce("stop", F.lit(planned).cast("bigint"), "last")
-    open_ = seeds.select("seed", "n", "last", due.alias("due")).filter((F.col("n") < F.col("last")) | (F.col("last") < F.col("due")))
-    open_ = open_.filter(F.col("due") > 0)
+    due = seeds.select("seed", "n", "last", due.alias("due")).filter(F.col("due") > 0)
+    open_, _, n_open = small_or_not(due.filter((F.col("n") < F.col("last")) | (F.col("last") < F.col("due"))))
+    if not n_open:
+        return None
     last_block = F.floor((F.col("due") - 1) / F.lit(BLOCK)).cast("bigint")
     blocks = open_.select("seed", "due", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("b")).repartition("seed", "b")
     listed = F.sequence(F.col("b") * BLOCK, F.least(F.col("b") * BLOCK + (BLOCK - 1), F.col("due") - 1))
@@ -62,30 +64,32 @@ def index_holes(facts: DataFrame, options: SourceOptions) -> DataFrame:
     return absent.select("seed", "page_no", fill_index(F.col("seed"), index).alias("url"))
 
 
-def first_holes(pages: DataFrame) -> DataFrame:
-    """Seeds whose own page was not captured, as page 0: ``seed, page_no, url``."""
+def first_holes(pages: DataFrame) -> DataFrame | None:
+    """Seeds whose own page was not captured, as page 0: ``seed, page_no, url``; None if there are none."""
     seeds = pages.groupBy("seed").agg(F.max(F.col("url") == F.col("seed")).alias("there"))
-    return seeds.filter(~F.col("there")).select("seed", F.lit(0).cast("bigint").alias("page_no"), F.col("seed").alias("url"))
+    lost, _, n_lost = small_or_not(seeds.filter(~F.col("there")).select("seed"))
+    return lost.select("seed", F.lit(0).cast("bigint").alias("page_no"), F.col("seed").alias("url")) if n_lost else None
 
 
-def chain_holes(facts: DataFrame, chain: DataFrame) -> DataFrame:
+def chain_holes(facts: DataFrame, chain: DataFrame) -> DataFrame | None:
     """Pages that a chain leads to and that were not captured although later ones were: ``seed, page_no, url``.
 
-    A chain has one end, so there is at most one such page for a seed. Where nothing of the seed was
-    captured behind its end, the capture ends there and nothing is missing; ``missing_links`` lists
-    these links too.
+    None if there are none. A chain has one end, so there is at most one such page for a seed; a seed
+    whose own page is missing has that one. Where nothing of the seed was captured behind the end of
+    its chain, the capture ends there and nothing is missing; ``missing_links`` lists these links too.
     """
-    goes_on = (F.col("n_entries") > 0) & F.col("next_url").isNotNull()
-    ends = chain.groupBy("seed").agg(F.max_by(F.struct("url", "captured_no", "page_no"), "page_no").alias("e"))
-    ends = ends.select("seed", "e.url", "e.captured_no", (F.col("e.page_no") + 1).alias("following"))
-    last = facts.groupBy("seed").agg(F.max("page_no").alias("last"))
-    ends = ends.join(last, "seed").filter(F.col("last") > F.col("captured_no")).drop("last", "captured_no")
-    ends, _ = broadcast_if_small(ends)
-    links = facts.filter(goes_on).join(ends, ["seed", "url"]).select("seed", "following", F.col("next_url").alias("url"))
+    ends = chain.groupBy("seed").agg(F.max_by(F.struct("url", "captured_no", "page_no", "goes_on"), "page_no").alias("e"))
+    seeds = facts.groupBy("seed").agg(F.max("page_no").alias("last"), F.max(F.col("url") == F.col("seed")).alias("there"))
+    torn = F.col("e.goes_on") & (F.col("last") > F.col("e.captured_no"))
+    ends = seeds.join(ends, "seed", "left").filter(~F.col("there") | torn)
+    ends, _, n_ends = small_or_not(ends.select("seed", "there", "e.url", (F.col("e.page_no") + 1).alias("following")))
+    if not n_ends:
+        return None
+    first = ends.filter(~F.col("there")).select("seed", F.lit(0).cast("bigint").alias("page_no"), F.col("seed").alias("url"))
+    links = facts.join(ends.filter("there"), ["seed", "url"]).select("seed", F.col("following").alias("page_no"), F.col("next_url").alias("url"))
     links, _ = broadcast_if_small(links)
     there = facts.select("seed", "url").join(links, ["seed", "url"], "left_semi").distinct()
-    lost = links.join(there, ["seed", "url"], "left_anti")
-    return lost.select("seed", F.col("following").alias("page_no"), "url").unionByName(first_holes(facts))
+    return links.join(there, ["seed", "url"], "left_anti").unionByName(first)
 
 
 def hole_entries(holes: DataFrame, options: SourceOptions) -> DataFrame:

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageframe.functions.lineage import cut
-from pageframe.functions.skew import HOT_ROWS, broadcast_if_small, lookup
+from pageframe.functions.lineage import counted, fresh_path, remove, stored
+from pageframe.functions.skew import HOT_ROWS, broadcast_if_small, lookup, small_or_not
 from pageframe.plans.captures import page_id
 
-# Page numbers of a seed that one window looks at; numbers are unique there, so it is a bound.
+# Page numbers of a seed that one window looks at, and the most pages it may hold.
 BLOCK = 4096
 
 
 def resolve_chains(facts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Pages reached from each seed's first URL: ``seed, url, captured_no, page_no, n_entries``.
+    """Pages reached from each seed's first URL: ``seed, url, captured_no, page_no, n_entries, goes_on``.
 
     A walk goes on from a page that has entries and a next URL; it ends at a page without
     entries, at a link to a page that was not captured, and where it comes back to a page
@@ -24,7 +26,7 @@ def resolve_chains(facts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     is done by pointer doubling: each round joins along the pointers once, which takes all
     reached heads on to what they point at and doubles the pointers. A chain of ``n`` heads
     takes about log2(n) rounds over 16-byte keys instead of ``n`` dependent steps. Each round
-    is written to the checkpoint folder.
+    is written to the shared folder, counted on the way, and the one before is deleted.
     """
     me, following = page_id(F.col("seed"), F.col("url")), page_id(F.col("seed"), F.col("next_url"))
     goes_on = (F.col("n_entries") > 0) & F.col("next_url").isNotNull()
@@ -40,25 +42,27 @@ def resolve_chains(facts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         ).alias("page"),
     )
     # a URL captured several times counts once; min combines before the shuffle
-    pages = cut(rows.groupBy("id").agg(F.min("page").alias("page")).select("id", "page.*"))
-    members = cut(_stretches(pages))
+    pages = stored(rows.groupBy("id").agg(F.min("page").alias("page")).select("id", "page.*"), "pages")
+    members = stored(_stretches(pages), "members")
     state = members.groupBy(F.col("head").alias("id")).agg(
         F.max(F.when(F.col("is_first"), F.lit(0).cast("bigint"))).alias("pos"),
         F.max_by("next", "offset").alias("next"),
         (F.max("offset") + 1).alias("span"),
     )
-    state = cut(state)
-    n_heads = state.count()
-    step, n_reached = 1, state.filter(F.col("pos").isNotNull()).count()
+    spark, reached = facts.sparkSession, {"reached": "pos IS NOT NULL"}
+    path = fresh_path(spark, "state")
+    state, n = counted(state, path, **reached)
+    step, n_heads = 1, n["rows"]
     while step < n_heads:
-        state = cut(_advance(state, hot_rows if n_heads > hot_rows else None))
-        before, n_reached = n_reached, state.filter(F.col("pos").isNotNull()).count()
-        if n_reached == before:
+        before, left_behind, path = n, path, fresh_path(spark, "state")
+        state, n = counted(_advance(state, hot_rows if n_heads > hot_rows else None), path, **reached)
+        remove(spark, left_behind)
+        if n["reached"] == before["reached"]:
             break
         step *= 2
     heads = state.filter(F.col("pos").isNotNull()).select(F.col("id").alias("head"), "pos")
     reached = members.join(heads, "head").select("id", (F.col("pos") + F.col("offset")).alias("page_no"))
-    return pages.join(reached, "id").select("seed", "url", "captured_no", "page_no", "n_entries")
+    return pages.join(reached, "id").select("seed", "url", "captured_no", "page_no", "n_entries", F.col("next").isNotNull().alias("goes_on"))
 
 
 def _stretches(pages: DataFrame) -> DataFrame:
@@ -66,31 +70,31 @@ def _stretches(pages: DataFrame) -> DataFrame:
 
     A stretch is a run of pages of one seed and one block of page numbers, each naming the
     one behind it. A first page, and a page that several pages name, always begins one, so
-    that every pointer leads to the head of a stretch. Where page numbers are not unique,
-    blocks have no bound, and every page is a stretch of its own.
+    that every pointer leads to the head of a stretch. Pages of a block with more of them than
+    numbers, as their numbers repeat, are a stretch each, so that no window exceeds a block.
     """
-    repeated = pages.groupBy("seed", "captured_no").count().filter(F.col("count") > 1)
-    if not repeated.isEmpty():
-        return pages.select("id", F.col("id").alias("head"), F.lit(0).cast("bigint").alias("offset"), "is_first", "next")
+    pages = pages.withColumn("block", F.floor(F.coalesce("captured_no", F.lit(-1)) / F.lit(BLOCK)))
+    wide, _, n_wide = small_or_not(pages.groupBy("seed", "block").count().filter(F.col("count") > BLOCK).select("seed", "block"))
+    inside, single = pages, []
+    if n_wide:
+        alone = pages.join(wide, ["seed", "block"], "left_semi")
+        single.append(alone.select("id", F.col("id").alias("head"), F.lit(0).cast("bigint").alias("offset"), "is_first", "next"))
+        inside = pages.join(wide, ["seed", "block"], "left_anti")
     named = pages.filter(F.col("next").isNotNull()).groupBy(F.col("next").alias("id")).count()
     crowded = named.filter(F.col("count") > 1).select("id", F.lit(True).alias("crowded"))
-    block = F.floor(F.col("captured_no") / F.lit(BLOCK))
-    in_block = Window.partitionBy("seed", "block").orderBy("captured_no")
+    in_block = Window.partitionBy("seed", "block").orderBy("captured_no", "id")
     follows = F.lag("next").over(in_block).eqNullSafe(F.col("id"))
     begins = F.col("is_first") | F.coalesce("crowded", F.lit(False)) | ~follows
-    numbered = (
-        pages.join(crowded, "id", "left")
-        .withColumn("block", block)
-        .withColumn("stretch", F.sum(begins.cast("int")).over(in_block))
-    )
-    in_stretch = Window.partitionBy("seed", "block", "stretch").orderBy("captured_no")
-    return numbered.select(
+    numbered = inside.join(crowded, "id", "left").withColumn("stretch", F.sum(begins.cast("int")).over(in_block))
+    in_stretch = Window.partitionBy("seed", "block", "stretch").orderBy("captured_no", "id")
+    runs = numbered.select(
         "id",
         F.first("id").over(in_stretch).alias("head"),
         (F.row_number().over(in_stretch) - 1).cast("bigint").alias("offset"),
         "is_first",
         "next",
     )
+    return reduce(DataFrame.unionByName, single, runs)
 
 
 def _advance(state: DataFrame, hot_rows: int | None) -> DataFrame:
