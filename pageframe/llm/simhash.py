@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageframe.functions.lineage import stored
+from pageframe.llm import near_copies
 from pageframe.llm.components import components
 from pageframe.llm.rows import packed, row_key, text_of
 
@@ -203,7 +204,7 @@ def near_links(codes: DataFrame, most: int = DIFFERENCES, blocks: int | None = N
     return dealt.groupBy("block", "salt").applyInArrow(links, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def fingerprint_groups(docs: DataFrame) -> DataFrame:
     """(fp, doc_id, key, root, component_id) for every row of ``docs`` (doc_id, text).
 
     component_id is the smallest doc_id among the rows that are linked, directly or through others,
@@ -214,10 +215,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     prints = stored(fingerprints(docs, [F.col("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("key")]), "prints")
     codes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "codes")
-    roots = components(near_links(codes), "a", "b")
+    return _with_components(prints, codes, components(near_links(codes), "a", "b"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(fp, doc_id, key, root, component_id) as ``fingerprint_groups``, for near copies on word shingles.
+
+    Texts are linked if their sets of 5-word shingles have a Jaccard similarity of 0.8 or more: there
+    fingerprints of 64 bits differ in about 10 bits, a radius at which no index rules anything out,
+    so the candidates come from ``near_copies``. ``fp`` names the text, 0 without words.
+    """
+    node = near_copies.text_node(F.col("text")).alias("fp")
+    nodes = stored(docs.select(node, F.col("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("key")), "nodes")
+    roots = near_copies.groups(docs.select(node.alias("node"), "text"))
+    codes = nodes.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    return _with_components(nodes, codes, roots)
+
+
+def _with_components(rows: DataFrame, codes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the root of their code and the smallest id below it."""
     grouped = codes.join(roots, codes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(grouped.select("fp", "root").join(least, "root"), "fp")
+    return rows.join(grouped.select("fp", "root").join(least, "root"), "fp")
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
