@@ -15,12 +15,12 @@ from pageframe.functions.skew import broadcast_if_small
 from pageframe.llm.rows import packed, row_key, text_of
 
 WINDOW, FEWEST_WORDS, MOST_REPEATED = 8, 20, 30
-#: Documents of a host, as ``core`` tells them apart, that may share a line.
+#: Documents of a host, copies counted once, that may share a line.
 LINE_LIMIT = 200
 #: Share of its words that a document must keep when lines above the limit are removed, in per cent.
 LEAST_KEPT = 30
 SYMBOLS = b"#*$%&|<>"
-_FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, core long"
+_FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, copy long"
 _LINES = "lines array<struct<line: long, words: int>>"
 
 
@@ -47,7 +47,7 @@ def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
 
 
 def measure(text: bytes) -> tuple[tuple[int, ...], list[tuple[int, int]]]:
-    """The base figures and the core of a text, and (hash, words) of each line that has a word."""
+    """The base figures and the hash of a text, and (hash, words) of each line that has a word."""
     words = text.split()
     joined = b"".join(words)
     chars = len(joined.decode("utf-8", "replace"))
@@ -60,8 +60,8 @@ def measure(text: bytes) -> tuple[tuple[int, ...], list[tuple[int, int]]]:
             repeats += line in seen
             seen.add(line)
             lines.append((xxhash.xxh64_intdigest(b" ".join(own).lower()) - (1 << 63), len(own)))
-    core = min((xxhash.xxh64_intdigest(w) for w in set(words)), default=0) - (1 << 63)
-    return (len(words), chars, symbols, repeats, repeated_words(words), core), lines
+    copy = xxhash.xxh64_intdigest(text) - (1 << 63)
+    return (len(words), chars, symbols, repeats, repeated_words(words), copy), lines
 
 
 def measured(docs: DataFrame, carry: list[Column], with_lines: bool = True) -> DataFrame:
@@ -90,12 +90,12 @@ def measured(docs: DataFrame, carry: list[Column], with_lines: bool = True) -> D
 def common_lines(lines: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
     """(host, line) of the lines that more than ``limit`` distinct documents of a host have.
 
-    Documents count as one if they have the same ``core``, the least hash of their words: copies and
-    near copies of one text share it and so don't make its own lines common, while a line that a site
-    puts under unlike texts is counted with each. Repeats within a document count once. The distinct
-    cores of a line are counted in two combining steps, so a line of any frequency is spread out.
+    Documents count as one if their whole texts are equal (``copy``, a hash of the text): copies of
+    a text don't make its own lines common, any other two documents count as two, near copies as
+    well. Repeats within a document count once. The distinct texts of a line are counted in two
+    combining steps, so a line of any frequency is spread out.
     """
-    distinct = lines.groupBy("host", "line", "core").count()
+    distinct = lines.groupBy("host", "line", "copy").count()
     return distinct.groupBy("host", "line").count().filter(F.col("count") > limit).select("host", "line")
 
 
@@ -122,12 +122,12 @@ def verdicts(docs: DataFrame, limit: int = LINE_LIMIT, least: int = LEAST_KEPT)
     """
     table = stored(measured(docs, [_key().alias("key"), F.col("doc_id"), F.col("source").alias("host")]), "measured")
     host = F.coalesce(F.concat(F.lit("="), F.col("host")), F.lit("-")).alias("host")
-    lines = table.select("key", host, "core", F.explode("lines").alias("l")).select("key", "host", "core", "l.line", "l.words")
+    lines = table.select("key", host, "copy", F.explode("lines").alias("l")).select("key", "host", "copy", "l.line", "l.words")
     common, _ = broadcast_if_small(common_lines(lines, limit))
     removed = lines.join(common, ["host", "line"]).groupBy("key").agg(F.sum("words").alias("w"), F.count("*").alias("_n"))
     copies = table.groupBy("key").agg(F.count("*").alias("copies"))
     removed = removed.join(copies, "key").select("key", (F.col("w") / F.col("copies")).cast("long").alias("removed_words"))
-    rows = table.drop("lines", "host", "core").join(removed, "key", "left").fillna(0, ["removed_words"])
+    rows = table.drop("lines", "host", "copy").join(removed, "key", "left").fillna(0, ["removed_words"])
     left = F.col("n_words") - F.col("removed_words")
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     kept = ~failed & (100 * left >= least * F.col("n_words"))

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import corpus_pipeline
-from pageframe.llm import simhash
+from pageframe.llm import line_quality, simhash
 
 
 def grams(text):
@@ -55,3 +55,13 @@ def test_a_large_group_of_near_copies_is_one(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
     assert all(got[i] == 0 for i in range(400)) and all(got[1000 + i] == 1000 + i for i in range(30))
+
+
+def test_a_shared_line_counts_every_unlike_document(spark):
+    menu = " ".join(f"menu{i}" for i in range(80))
+    rows = [(i, f"{menu}\n" + " ".join(f"own{i}x{k}" for k in range(20)), "h") for i in range(260)]
+    rows += [(1000 + i, "\n".join(f"copied line {k} of one text" for k in range(6)), "h") for i in range(260)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = {r["doc_id"]: r for r in line_quality.verdicts(docs).collect()}
+    assert all(got[i]["removed_words"] == 80 and not got[i]["kept"] for i in range(260))
+    assert all(got[1000 + i]["removed_words"] == 0 for i in range(260))
