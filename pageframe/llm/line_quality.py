@@ -46,6 +46,16 @@ def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
     return int((cover.cumsum()[:-1] > 0).sum())
 
 
+def _line(words: list[bytes]) -> int:
+    """What lines are compared by: blanks joined, A-Z lower-cased."""
+    return xxhash.xxh64_intdigest(b" ".join(words).lower()) - (1 << 63)
+
+
+def without(text: bytes, lines: set[int]) -> bytes:
+    """A text without the lines of these hashes; lines that have no word stay."""
+    return b"\n".join(x for x in text.split(b"\n") if not (own := x.split()) or _line(own) not in lines)
+
+
 def measure(text: bytes) -> tuple[tuple[int, ...], list[tuple[int, int]]]:
     """The base figures and the hash of a text, and (hash, words) of each line that has a word."""
     words = text.split()
@@ -59,7 +69,7 @@ def measure(text: bytes) -> tuple[tuple[int, ...], list[tuple[int, int]]]:
         if own:
             repeats += line in seen
             seen.add(line)
-            lines.append((xxhash.xxh64_intdigest(b" ".join(own).lower()) - (1 << 63), len(own)))
+            lines.append((_line(own), len(own)))
     copy = xxhash.xxh64_intdigest(text) - (1 << 63)
     return (len(words), chars, symbols, repeats, repeated_words(words), copy), lines
 
@@ -100,17 +110,29 @@ def common_lines(lines: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, **kw) -> DataFrame:
-    """The rows of ``docs`` that ``verdicts`` keeps, all columns as they are."""
-    rejected, _ = broadcast_if_small(verdicts(docs, **kw).filter("not kept").select("key").distinct())
+    """The rows of ``docs`` that ``verdicts`` keeps, ``text`` without its common lines, all other columns as they are."""
+    judged = _judged(docs, **kw).filter("not kept or common is not null")
+    changed, _ = broadcast_if_small(judged.select("key", "kept", "common").dropDuplicates(["key"]))
     whole = docs.select(packed(docs), _key().alias("key"))
-    return whole.join(rejected, "key", "left_anti").select("row.*")
+    whole = whole.join(changed, "key", "left").filter(F.coalesce("kept", F.lit(True)))
+
+    @F.arrow_udf("string")
+    def cleaned(text: pa.Array, common: pa.Array) -> pa.Array:
+        pairs = zip(text, common, strict=True)
+        return pa.array([without(t.as_py().encode(), set(c.as_py())).decode() if t.is_valid else None for t, c in pairs], pa.string())
+
+    # other texts don't travel to Python
+    own = F.when(F.col("common").isNotNull(), F.col("row.text"))
+    whole = whole.withColumn("_clean", cleaned(own, F.col("common")))
+    text = F.when(F.col("common").isNotNull(), F.col("_clean")).otherwise(F.col("row.text")).alias("text")
+    return whole.select(*[text if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def _key() -> Column:
     return row_key(F.col("doc_id"), F.concat_ws("\0", "source", "text"))
 
 
-def verdicts(docs: DataFrame, limit: int = LINE_LIMIT, least: int = LEAST_KEPT) -> DataFrame:
+def verdicts(docs: DataFrame, **kw) -> DataFrame:
     """(key, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, removed_words, base_failed, kept).
 
     A document fails the base rules with under 20 words or over 30 % of them in repeated windows of
@@ -120,13 +142,18 @@ def verdicts(docs: DataFrame, limit: int = LINE_LIMIT, least: int = LEAST_KEPT)
     Null and empty texts have no words and fail. Rows with a null doc_id count as documents;
     repeated rows give a row each with the same verdict; no rows give none; other columns are ignored.
     """
+    return _judged(docs, **kw).drop("common")
+
+
+def _judged(docs: DataFrame, limit: int = LINE_LIMIT, least: int = LEAST_KEPT) -> DataFrame:
+    """``verdicts`` with ``common``, the lines that are removed from the document; null if there are none."""
     table = stored(measured(docs, [_key().alias("key"), F.col("doc_id"), F.col("source").alias("host")]), "measured")
     host = F.coalesce(F.concat(F.lit("="), F.col("host")), F.lit("-")).alias("host")
     lines = table.select("key", host, "copy", F.explode("lines").alias("l")).select("key", "host", "copy", "l.line", "l.words")
     common, _ = broadcast_if_small(common_lines(lines, limit))
-    removed = lines.join(common, ["host", "line"]).groupBy("key").agg(F.sum("words").alias("w"), F.count("*").alias("_n"))
+    removed = lines.join(common, ["host", "line"]).groupBy("key").agg(F.sum("words").alias("w"), F.collect_set("line").alias("common"))
     copies = table.groupBy("key").agg(F.count("*").alias("copies"))
-    removed = removed.join(copies, "key").select("key", (F.col("w") / F.col("copies")).cast("long").alias("removed_words"))
+    removed = removed.join(copies, "key").select("key", (F.col("w") / F.col("copies")).cast("long").alias("removed_words"), "common")
     rows = table.drop("lines", "host", "copy").join(removed, "key", "left").fillna(0, ["removed_words"])
     left = F.col("n_words") - F.col("removed_words")
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))

@@ -65,3 +65,15 @@ def test_a_shared_line_counts_every_unlike_document(spark):
     got = {r["doc_id"]: r for r in line_quality.verdicts(docs).collect()}
     assert all(got[i]["removed_words"] == 80 and not got[i]["kept"] for i in range(260))
     assert all(got[1000 + i]["removed_words"] == 0 for i in range(260))
+
+
+def test_kept_documents_lose_their_common_lines(spark):
+    own = [" ".join(f"own{i}x{k}" for k in range(30)) for i in range(260)]
+    rows = [(i, f"Menu  Home About\n\n{o}\nmenu home ABOUT\tImprint", "h", i) for i, o in enumerate(own)]
+    rows += [(i, f"MENU home about\r\n{o}", "h", i) for i, o in enumerate(own[:5], 500)] + [(600, f"Menu  Home About\n{own[0]}", "other", 1)]
+    docs = spark.createDataFrame([*rows, rows[3], rows[3]], "doc_id long, text string, source string, n_chars int").repartition(4)
+    stage = dict(corpus_pipeline.STAGES)["quality"]
+    got = stage(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(i, f"\n{o}", "h", i) for i, o in enumerate(own)] + [(i, o, "h", i) for i, o in enumerate(own[:5], 500)] + [rows[-1]]
+    assert Counter(tuple(r) for r in got.collect()) == Counter([*want, want[3], want[3]])
