@@ -15,8 +15,9 @@ from pageframe.functions.skew import broadcast_if_small
 from pageframe.llm.rows import packed, row_key, text_of
 
 WINDOW, FEWEST_WORDS, MOST_REPEATED = 8, 20, 30
-#: Documents of a host, copies counted once, that may share a line.
-LINE_LIMIT = 200
+#: Documents of a host, copies counted once, that may share a line: this share of them in per cent, but
+#: never fewer than the floor nor more than the limit.
+LINE_SHARE, LINE_FLOOR, LINE_LIMIT = 10, 5, 200
 #: Share of its words that a document must keep when lines above the limit are removed, in per cent.
 LEAST_KEPT = 30
 SYMBOLS = b"#*$%&|<>"
@@ -97,8 +98,11 @@ def measured(docs: DataFrame, carry: list[Column], with_lines: bool = True) -> D
     return out if with_lines else out.drop("lines")
 
 
-def common_lines(lines: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
-    """(host, line) of the lines that more than ``limit`` distinct documents of a host have.
+def common_lines(lines: DataFrame, hosts: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
+    """(host, line) of the lines that too many distinct documents of a host have.
+
+    Too many are more than ``LINE_SHARE`` per cent of its distinct documents, ``docs`` of ``hosts``
+    (host, docs), and more than ``LINE_FLOOR``; or more than ``limit`` on a host of any size.
 
     Documents count as one if their whole texts are equal (``copy``, a hash of the text): copies of
     a text don't make its own lines common, any other two documents count as two, near copies as
@@ -106,7 +110,10 @@ def common_lines(lines: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
     combining steps, so a line of any frequency is spread out.
     """
     distinct = lines.groupBy("host", "line", "copy").count()
-    return distinct.groupBy("host", "line").count().filter(F.col("count") > limit).select("host", "line")
+    counts = distinct.groupBy("host", "line").count().filter(F.col("count") > min(LINE_FLOOR, limit))
+    hosts, _ = broadcast_if_small(hosts)
+    most = F.least(F.lit(limit), F.greatest(F.lit(LINE_FLOOR), F.col("docs") * LINE_SHARE / 100))
+    return counts.join(hosts, "host").filter(F.col("count") > most).select("host", "line")
 
 
 def kept_documents(docs: DataFrame, **kw) -> DataFrame:
@@ -150,7 +157,8 @@ def _judged(docs: DataFrame, limit: int = LINE_LIMIT, least: int = LEAST_KEPT) -
     table = stored(measured(docs, [_key().alias("key"), F.col("doc_id"), F.col("source").alias("host")]), "measured")
     host = F.coalesce(F.concat(F.lit("="), F.col("host")), F.lit("-")).alias("host")
     lines = table.select("key", host, "copy", F.explode("lines").alias("l")).select("key", "host", "copy", "l.line", "l.words")
-    common, _ = broadcast_if_small(common_lines(lines, limit))
+    hosts = table.select(host, "copy").distinct().groupBy("host").agg(F.count("*").alias("docs"))
+    common, _ = broadcast_if_small(common_lines(lines, hosts, limit))
     removed = lines.join(common, ["host", "line"]).groupBy("key").agg(F.sum("words").alias("w"), F.collect_set("line").alias("common"))
     copies = table.groupBy("key").agg(F.count("*").alias("copies"))
     removed = removed.join(copies, "key").select("key", (F.col("w") / F.col("copies")).cast("long").alias("removed_words"), "common")

@@ -1,8 +1,11 @@
 """What the second advice found missing."""
 
+import re
 from collections import Counter, defaultdict
 from itertools import combinations
 
+from test_ops_against_brute_force import BLANKS, quality
+
 import corpus_pipeline
 from pageframe.llm import line_quality, simhash
 
@@ -77,3 +80,34 @@ def test_kept_documents_lose_their_common_lines(spark):
     assert got.columns == docs.columns
     want = [(i, f"\n{o}", "h", i) for i, o in enumerate(own)] + [(i, o, "h", i) for i, o in enumerate(own[:5], 500)] + [rows[-1]]
     assert Counter(tuple(r) for r in got.collect()) == Counter([*want, want[3], want[3]])
+
+
+def test_kept_against_a_count_of_lines(spark):
+    """The limit follows the host: 50 documents each here, so lines of over 5 documents are common."""
+    sf = "/root/testdata/sf0.01"
+    rows = [r.asDict() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    texts, holders = defaultdict(set), defaultdict(set)
+
+    def lines(text):
+        return [(" ".join(w).lower(), len(w)) for x in text.split("\n") if (w := re.findall(BLANKS, x))]
+
+    for r in rows:
+        texts[r["source"]].add(r["text"] or "")
+        for line, _ in lines(r["text"] or ""):
+            holders[r["source"], line].add(r["text"] or "")
+    common = {k for k, held in holders.items() if len(held) > min(200, max(5, len(texts[k[0]]) / 10))}
+    want = {}
+    for r in rows:
+        n, *_, failed = quality(r["text"] or "")
+        gone = sum(k for line, k in lines(r["text"] or "") if (r["source"], line) in common)
+        want[r["doc_id"]] = (gone, not failed and 100 * (n - gone) >= 30 * n)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert {r["doc_id"]: (r["removed_words"], r["kept"]) for r in line_quality.verdicts(docs).collect()} == want
+    assert common and any(gone for gone, _ in want.values())
+
+
+def test_a_line_of_all_documents_of_a_small_host_is_common(spark):
+    menu = " ".join(f"menu{i}" for i in range(80))
+    rows = [(i, f"{menu}\n" + " ".join(f"own{i}x{k}" for k in range(20)), "small" if i < 30 else "tiny") for i in range(34)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r["doc_id"]: r["kept"] for r in line_quality.verdicts(docs).collect()} == {i: i >= 30 for i in range(34)}
