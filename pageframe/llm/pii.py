@@ -24,12 +24,32 @@ class Kind:
     base: bool = True
 
 
+#: Characters of an account number by country, as registered.
+IBAN_LONG = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """A number of a listed country has exactly its length, so what follows behind a blank is left out.
+
+    Other countries' numbers have any length; their run ends before a listed country's number.
+    """
+    listed = "|".join(c for n in IBAN_LONG for c in IBAN_LONG[n].split())
+    exact = "|".join(rf"(?:{IBAN_LONG[n].replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n in IBAN_LONG)
+    other = rf"(?!{listed})[A-Z]{{2}}[0-9]{{2}}(?:(?!\x20(?:{listed})[0-9]{{2}})\x20?[A-Z0-9]){{11,30}}+"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{exact}|{other})(?![A-Za-z0-9])"
+
+
 KINDS = (
     Kind("email", rf"(?:(?<!{_MAIL})|\G){_MAIL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.9, "mail|contact|write"),
     Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}", 0.7, "ip|host|server|address|login"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", 0.7, "card|visa|credit|payment|karte|tarjeta|carte"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.7, "phone|call|tel|mobile|fax|whatsapp"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", 0.7, "iban|bank|account|konto|cuenta|compte", False),
+    Kind("iban", _iban(), 0.7, "iban|bank|account|konto|cuenta|compte", False),
     Kind("ssn", r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])", 0.3, "ssn|social security", False),
 )
 #: Characters before and after a span whose words count, what such a word adds, and what a span needs.

@@ -7,7 +7,7 @@ from itertools import combinations
 from test_ops_against_brute_force import BLANKS, quality
 
 import corpus_pipeline
-from pageframe.llm import line_quality, simhash
+from pageframe.llm import line_quality, pii, simhash
 
 
 def grams(text):
@@ -111,3 +111,25 @@ def test_a_line_of_all_documents_of_a_small_host_is_common(spark):
     rows = [(i, f"{menu}\n" + " ".join(f"own{i}x{k}" for k in range(20)), "small" if i < 30 else "tiny") for i in range(34)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert {r["doc_id"]: r["kept"] for r in line_quality.verdicts(docs).collect()} == {i: i >= 30 for i in range(34)}
+
+
+def test_ibans_before_other_words(spark):
+    texts = {
+        "DE89 3704 0044 0532 0130 00 Thanks": "iban:0:27",
+        "GB29 NWBK 6016 1331 9268 19 BIC: X": "iban:0:27",
+        "DE89370400440532013000 EUR 500": "iban:0:22",
+        "GB29NWBK60161331926819 2024": "iban:0:22",
+        "DE89 3704 0044 0532 0130 00 GB29 NWBK 6016 1331 9268 19 NOW": "iban:0:27,iban:28:55",
+        "ZZ12 3456 DE89 3704 0044 0532 0130 00 END": "iban:10:37",
+        "NO12 DE89 3704 0044 0532 0130 00": "iban:5:32",
+        "MT84MALT011000012345MTLCAST001S, FR14 2004 1010 0505 0001 3M02 606": "iban:0:31,iban:33:66",
+        "DE89 3704 0044 0532 0130 01 Thanks": "",
+        "DE893704004405320130002 X": "",
+        "xDE89370400440532013000 X": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.report(docs).collect()}
+    ibans = {t: ",".join(s for s in found[i].split(",") if s.startswith("iban")) for i, t in enumerate(texts)}
+    assert ibans == texts
+    clean = {r["doc_id"]: r["text"] for r in pii.masked(docs).collect()}
+    assert clean[0] == "<iban> Thanks" and clean[3] == "<iban> 2024"
