@@ -107,6 +107,12 @@ def schedule(docs: DataFrame, keep: Sequence[str] | None = None, schedules: Sequ
     return placed.select("row", "size", "source_size", "target", F.size(copies).alias("copies"), F.transform(copies, position).alias("positions"))
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, positions, ...) range-sorted by their first position; rows that are not taken come last."""
+    order = F.get("positions", F.lit(0)).asc_nulls_last(), F.xxhash64("doc_id").asc()
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def mix(docs: DataFrame, **kw) -> DataFrame:
     """The training set: each document as often as it is taken, range-sorted by position, columns of ``docs``."""
     taken = schedule(docs, **kw).select("row", F.explode("positions").alias("position"))

@@ -39,7 +39,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = curriculum.schedule(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     taken = (F.col("size") * F.col("copies")).alias("taken")
-    return plan.select("row.doc_id", "size", "source_size", "target", taken)
+    return curriculum.in_order(plan.select("row.doc_id", "size", "source_size", "target", taken, "positions"))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,16 @@
 """What the second advice found missing."""
 
+import hashlib
 import re
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
+import pytest
 from test_ops_against_brute_force import BLANKS, quality
 
 import corpus_pipeline
-from pageframe.llm import line_quality, pii, simhash
+from pageframe.llm import curriculum, line_quality, pii, queries, simhash
 
 
 def grams(text):
@@ -133,3 +136,24 @@ def test_ibans_before_other_words(spark):
     assert ibans == texts
     clean = {r["doc_id"]: r["text"] for r in pii.masked(docs).collect()}
     assert clean[0] == "<iban> Thanks" and clean[3] == "<iban> 2024"
+
+
+def test_mixing_gives_the_training_positions(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [r.asDict() for r in queries.op6_mixing(spark, sf).collect()]
+    source = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    kind = {s: i % 3 for i, s in enumerate(sorted(set(source.values())))}
+    grid, shares = np.linspace(0, 1, 20001), []
+    for knots in curriculum.SCHEDULES:
+        weight = np.interp(grid, *zip(*knots, strict=True))
+        area = np.concatenate([[0], np.cumsum((weight[1:] + weight[:-1]) / 2)])
+        shares.append(area / area[-1])
+    used = defaultdict(int)
+    for r in sorted(rows, key=lambda r: hashlib.md5(str(r["doc_id"]).encode()).hexdigest()):
+        s = source[r["doc_id"]]
+        copies = [used[s] + e * r["source_size"] for e in range(3) if used[s] + r["size"] / 2 + e * r["source_size"] < r["target"]]
+        used[s] += r["size"]
+        want = np.interp([c / r["target"] for c in copies], shares[kind[s]], grid)
+        assert r["positions"] == pytest.approx(want.tolist(), abs=1e-3)
+    first = [r["positions"][0] if r["positions"] else 2 for r in rows]
+    assert first == sorted(first) and 0 < sum(len(r["positions"]) for r in rows)
