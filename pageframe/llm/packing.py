@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageframe.llm.tokens import default_path, encoder
+from pageframe.llm.tokens import default_path, encoder, slices
 
 CAPACITY = 2048
 END = 1
@@ -148,7 +148,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId() << 40, capacity)
-        encode, last = encoder(path).encode, end.to_bytes(4, "little")
+        own, last = encoder(path), end.to_bytes(4, "little")
 
         def out() -> pa.RecordBatch:
             rows, packer.pieces = packer.pieces, []
@@ -157,9 +157,9 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
 
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
-            for low in range(0, len(doc_ids), 256):
-                texts = batch.column("text").slice(low, 256).to_pylist()
-                for doc_id, ids in zip(doc_ids[low : low + 256], encode(texts), strict=True):
+            texts = batch.column("text")
+            for low, high in slices(texts):
+                for doc_id, ids in zip(doc_ids[low:high], own.encode(texts.slice(low, high - low)), strict=True):
                     packer.add(doc_id, ids + last)
                 if len(packer.pieces) > 512:
                     yield out()

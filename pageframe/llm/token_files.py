@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from pageframe.functions.lineage import fresh_path
-from pageframe.llm.tokens import default_path, encoder
+from pageframe.llm.tokens import default_path, encoder, slices
 
 MAGIC = b"DAC1"
 CHUNK_BITS = 8
@@ -111,7 +111,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, last = TaskContext.get().partitionId(), 0, end.to_bytes(4, "little")
-        encode = encoder(path).encode
+        own = encoder(path)
         doc_ids: list[int | None] = []
         found: list[bytes] = []
         held = 0
@@ -125,8 +125,8 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
 
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            for low in range(0, len(ids), 64):
-                for doc_id, got in zip(ids[low : low + 64], encode(batch.column("text").slice(low, 64).to_pylist()), strict=True):
+            for low, high in slices(batch.column("text")):
+                for doc_id, got in zip(ids[low:high], own.encode(batch.column("text").slice(low, high - low)), strict=True):
                     doc_ids.append(doc_id)
                     found.append(got + last)
                     held += len(got) // 4 + 1
