@@ -25,6 +25,20 @@ ORACLES: dict[str, str] = {
             FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
         SELECT doc_id, size, n AS source_size, CAST(target AS DOUBLE) AS target,
             CAST(size * ((half < target)::INT + (half + n < target)::INT + (half + 2 * n < target)::INT) AS BIGINT) AS taken FROM p""",
+    "op13_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+        a AS (SELECT CAST(count(*) FILTER (len(t) > 0) AS BIGINT) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms FROM d),
+        i AS (SELECT k, item_id, term, CAST(count(*) AS BIGINT) AS times FROM (SELECT row_number() OVER () AS k, item_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+        p AS (SELECT k, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT k, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM d)
+            WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+        w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), a),
+        s AS (SELECT i.k, i.item_id, p.k AS dk, CAST(sum(i.times * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 12 * (75 + (25 * p.n * a.docs) // a.terms)))) AS BIGINT) AS score
+            FROM i JOIN p USING (term) JOIN w USING (term), a GROUP BY ALL HAVING score > 0),
+        r AS (SELECT s.item_id, d.doc_id, s.score, CAST(row_number() OVER (PARTITION BY s.k ORDER BY s.score DESC, d.doc_id NULLS FIRST) AS INTEGER) AS rank
+            FROM s JOIN d ON d.k = s.dk)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20""",
     "op9_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),

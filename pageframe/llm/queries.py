@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageframe.llm import curriculum, line_quality, packing, pii, simhash, token_files, topk, toxicity, url_rules, warc
+from pageframe.llm import curriculum, lexical, line_quality, packing, pii, runs, simhash, token_counts, token_files, topk, toxicity, url_rules, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(_table(spark, sf_dir, "documents"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,6 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_toxicity, op3_url_filter, op4_warc, op5_token_files, op6_mixing, op7_pii, op8_quality, op9_top_k,
-        op10_packing, pipeline,
+        op10_packing, op11_token_counts, op12_runs, op13_search, pipeline,
     )
 }

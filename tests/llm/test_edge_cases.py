@@ -307,7 +307,7 @@ def test_stages_keep_columns_on_odd_tables(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     cursor = con.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
