@@ -66,17 +66,17 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: float =
 def schedule(docs: DataFrame, keep: Sequence[str] | None = None, schedules: Sequence = SCHEDULES, **kw) -> DataFrame:
     """All rows of ``docs`` (struct ``row`` of the columns ``keep``, else of all) with size, source_size, target, copies and ``positions``.
 
-    A source is read in the order of md5(doc_id), again from its start for a second and third
+    A source is read in the order of md5(doc_id), of the text where there is no id, again from its start for a second and third
     epoch, until its demand, the target, is used up; a copy is taken if its middle lies before that.
     Its place in the whole training is where the integral of the source's schedule reaches the
     share of the demand used up before it: ``positions`` has one value from 0 to 1 for each copy.
 
     Running sums are taken in 4,096 parts of each source by the first digits of the hash, so that
-    no task sees a whole source. Null texts have size 0, null sources count as one source, null
-    ids sort first, repeated rows count each, and rows of size 0 are taken 0 or more times at no
+    no task sees a whole source. Null texts have size 0, null sources count as one source,
+    repeated rows count each, and rows of size 0 are taken 0 or more times at no
     cost. Empty tables give no rows. Reruns agree.
     """
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.coalesce("text", F.lit("")))))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     carried = packed(docs.select(*keep) if keep else docs)
     rows = docs.select(carried, size.alias("size"), F.col("source").alias("source"), digest.alias("digest"))

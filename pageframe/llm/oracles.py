@@ -12,19 +12,27 @@ ORACLES: dict[str, str] = {
         SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN again THEN first END AS refers_to FROM r""",
     "op6_mixing": r"""
-        WITH d AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS digest,
+        WITH d AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '-' || coalesce(text, ''))) AS digest,
             CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
         s AS (SELECT source, CAST(sum(size) AS BIGINT) AS n FROM d GROUP BY source),
         w AS (SELECT source, n, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS w FROM s),
         r AS (SELECT *, sum(n) OVER () - 3.0 * coalesce(sum(n) OVER (ORDER BY n / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
             sum(w) OVER (ORDER BY n / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM w),
         l AS (SELECT arg_min(CAST(rest / weights AS DOUBLE), n / w) AS level FROM r WHERE rest / weights <= 3.0 * n / w),
-        t AS (SELECT source, n, least(n * CAST(3 AS DOUBLE), coalesce(level, 1e300) * w) AS target FROM w, l),
-        p AS (SELECT d.*, t.n, t.target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY digest, size
-            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / CAST(2 AS DOUBLE) AS half
-            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-        SELECT doc_id, size, n AS source_size, CAST(target AS DOUBLE) AS target,
-            CAST(size * ((half < target)::INT + (half + n < target)::INT + (half + 2 * n < target)::INT) AS BIGINT) AS taken FROM p""",
+        t AS (SELECT source, n, w, least(n * CAST(3 AS DOUBLE), coalesce(level, 1e300) * w) AS target FROM w, l),
+        p AS (SELECT d.*, t.n, t.w, t.target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY digest, size
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        c AS (SELECT *, list_filter([0, 1, 2], lambda e: start + size / CAST(2 AS DOUBLE) + e * n < target) AS epochs FROM p),
+        q AS (SELECT *, list_transform(epochs, lambda e: CASE WHEN target > 0 THEN least((start + e * n) / target, 1) ELSE 0 END) AS shares FROM c),
+        z AS (SELECT *, list_transform(shares, lambda x: CASE
+            WHEN w = 1 THEN least(2 * x / (1.5 + sqrt(greatest(CAST(2.25 AS DOUBLE) - 2 * x, 0))), 1)
+            WHEN w = 3 THEN least(2 * x / (0.5 + sqrt(CAST(0.25 AS DOUBLE) + 2 * x)), 1)
+            WHEN x * CAST(1.0625 AS DOUBLE) <= 0.5625 THEN least(2 * (x * CAST(1.0625 AS DOUBLE)) / (1 + sqrt(1 + x * CAST(1.0625 AS DOUBLE))), 0.5)
+            ELSE least(0.5 + 2 * (x * CAST(1.0625 AS DOUBLE) - 0.5625) / (1.25 + sqrt(greatest(CAST(1.5625 AS DOUBLE) - 2 * (x * CAST(1.0625 AS DOUBLE) - 0.5625), 0))), 1)
+            END) AS places FROM q)
+        SELECT doc_id, size, n AS source_size, CAST(target AS DOUBLE) AS target, CAST(size * len(epochs) AS BIGINT) AS taken,
+            array_to_string(list_transform(places, lambda x: CAST(CAST(round(x * 1e9) AS BIGINT) AS VARCHAR)), ',') AS positions FROM z""",
     "op13_search": r"""
         WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),

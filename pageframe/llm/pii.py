@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -54,6 +55,9 @@ KINDS = (
 )
 #: Characters before and after a span whose words count, what such a word adds, and what a span needs.
 NEAR, CONTEXT, ENOUGH = 40, 0.3, 0.5
+#: Entries that are folded into one array before arrays are joined; characters of a part of a text. Both
+#: keep the work in proportion to the text: no array grows by single entries, no place is counted from the start.
+BLOCK, PART = 128, 256
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -94,26 +98,68 @@ def _confirmed(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(text: Column, kind: Kind, order: int) -> Column:
+def _with(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, the value being worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _folded(items: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """What ``step(end, item)`` gives for each item, as one array of ``kind``, and the last end.
+
+    ``step`` returns the end after the item and an array of what it adds. Items are folded in blocks,
+    and the arrays of all blocks are joined at once.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def add(state: Column, item: Column) -> Column:
+        end, new = step(state["end"], item)
+        return F.struct(end.alias("end"), F.concat(state["out"], new).alias("out"))
+
+    def block(state: Column, b: Column) -> Column:
+        got = F.aggregate(b, F.struct(state["end"].alias("end"), none.alias("out")), add)
+        return _with(got, lambda g: F.struct(g["end"].alias("end"), F.concat(state["out"], F.array(g["out"])).alias("out")))
+
+    def whole(items: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(items) / BLOCK).cast("int") - 1, F.lit(0))
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * BLOCK + 1, F.lit(BLOCK)))
+        start = F.struct(F.lit(0).alias("end"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+        done = F.aggregate(blocks, start, block)
+        return _with(done, lambda d: F.struct(d["end"].alias("end"), F.flatten(d["out"]).alias("out")))
+
+    return _with(items, whole)
+
+
+def _parts(text: Column) -> Column:
+    """A text in parts of ``PART`` characters."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}+"), F.lit(0))
+
+
+def _between(parts: Column, low: Column, high: Column) -> Column:
+    """The characters from ``low`` up to ``high``, which may lie behind the end, of a text in ``parts``."""
+    first, last = F.floor(low / PART).cast("int"), F.floor(high / PART).cast("int")
+    # taking a slice copies the array, so up to two parts are taken by themselves
+    two = F.concat(F.coalesce(F.get(parts, first), F.lit("")), F.coalesce(F.get(parts, first + 1), F.lit("")))
+    some = F.when(last - first <= 1, two).otherwise(F.array_join(F.slice(parts, first + 1, last - first + 1), ""))
+    return F.substring(some, (low - first * PART + 1).cast("int"), (high - low).cast("int"))
+
+
+def _spans(text: Column, parts: Column, kind: Kind, order: int) -> Column:
     """Confirmed spans of a kind: the gaps between matches and the matches themselves add up to their places."""
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     gaps = F.split(text, kind.pattern, -1)
-    empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
     pairs = F.zip_with(found, gaps, lambda m, g: F.struct(F.char_length(g).alias("gap"), F.char_length(m).alias("long"), m.alias("match")))
     pairs = F.filter(pairs, lambda p: p["match"].isNotNull())
+    span = "struct<start:int,end:int>"
 
-    def add(state: Column, p: Column) -> Column:
-        start = state["end"] + p["gap"]
-        span = F.struct(start.alias("start"), (start + p["long"]).alias("end"), p["match"].alias("match"))
-        return F.struct((start + p["long"]).alias("end"), F.concat(state["spans"], F.array(span)).alias("spans"))
+    def add(end: Column, p: Column) -> tuple[Column, Column]:
+        start = end + p["gap"]
+        own = F.array(F.struct(start.alias("start"), (start + p["long"]).alias("end"))).cast(f"array<{span}>")
+        return start + p["long"], F.when(_confirmed(kind.name, p["match"]), own).otherwise(F.array().cast(f"array<{span}>"))
 
-    start = F.struct(F.lit(0).alias("end"), empty.alias("spans"))
-    spans = F.when(F.size(found) > 0, F.aggregate(pairs, start, add)["spans"]).otherwise(empty)
-    spans = F.filter(spans, lambda s: _confirmed(kind.name, s["match"]))
+    spans = F.when(F.size(found) > 0, _folded(pairs, span, add)["out"]).otherwise(F.array().cast(f"array<{span}>"))
 
     def scored(s: Column) -> Column:
-        low = F.greatest(s["start"] - NEAR, F.lit(0))
-        near = F.concat_ws(" ", F.substring(text, low + 1, s["start"] - low), F.substring(text, s["end"] + 1, F.lit(NEAR)))
+        near = F.concat_ws(" ", _between(parts, F.greatest(s["start"] - NEAR, F.lit(0)), s["start"]), _between(parts, s["end"], s["end"] + NEAR))
         helped = F.lower(near).rlike(rf"\b(?:{kind.words})")
         score = F.lit(kind.score) + F.when(helped, F.lit(CONTEXT)).otherwise(F.lit(0.0))
         return F.struct(s["start"], F.lit(order).alias("order"), F.lit(kind.name).alias("kind"), s["end"], F.least(score, F.lit(1.0)).alias("score"))
@@ -129,11 +175,14 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     beyond them need their check and a score of ``ENOUGH``, which context words within ``NEAR``
     characters help to reach. Null and empty texts have no spans; texts are searched whole; rows are
     judged each on their own, so repeated rows and clashing column names (but ``pii``) change nothing.
-    All of it are column functions: one projection, no shuffle, no Python.
+    All of it are column functions: no shuffle, no Python, and work in proportion to the text.
     """
     column = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    every = F.concat(*[_spans(column, kind, i) for i, kind in enumerate(KINDS)])
-    return docs.withColumn("pii", F.array_sort(every))
+
+    def every(parts: Column) -> Column:
+        return F.array_sort(F.concat(*[_spans(column, parts, kind, i) for i, kind in enumerate(KINDS)]))
+
+    return docs.withColumn("pii", _with(_parts(column), every))
 
 
 def listed(spans: Column) -> Column:
@@ -159,15 +208,19 @@ def masked(docs: DataFrame) -> DataFrame:
     """
     text = F.col("whole.text")
     found = find(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col("text")))
+    cut = "struct<low:int,high:int,kind:string>"
 
-    def add(state: Column, s: Column) -> Column:
+    def add(end: Column, s: Column) -> tuple[Column, Column]:
         # a span that starts before the end of the one before lengthens it
-        gap = F.substring(text, state["end"] + 1, F.greatest(s["start"] - state["end"], F.lit(0)))
-        piece = F.when(s["start"] >= state["end"], F.array(gap, F.concat(F.lit("<"), s["kind"], F.lit(">")))).otherwise(F.array().cast("array<string>"))
-        return F.struct(F.greatest(state["end"], s["end"]).alias("end"), F.concat(state["out"], piece).alias("out"))
-
-    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate("pii", start, add)
-    clean = F.concat(F.array_join(done["out"], ""), F.substring(text, done["end"] + 1, F.length(text)))
-    clean = F.when(F.size("pii") == 0, text).otherwise(clean)
-    return found.withColumn("_clean", clean).select(*[(F.col("_clean") if c == "text" else F.col(f"whole.`{c}`")).alias(c) for c in docs.columns])
+        own = F.array(F.struct(end.alias("low"), s["start"].alias("high"), s["kind"].alias("kind"))).cast(f"array<{cut}>")
+        return F.greatest(end, s["end"]), F.when(s["start"] >= end, own).otherwise(F.array().cast(f"array<{cut}>"))
+
+    def clean(parts: Column) -> Column:
+        def joined(done: Column) -> Column:
+            pieces = F.transform(done["out"], lambda c: F.concat(_between(parts, c["low"], c["high"]), F.lit("<"), c["kind"], F.lit(">")))
+            return F.concat(F.array_join(pieces, ""), _between(parts, done["end"], F.size(parts) * PART))
+
+        return _with(_folded(F.col("pii"), cut, add), joined)
+
+    masked = F.when(F.size("pii") == 0, text).otherwise(_with(_parts(text), clean))
+    return found.withColumn("_clean", masked).select(*[(F.col("_clean") if c == "text" else F.col(f"whole.`{c}`")).alias(c) for c in docs.columns])

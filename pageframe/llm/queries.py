@@ -39,7 +39,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = curriculum.schedule(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     taken = (F.col("size") * F.col("copies")).alias("taken")
-    return curriculum.in_order(plan.select("row.doc_id", "size", "source_size", "target", taken, "positions"))
+    ordered = curriculum.in_order(plan.select("row.doc_id", "size", "source_size", "target", taken, "positions"))
+    # positions in billionths of the training, so that they compare as text
+    billionths = F.transform("positions", lambda p: F.round(p * 1e9).cast("long").cast("string"))
+    return ordered.withColumn("positions", F.array_join(billionths, ","))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

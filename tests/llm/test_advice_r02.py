@@ -138,6 +138,10 @@ def test_ibans_before_other_words(spark):
     assert clean[0] == "<iban> Thanks" and clean[3] == "<iban> 2024"
 
 
+def billionths(row):
+    return [int(p) for p in row["positions"].split(",") if p]
+
+
 def test_mixing_gives_the_training_positions(spark):
     sf = "/root/testdata/sf0.001"
     rows = [r.asDict() for r in queries.op6_mixing(spark, sf).collect()]
@@ -154,6 +158,6 @@ def test_mixing_gives_the_training_positions(spark):
         copies = [used[s] + e * r["source_size"] for e in range(3) if used[s] + r["size"] / 2 + e * r["source_size"] < r["target"]]
         used[s] += r["size"]
         want = np.interp([c / r["target"] for c in copies], shares[kind[s]], grid)
-        assert r["positions"] == pytest.approx(want.tolist(), abs=1e-3)
-    first = [r["positions"][0] if r["positions"] else 2 for r in rows]
-    assert first == sorted(first) and 0 < sum(len(r["positions"]) for r in rows)
+        assert billionths(r) == pytest.approx((want * 1e9).tolist(), abs=1e6)
+    first = [billionths(r)[0] if r["positions"] else 2e9 for r in rows]
+    assert first == sorted(first) and 0 < sum(len(billionths(r)) for r in rows)

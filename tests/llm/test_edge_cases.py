@@ -312,4 +312,6 @@ def test_sql(spark, name):
     cursor = con.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
     want = Counter(cursor.fetchall())
-    assert Counter(tuple(r) for r in QUERIES[name](spark, SF).select(*columns).collect()) == want
+    got = QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(columns)
+    assert Counter(tuple(r) for r in got.select(*columns).collect()) == want
