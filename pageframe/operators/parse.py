@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageframe.functions.etree_paths import element_values
 from pageframe.functions.paths import json_primitive, split_path, variant_at
 from pageframe.functions.text import body_text, drop_tail, split_lines
-from pageframe.functions.xpaths import Node, add_path, parse_xpath
+from pageframe.functions.xpath_syntax import absolute_path
+from pageframe.functions.xpaths import Node, add_path
 from pageframe.operators.errors import SUCCESS, with_strategy
 from pageframe.operators.json_pages import json_entries, parse_document, result_items
 from pageframe.operators.line_pages import DELIMITERS, blob_entries, delimited_entries, text_entries
 from pageframe.operators.responses import KEYS
 from pageframe.operators.xml_pages import (
     CORRUPT,
-    absolute_nodes,
     first_text,
-    is_native,
     parse_xml,
+    plan_elements,
+    plan_paths,
     root_matches,
     xml_entries,
 )
@@ -71,26 +71,18 @@ def locate(pages: DataFrame, options: SourceOptions, link_path: str | None = Non
         n = F.when(items.isNull(), F.lit(1)).otherwise(n)
         if link_path:
             link = json_link(F.col("doc"), link_path)
-    elif fmt == "xml" and not is_native(options.result_path, link_path or "/x"):
-        # the elements of the result path, then the document itself with the link
-        pages = pages.withColumn("doc", F.when(good, element_values(text, options.result_path, [])))
-        n = F.when(F.col("doc").isNull(), F.lit(1)).otherwise(F.size("doc"))
-        if link_path:
-            of_document = F.when(good, element_values(text, ".", [link_path.strip()]))
-            link = F.get(F.get(of_document, F.lit(0)), F.lit(0))
     elif fmt == "xml":
-        path = parse_xpath(options.result_path)
-        wanted = parse_xpath("/" + link_path.strip().lstrip("/")) if link_path else None
-        root = Node()
-        add_path(root, path)
-        if wanted:
-            add_path(root, wanted)
+        plans, root = plan_paths(pages, options.result_path, []), Node()
+        links = plan_paths(pages, absolute_path(link_path), []) if link_path else []
+        for path, _ in [*plans, *links]:
+            add_path(root, path)
         pages = pages.withColumn("doc", F.when(good, parse_xml(text, root)))
-        broken = F.col("doc").isNull() | F.col("doc")[CORRUPT].isNotNull()
-        size = F.size(absolute_nodes(F.col("doc"), root, path)[0])
-        n = F.when(broken, F.lit(1)).when(root_matches(text, path), size).otherwise(F.lit(0))
-        if wanted:
-            link = F.when(~broken & root_matches(text, wanted), first_text(F.col("doc"), root, wanted))
+        doc = F.col("doc")
+        broken = doc.isNull() | doc[CORRUPT].isNotNull()
+        size = F.size(plan_elements(text, doc, root, plans, lambda element, plan, e: F.lit(1), "int"))
+        n = F.when(broken, F.lit(1)).otherwise(size)
+        texts = [F.when(~broken & root_matches(text, p), first_text(doc, root, p)) for p, _ in links]
+        link = F.coalesce(*texts) if texts else link
     elif fmt == "blob":
         n = F.lit(1)
     else:

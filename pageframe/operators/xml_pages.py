@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageframe.functions.etree_paths import element_values
 from pageframe.functions.typed import aside, quote, text_as, text_is_plainly_fine
-from pageframe.functions.xpaths import (
-    Node,
-    XPath,
-    add_path,
-    narrow,
-    parse_xpath,
-    select_nodes,
-    select_text,
-    text_of,
-)
+from pageframe.functions.xpath_syntax import XPath, expand, is_open, parse_paths
+from pageframe.functions.xpaths import Node, add_path, case_true, first_of, names_of, narrow, parse_xpath, select_nodes, text_of
 from pageframe.operators.entries import IS_SUCCESS, PAGE, explode_entries, finish, first_reason, line_error, page_problem
 
 CORRUPT = "_corrupt_record"
@@ -27,7 +22,8 @@ ROOT = r"^(?:\s++|\uFEFF|<\?[\s\S]*?\?>|<!--[\s\S]*?-->|<!DOCTYPE[^>\[]*(?:\[[\s
 
 
 def parse_xml(text: Column, root: Node) -> Column:
-    """The parts of an XML body that ``root`` names; comments and prefixes are dropped."""
+    """The parts of an XML body that ``root`` names, case counting; comments and prefixes are dropped."""
+    text = case_true(text, root)
     ddl = ", ".join([*root.fields(), f"`{CORRUPT}` STRING"])
     options = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": CORRUPT, "ignoreSurroundingSpaces": "false"}
     return F.from_xml(text, ddl, options)
@@ -77,11 +73,7 @@ def xml_entries(
     mapping = mapping or {}
     paths = [mapping.get(f.name, f.name).strip().lstrip("/") for f in schema]
     raw = [f"r{i}" for i in range(len(schema))]
-    if is_native(result_path, *paths):
-        rows = _native_rows(pages, result_path, paths, raw)
-    else:
-        rows = _walked_rows(pages, result_path, paths, raw)
-
+    rows = _rows(pages, result_path, paths, raw)
     values = [f"v{i}" for i in range(len(schema))]
     fields = list(zip(schema, raw, values, strict=True))
     rows = rows.selectExpr("*", *[f"{text_as(r, f)} AS {v}" for f, r, v in fields])
@@ -91,45 +83,64 @@ def xml_entries(
     return finish(rows, schema, problem, handling, values)
 
 
-def is_native(*paths: str) -> bool:
-    """True if all paths are in the subset that becomes Spark expressions."""
-    try:
-        return all(parse_xpath(p) for p in paths)
-    except ValueError:
-        return False
-
-
 NOT_XML = "The page is not valid XML"
-
-
-def _native_rows(pages: DataFrame, result_path: str, paths: list[str], raw: list[str]) -> DataFrame:
+#: A result path of known names, and the relative paths of each field below it.
+Plan = tuple[XPath, list[tuple[XPath, ...]]]
+
+
+def plan_paths(pages: DataFrame, result_path: str, fields: list[str]) -> list[Plan]:
+    """The element paths that ``result_path`` stands for, each with the paths of ``fields`` below it.
+
+    Where names are left open (``//``, ``*``), the elements of all bodies are read first, as a schema
+    is inferred; elements of one such path come in document order, those of several path by path.
+    """
+    results, below = [replace(p, absolute=True) for p in parse_paths(result_path)], [parse_paths(f) for f in fields]
+    if not all(p.steps for p in results):
+        raise ValueError(f"unsupported XPath '{result_path}': it names no element")
+    if not any(is_open(p) for paths in (results, *below) for p in paths):
+        return [(p, below) for p in results]
+    names = names_of(pages.filter(IS_SUCCESS))
+    plans = []
+    for p in dict.fromkeys(q for r in results for q in expand(r, names)):
+        here = tuple(s.name for s in p.steps)
+        plans.append((p, [tuple(q for f in paths for q in expand(f, names, here)) for paths in below]))
+    return plans
+
+
+def plan_elements(text: Column, doc: Column, root: Node, plans: list[Plan], of: Callable[[Node, Plan, Column], Column], kind: str) -> Column:
+    """What ``of`` makes of the elements of all plans, as one array of ``kind``."""
+    parts = []
+    for plan in plans:
+        nodes, element = absolute_nodes(doc, root, plan[0])
+        made = F.transform(nodes, partial(of, element, plan))
+        parts.append(F.when(root_matches(text, plan[0]), made).otherwise(F.array().cast(f"array<{kind}>")))
+    return F.concat(*parts) if parts else F.array().cast(f"array<{kind}>")
+
+
+def _rows(pages: DataFrame, result_path: str, paths: list[str], raw: list[str]) -> DataFrame:
     """One row per element with the texts of its fields, by ``from_xml``."""
-    path, fields = parse_xpath(result_path), [parse_xpath(p) for p in paths]
-    root = Node()
-    element = add_path(root, path)
-    for p in fields:
-        add_path(element, p)
+    plans, root = plan_paths(pages, result_path, paths), Node()
+    for path, fields in plans:
+        element = add_path(root, path)
+        for f in (f for field in fields for f in field):
+            add_path(element, f)
     parsed = pages.select(*PAGE, "status", "text", F.when(F.expr(IS_SUCCESS), parse_xml(F.col("text"), root)).alias("doc"))
     doc = F.col("doc")
-    items = absolute_nodes(doc, root, path)[0]
-    found = parsed.select(
-        *PAGE,
-        F.when(root_matches(F.col("text"), path), items)
-        .otherwise(F.array().cast(f"array<{element.ddl()}>"))
-        .alias("items"),
-        F.expr(page_problem((f"doc IS NULL OR doc.{CORRUPT} IS NOT NULL", NOT_XML))).alias("page_error"),
-    )
-    rows = explode_entries(found)
-    return rows.select("*", *[select_text(F.col("entry"), element, p).alias(r) for p, r in zip(fields, raw, strict=True)])
-
-
-def _walked_rows(pages: DataFrame, result_path: str, paths: list[str], raw: list[str]) -> DataFrame:
-    """The same for paths outside the subset, by the Arrow UDF."""
-    items = F.when(F.expr(IS_SUCCESS), element_values(F.col("text"), result_path, paths))
-    found = pages.select(*PAGE, "status", "text", items.alias("items"))
-    found = found.selectExpr(*PAGE, "items", f"{page_problem(('items IS NULL', NOT_XML))} AS page_error")
-    rows = explode_entries(found)
-    return rows.select("*", *[F.get("entry", F.lit(i)).alias(r) for i, r in enumerate(raw)])
+    problem = F.expr(page_problem((f"doc IS NULL OR doc.{CORRUPT} IS NOT NULL", NOT_XML))).alias("page_error")
+    if len(plans) == 1:
+        path, fields = plans[0]
+        items, element = absolute_nodes(doc, root, path)
+        items = F.when(root_matches(F.col("text"), path), items).otherwise(F.array().cast(f"array<{element.ddl()}>"))
+        rows = explode_entries(parsed.select(*PAGE, items.alias("items"), problem))
+        return rows.select("*", *[first_of(F.col("entry"), element, f).alias(r) for f, r in zip(fields, raw, strict=True)])
+    kind = f"struct<{', '.join(f'{r}:string' for r in raw)}>"
+
+    def texts(element: Node, plan: Plan, e: Column) -> Column:
+        return F.struct(*[first_of(e, element, f).alias(r) for f, r in zip(plan[1], raw, strict=True)])
+
+    items = plan_elements(F.col("text"), doc, root, plans, texts, kind)
+    rows = explode_entries(parsed.select(*PAGE, items.alias("items"), problem))
+    return rows.select("*", *[F.col(f"entry.{r}") for r in raw])
 
 
 def element_error(schema: T.StructType, raw: list[str]) -> str:

@@ -10,9 +10,9 @@ from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 from urllib.parse import quote_plus, urljoin, urlsplit
 
-from pageframe.functions.etree_paths import compile_path, document, node_text
 from pageframe.functions.paths import split_path
 from pageframe.functions.urls import ABSOLUTE_URL, INDEX_PLACEHOLDER, NEXT_LINK
+from pageframe.functions.xpath_syntax import absolute_path
 from pageframe.operators.errors import DEFAULT_STRATEGY, SEND, SKIP, STOP, STRATEGIES, SUCCESS
 from pageframe.options import (
     CUSTOM,
@@ -25,6 +25,7 @@ from pageframe.options import (
 )
 from pageframe.plans.next_url import Headers
 from pageframe.sources.transport import Answer, Transport, send
+from pageframe.sources.xml_document import texts_at
 
 
 @dataclass(frozen=True)
@@ -84,8 +85,7 @@ def _json_at(document: object, path: str | None) -> tuple[object, bool]:
 
 
 def _xml_at(text: str, path: str) -> list[str | None]:
-    below, attribute = compile_path("/" + path.strip().lstrip("/") if not path.strip().startswith("//") else path)
-    return [e.get(attribute) if attribute else node_text(e) for e in document(text).findall(below)]
+    return texts_at(text, absolute_path(path))
 
 
 def is_empty(options: SourceOptions, body: bytes) -> bool:

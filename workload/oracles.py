@@ -82,6 +82,15 @@ ORACLES: dict[str, str] = {
     "xml_predicate": """SELECT p_partkey // 50 AS page_no,
         row_number() OVER (PARTITION BY p_partkey // 50 ORDER BY p_partkey) - 1 AS entry_no,
         p_partkey AS id, p_brand AS brand FROM part WHERE p_type = 'ECONOMY'""",
+    "xml_conditions": """
+        WITH high AS (SELECT p_partkey, row_number() OVER (PARTITION BY p_partkey // 50 ORDER BY p_partkey) AS n FROM part
+            WHERE p_size >= 45 AND (starts_with(p_type, 'ST') OR p_retailprice > 1900)),
+        found AS (SELECT * FROM part WHERE p_size < 10 AND NOT contains(p_type, 'ECO')
+            UNION ALL SELECT * FROM part WHERE p_partkey IN (SELECT p_partkey FROM high WHERE n <= 3))
+        SELECT p_partkey // 50 AS page_no, p_partkey AS id, CASE WHEN p_retailprice > 1500 THEN p_retailprice END AS dear,
+            p_brand AS same, CASE WHEN p_size % 2 <> 0 THEN '<' || p_name || '>' END AS note FROM found""",
+    "xml_case_names": """SELECT p_partkey // 50 AS page_no, p_partkey % 50 AS entry_no, p_partkey AS id, 'y' || p_partkey AS capital,
+        p_brand AS brand FROM part""",
     "xml_node_text": """SELECT p_partkey // 50 AS page_no, p_partkey % 50 AS entry_no, p_partkey AS id,
         CASE WHEN p_size % 2 <> 0 THEN '<' || p_name || '>' END AS note, '<b>' || p_brand || '</b>' AS box FROM part""",
     "xml_walked_path": """SELECT p_partkey // 50 AS page_no, p_partkey % 50 AS entry_no, p_partkey AS id, p_retailprice AS price,

@@ -273,6 +273,32 @@ def xml_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(part_pages(spark, sf_dir), options)
 
 
+@query
+def xml_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comparisons, functions and places in result and field paths, joined by ``and``, ``or`` and ``|``."""
+    low = "/feed/entry[@m:size < 10 and not(contains(@cat, 'ECO'))]"
+    high = "/feed/entry[@size >= 45 and (starts-with(@cat, 'ST') or content/properties/Price > 1900)][position() <= 3]"
+    options = pf.SourceOptions(
+        schema="id BIGINT NOT NULL, dear DOUBLE, same STRING, note STRING",
+        fields_mapping={
+            "dear": "content/properties[Price > 1500]/Price",
+            "same": "content/properties[Brand = Box/b or string-length(Name) < 0]/Brand",
+            "note": "content/properties/Note[last()]",
+        },
+        **{**PARTS, "result_path": f"{low} | {high}"},
+    )
+    return records(part_pages(spark, sf_dir), options).drop("entry_no")
+
+
+@query
+def xml_case_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sibling elements whose names differ in nothing but their case."""
+    pages = part_pages(spark, sf_dir)
+    three = F.regexp_replace(F.col("body").cast("string"), "<id>([0-9]+)</id>", "<ID>x$1</ID><id>$1</id><Id>y$1</Id>")
+    options = pf.SourceOptions(schema="id BIGINT NOT NULL, capital STRING, brand STRING", fields_mapping={"capital": "Id", "brand": "content/properties/Brand"}, **PARTS)
+    return records(pages.withColumn("body", three.cast("binary")), options)
+
+
 @query
 def xml_node_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves give their text, an element with children its inner XML, an empty one NULL."""
