@@ -35,7 +35,7 @@ def _pages_and_holes(responses: DataFrame, options: SourceOptions) -> tuple[Data
         return stop_on_empty(planned, facts), index_holes(facts, options)
     facts = stored(page_facts(responses, options), "facts")
     chain = resolve_chains(facts)
-    return pages_on_chain(responses, chain), chain_holes(facts, chain)
+    return pages_on_chain(responses, chain), chain_holes(facts, chain, options)
 
 
 def parse_captured(responses: DataFrame, options: SourceOptions) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageframe.functions.lineage import stored
 from pageframe.functions.skew import broadcast_if_small, small_or_not
 from pageframe.functions.urls import fill_index
 from pageframe.operators.entries import missing_error
@@ -61,7 +62,8 @@ def index_holes(facts: DataFrame, options: SourceOptions) -> DataFrame | None:
     wanted = blocks.select("seed", F.explode(listed).alias("page_no"))
     index = F.lit(options.start_index).cast("bigint") + F.col("page_no") * F.lit(options.index_increment)
     absent = wanted.join(pages.select("seed", "page_no"), ["seed", "page_no"], "left_anti")
-    return absent.select("seed", "page_no", fill_index(F.col("seed"), index).alias("url"))
+    # written, so that no error is raised for a page before it is known to be absent
+    return stored(absent.select("seed", "page_no", fill_index(F.col("seed"), index).alias("url")), "holes")
 
 
 def first_holes(pages: DataFrame) -> DataFrame | None:
@@ -71,16 +73,21 @@ def first_holes(pages: DataFrame) -> DataFrame | None:
     return lost.select("seed", F.lit(0).cast("bigint").alias("page_no"), F.col("seed").alias("url")) if n_lost else None
 
 
-def chain_holes(facts: DataFrame, chain: DataFrame) -> DataFrame | None:
-    """Pages that a chain leads to and that were not captured although later ones were: ``seed, page_no, url``.
+def chain_holes(facts: DataFrame, chain: DataFrame, options: SourceOptions) -> DataFrame | None:
+    """Pages that a chain leads to and that were not captured: ``seed, page_no, url``.
 
     None if there are none. A chain has one end, so there is at most one such page for a seed; a seed
-    whose own page is missing has that one. Where nothing of the seed was captured behind the end of
-    its chain, the capture ends there and nothing is missing; ``missing_links`` lists these links too.
+    whose own page is missing has that one. A next page that is known and cannot be had is missing,
+    as it is for a fetch, unless the walk was to end there (``max_pages_per_fetch``). A
+    ``partial_capture`` may end anywhere: there a page is missing only if later ones of its seed were captured.
     """
     ends = chain.groupBy("seed").agg(F.max_by(F.struct("url", "captured_no", "page_no", "goes_on"), "page_no").alias("e"))
     seeds = facts.groupBy("seed").agg(F.max("page_no").alias("last"), F.max(F.col("url") == F.col("seed")).alias("there"))
-    torn = F.col("e.goes_on") & (F.col("last") > F.col("e.captured_no"))
+    torn = F.col("e.goes_on")
+    if options.max_pages_per_fetch is not None:
+        torn = torn & (F.col("e.page_no") + 1 < options.max_pages_per_fetch)
+    if options.partial_capture:
+        torn = torn & (F.col("last") > F.col("e.captured_no"))
     ends = seeds.join(ends, "seed", "left").filter(~F.col("there") | torn)
     ends, _, n_ends = small_or_not(ends.select("seed", "there", "e.url", (F.col("e.page_no") + 1).alias("following")))
     if not n_ends:
@@ -89,7 +96,7 @@ def chain_holes(facts: DataFrame, chain: DataFrame) -> DataFrame | None:
     links = facts.join(ends.filter("there"), ["seed", "url"]).select("seed", F.col("following").alias("page_no"), F.col("next_url").alias("url"))
     links, _ = broadcast_if_small(links)
     there = facts.select("seed", "url").join(links, ["seed", "url"], "left_semi").distinct()
-    return links.join(there, ["seed", "url"], "left_anti").unionByName(first)
+    return stored(links.join(there, ["seed", "url"], "left_anti").unionByName(first), "holes")
 
 
 def hole_entries(holes: DataFrame, options: SourceOptions) -> DataFrame:

@@ -73,11 +73,12 @@ def _seeds(options: dict[str, str], source: SourceOptions) -> list[str]:
 
 @dataclass
 class PageRange(InputPartition):
-    """Pages ``first`` to ``last`` (None: to the end) of one seed."""
+    """Pages ``first`` to ``last`` (None: to the end) of one seed; ``ends``: the first empty page ends it too."""
 
     url: str
     first: int = 0
     last: int | None = None
+    ends: bool = False
 
 
 class PagesDataSource(DataSource):
@@ -118,7 +119,7 @@ class PagesReader(DataSourceReader):
         if s.pagination == INCREMENT_INDEX:
             n_pages = page_count(s.start_index, s.index_increment, s.max_index)
         if n_pages is None:  # the end, or the next URL, is known only after a fetch
-            return [PageRange(u, 0, self.high) for u in self.seeds]
+            return [PageRange(u, 0, self.high, ends=True) for u in self.seeds]
         n_pages = n_pages if self.high is None else min(n_pages, self.high)
         size = max(1, -(-max(0, n_pages - self.low) * len(self.seeds) // self.n_partitions))
         return [
@@ -130,9 +131,9 @@ class PagesReader(DataSourceReader):
     def read(self, partition: PageRange) -> Iterator[tuple]:
         source = replace(self.source, url=partition.url)
         limit = None if partition.last is None else partition.last - partition.first
-        # a range cannot know of an empty page in another one, so all its pages are given out and
-        # the plan over the fetched pages stops at the first empty one
-        for page, _ in walk(source, unpack(self.transport), Cursor(partition.first), limit, stop_on_empty=limit is None):
+        # one of several ranges cannot know of an empty page in another one, so all its pages are given
+        # out and the plan over the fetched pages stops at the first empty one
+        for page, _ in walk(source, unpack(self.transport), Cursor(partition.first), limit, stop_on_empty=partition.ends):
             if page is not None:
                 yield page.as_tuple()
 

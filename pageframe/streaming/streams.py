@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,34 +43,33 @@ def fetched_stream(
     return spark.readStream.format("pages").options(**given).load()
 
 
-def unseen(responses: DataFrame, on_change: bool = False) -> DataFrame:
+def unseen(responses: DataFrame, on_change: bool = False, forget_after: str | None = None) -> DataFrame:
     """Pages whose URL was not given out before, or, with ``on_change``, whose content is new.
 
-    State is keyed by seed and URL, so one busy seed is spread over all state partitions; copies
-    of one page are thinned in their tasks before the shuffle, so that a page captured very often
-    does not crowd one of them. Only keys are kept as state, but without a bound in time; use a
-    stream with a watermark and ``dropDuplicatesWithinWatermark`` where pages may be forgotten.
+    State is keyed by a 16-byte hash of seed and URL (and content), so one busy seed is spread over
+    all state partitions. With ``forget_after``, an interval such as ``7 days``, a key is dropped so
+    long after its page was given out first; a page that comes again later is given out again. Time
+    is that of the micro-batches. Without it keys are kept for ever. Copies of a page within an
+    Arrow batch are thinned before the shuffle, so that a page captured very often does not crowd a
+    state partition; nothing is remembered between batches outside the state.
     """
-    keys = ["seed", "url"]
+    key = [F.col("seed"), F.col("url")]
     if on_change:
-        responses, keys = responses.withColumn("_hash", F.sha2("body", 256)), ["seed", "url", "_hash"]
-    thinned = responses.mapInArrow(_first_copies(keys), responses.schema)
-    return thinned.dropDuplicates(keys).drop("_hash")
-
-
-def _first_copies(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Arrow function that keeps the first row of each key in a task; it remembers keys only."""
-
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple] = set()
-        for batch in batches:
-            new = []
-            for key in zip(*[batch.column(k).to_pylist() for k in keys], strict=True):
-                new.append(key not in seen)
-                seen.add(key)
-            yield batch if all(new) else batch.filter(pa.array(new, pa.bool_()))
-
-    return thin
+        key.append(F.sha2("body", 256))
+    keyed = responses.withColumn("_page", F.unhex(F.md5(F.concat_ws("\n", *key).cast("binary"))))
+    thinned = keyed.mapInArrow(_first_copies, keyed.schema)
+    if forget_after is None:
+        return thinned.dropDuplicates(["_page"]).drop("_page")
+    timed = thinned.withColumn("_given", F.current_timestamp()).withWatermark("_given", forget_after)
+    return timed.dropDuplicatesWithinWatermark(["_page"]).drop("_page", "_given")
+
+
+def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each ``_page`` of an Arrow batch."""
+    for batch in batches:
+        codes = batch.column("_page").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        first = np.sort(np.unique(codes, return_index=True)[1])
+        yield batch if len(first) == batch.num_rows else batch.take(pa.array(first))
 
 
 def parse_stream(responses: DataFrame, options: SourceOptions) -> Routed:

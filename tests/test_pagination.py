@@ -284,7 +284,14 @@ def test_missing_pages_of_chains_are_errors(pages):
     more = {"next_page_token_path": "n", "next_page_url_parameter": "t", "error_handling": "sendToError"}
     o = options("Token in response body", **more)
     bodies = [page(i, n=str(i + 1)) for i in range(5)]
-    assert outcome(pages(*bodies, seed=URL, urls=urls), o) == ([(i, i) for i in range(5)], [])  # the capture ends there
+    partial = options("Token in response body", partial_capture=True, **more)
+    whole = pages(*bodies, seed=URL, urls=urls)
+    assert outcome(whole, partial) == ([(i, i) for i in range(5)], [])  # the capture ends there
+    # a next page that is known and cannot be had is missing, as it is for a fetch
+    assert outcome(whole, o) == ([(i, i) for i in range(5)], [(5, 0, f"{URL}?t=5")])
+    assert outcome(whole, options("Token in response body", max_pages_per_fetch=5, **more))[1] == []
+    with pytest.raises(Exception, match="Failed to load the page .*t=5"):
+        read(whole, options("Token in response body", **{**more, "error_handling": "stopOnError"}))
     at = [0, 1, 3, 4]
     got = pages(*[bodies[i] for i in at], seed=URL, urls=[urls[i] for i in at], page_nos=at)
     assert outcome(got, o) == ([(0, 0), (1, 1)], [(2, 0, urls[2])])
@@ -301,13 +308,22 @@ def test_a_page_captured_several_times_counts_once(pages, kind):
     )
     seed = f"{URL}?t={{pagination.index}}" if kind == "Increment an index" else URL
     urls = [f"{URL}?t={i}" if i or kind == "Increment an index" else URL for i in range(3)]
-    bodies = [page(i, n=str(i + 1)) for i in range(3)]
+    bodies = [page(i, n=str(i + 1) if i < 2 else None) for i in range(3)]
     twice = [(0, bodies[0]), (1, bodies[1]), (1, bodies[1]), (1, page(1, n="2", again=True)), (2, bodies[2]), (0, bodies[0])]
     got = pages(*[b for _, b in twice], seed=seed, urls=[urls[i] for i, _ in twice], page_nos=[i for i, _ in twice])
     want = [(i, i) for i in range(1 if kind == "None" else 3)]
     assert read(got, options(kind, **{"url": seed, **more})) == want
 
 
+def test_the_page_that_is_missing_is_named(pages):
+    """Under stopOnError the read fails with the page that is absent, not with one that is there."""
+    urls = [f"{URL}?n={i}" for i in (0, 1, 3)]
+    got = pages(*[page(i) for i in (0, 1, 3)], seed=URL + "?n={pagination.index}", urls=urls, page_nos=[0, 1, 3])
+    o = options("Increment an index", url=URL + "?n={pagination.index}", start_index=0, index_increment=1)
+    with pytest.raises(Exception, match=r"Failed to load the page http://h.com/p\?n=2"):
+        read(got, o)
+
+
 def test_empty_capture_has_no_pages_and_no_holes(pages, spark):
     none = pages("x").limit(0)
     for kind, more in (("None", {}), ("Increment an index", {"start_index": 0, "index_increment": 1, "url": URL + "{pagination.index}"})):

@@ -196,6 +196,22 @@ def test_filters_cut_the_pages_fetched(spark, tmp_path):
     assert len(list((tmp_path / "log").iterdir())) == 3
 
 
+@pytest.mark.parametrize("bound", ["page_no < 10", "page_no <= 1", "page_no >= 1", "page_no = 2"])
+def test_filters_on_an_open_index_keep_its_end(spark, tmp_path, bound):
+    """Pages behind the first empty one are not given out, whatever filter was pushed."""
+    (tmp_path / "n_pages").write_text("3")
+    o = SourceOptions(**JSON, **INDEX)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        reader_source.register(spark)
+        given = {**pf.reader_options(o, from_folder(str(tmp_path))), "push_filters": "true"}
+        rows = spark.read.format("pages").options(**given).load()
+        kept = [n for n in range(3) if eval(bound.replace(" = ", " == "), {"page_no": n})]
+        assert sorted(r.page_no for r in rows.filter(bound).collect()) == kept
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
 def test_fetch_retries_inside_the_task(spark, tmp_path):
     o = SourceOptions(
         **JSON, **INDEX, max_index=2, retry_policy="linear", linear_retry_interval_s=0, http_errors_handling=[("2..", "Success"), ("5..", "Retry and fail")]

@@ -150,6 +150,9 @@ ORACLES: dict[str, str] = {
             CASE WHEN lost THEN 'Failed to load the page ' || u || n END AS message
         FROM (SELECT *, (slug = '2-high' AND n = 3) OR (slug = '5-low' AND n = 0) AS lost FROM p)
         WHERE NOT (slug = '2-high' AND n > 3) AND NOT (slug = '5-low' AND n > 0)""",
+    "chain_torn_tail": f"""{SEEDED}, p AS (SELECT slug, n, count(*) AS c, '{HOST}/orders/' || slug || '?page=' AS u FROM s GROUP BY slug, n)
+        SELECT u || '0' AS seed, n AS page_no, c AS n_records, CAST(NULL AS INTEGER) AS code, CAST(NULL AS VARCHAR) AS message FROM p
+        UNION ALL SELECT u || '0', max(n) + 1, 0, CAST(0 AS INTEGER), 'Failed to load the page ' || u || (max(n) + 1) FROM p GROUP BY u""",
     "read_recaptured": f"SELECT {PAGE}, {ORDER} FROM orders",
     "status_route": f"""WITH p AS (SELECT DISTINCT o_orderkey // 50 AS page_no FROM orders),
         q AS (SELECT page_no, {_statuses([200, 204, 404, 429, 503, 500, 302, 2000, 600])} AS status FROM p)
