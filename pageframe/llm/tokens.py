@@ -17,9 +17,9 @@ _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: White space beyond ASCII, as UTF-8.
 _WIDE = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 #: Pieces whose ids a worker keeps, and the longest one that is kept.
-MOST_WORDS, LONGEST_KEPT = 1_000_000, 64
+MOST_WORDS, LONGEST_KEPT = 500_000, 64
 #: Bytes of text that are encoded at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 #: Characters that leave a piece to the library: controls, and those whose class may depend on the version of Unicode.
 _ODD = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\u0250-\U0010ffff]")
 
@@ -119,17 +119,19 @@ class Encoder:
 
     def _forget(self, keep: int = 0) -> None:
         """Drop all pieces but the ``keep`` that were met in the most slices."""
-        old, n = (self.known, self.words) if keep else ({}, 0)
-        names = list(old)
+        names = list(self.known) if keep else []
+        n = len(names)
         best = np.sort(np.argsort(self.hits[:n], kind="stable")[n - keep :]) if n > keep else np.arange(n)
-        ids = [self.pool[self.first[i] : self.first[i] + self.length[i]] for i in best]
-        self.known: dict[bytes, int] = {}
+        first, length = (self.first[best], self.length[best]) if keep else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        ends = length.cumsum()
+        ids = self.pool[np.repeat(first - ends + length, length) + np.arange(length.sum())] if keep else np.zeros(0, "<u4")
+        self.known: dict[bytes, int] = {names[i]: k for k, i in enumerate(best.tolist())}
         self.parts: dict[str, list[int]] = {}
-        self.pool, self.used = np.zeros(1 << 16, "<u4"), 0
-        self.first, self.length, self.hits = (np.zeros(1 << 14, np.int64) for _ in range(3))
-        self.words = 0
-        for i, got in zip(best.tolist(), ids, strict=True):
-            self.known[names[i]] = self._lay(got)
+        self.used, self.words = len(ids), len(best)
+        self.pool = np.concatenate([ids, np.zeros(1 << 16, "<u4")])
+        spare = np.zeros(1 << 14, np.int64)
+        self.first, self.length = np.concatenate([ends - length, spare]), np.concatenate([length, spare])
+        self.hits = np.concatenate([np.zeros_like(length), spare])
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
