@@ -169,7 +169,9 @@ class Spool:
     """Fetched pages of a stream, kept per seed and micro-batch so that a replay gives the same rows.
 
     The entry file of a micro-batch names its data file and the cursor behind it, and is
-    written last: a micro-batch is either whole or fetched again.
+    written last: a micro-batch is either whole or fetched again. Each attempt writes an entry of its
+    own; the one that was there first counts (by time, then name), for all attempts and for the next
+    micro-batch, so two attempts that ran at once give equal rows.
     """
 
     def __init__(self, folder: str):
@@ -182,25 +184,32 @@ class Spool:
         return f"{self.base}/{uuid.uuid5(uuid.NAMESPACE_URL, url).hex}"
 
     def entry(self, url: str, number: int) -> dict[str, Any] | None:
-        try:
-            with self.files.open_input_stream(f"{self._folder(url)}/{number:012d}.json") as f:
-                return json.loads(f.read())
-        except FileNotFoundError:
+        found = self._entries(f"{self._folder(url)}/{number:012d}")
+        if not found:
             return None
+        with self.files.open_input_stream(min(found, key=lambda i: (i.mtime_ns, i.base_name)).path) as f:
+            return json.loads(f.read())
+
+    def _entries(self, folder: str) -> list:
+        from pyarrow import fs
+
+        found = self.files.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+        return [i for i in found if i.base_name.endswith(".json")]
 
     def last_number(self, url: str) -> int:
         from pyarrow import fs
 
         found = self.files.get_file_info(fs.FileSelector(self._folder(url), allow_not_found=True))
-        return max((int(i.base_name[:12]) for i in found if i.base_name.endswith(".json")), default=0)
+        numbers = sorted((int(i.base_name) for i in found if i.type == fs.FileType.Directory), reverse=True)
+        return next((n for n in numbers if self._entries(f"{self._folder(url)}/{n:012d}")), 0)
 
     def write(self, url: str, number: int, pages: Iterator[tuple[Response | None, Cursor]], start: Cursor) -> None:
         """Write the pages as they come (one at a time in memory), then the entry file."""
         import pyarrow.parquet as pq
 
-        folder = self._folder(url)
+        folder, name = f"{self._folder(url)}/{number:012d}", uuid.uuid4().hex
         self.files.create_dir(folder, recursive=True)
-        data = f"{folder}/{number:012d}-{uuid.uuid4().hex}.parquet"
+        data = f"{folder}/{name}.parquet"
         cursor, writer = start, None
         for page, after in pages:
             cursor = after
@@ -211,8 +220,10 @@ class Spool:
         if writer is not None:
             writer.close()
         content = {"data": data if writer is not None else None, "cursor": cursor.as_dict()}
-        with self.files.open_output_stream(f"{folder}/{number:012d}.json") as f:
+        # under its last name only once it is whole
+        with self.files.open_output_stream(f"{folder}/{name}.part") as f:
             f.write(json.dumps(content).encode())
+        self.files.move(f"{folder}/{name}.part", f"{folder}/{name}.json")
 
     def pages(self, entry: dict[str, Any]) -> Iterator[tuple]:
         import pyarrow.parquet as pq

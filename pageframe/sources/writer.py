@@ -8,6 +8,7 @@ header by which a receiver can drop repeats.
 from __future__ import annotations
 
 import base64
+import json
 import time
 import uuid
 from collections.abc import Iterator
@@ -93,14 +94,19 @@ def send_messages(messages: DataFrame, options: SinkOptions, transport: Transpor
     )
 
 
+#: Refused messages as they are kept.
+REFUSED = pa.schema([("url", pa.string()), ("status", pa.int32()), ("batch_id", pa.string()), ("body", pa.string())])
+
+
 @dataclass
 class Sent(WriterCommitMessage):
-    """Counts of one task; this is all that reaches the driver."""
+    """Counts of one task and its file of refused messages; this is all that reaches the driver."""
 
     messages: int
     records: int
     skipped: int
     to_error: int
+    file: str | None = None
 
 
 class _TaskWriter:
@@ -125,36 +131,70 @@ class _TaskWriter:
             sent.skipped += handling == SKIP
             if handling == SEND:
                 sent.to_error += 1
-                failed = self._keep(failed, message, answer.status)
+                failed = failed or self._open(sent)
+                self._keep(failed, message, answer.status)
         if failed is not None:
             failed.close()
         return sent
 
-    def _keep(self, writer, message: dict, status: int):  # noqa: ANN001, ANN202
-        """Add a refused message to this task's file in the error folder."""
-        import pyarrow.parquet as pq
+    def _folder(self):  # noqa: ANN202
         from pyarrow import fs
 
+        return fs.FileSystem.from_uri(self.error_path if ":" in self.error_path else f"file://{self.error_path}")
+
+    def _open(self, sent: Sent):  # noqa: ANN202
+        """This attempt's file of refused messages, in a folder that readers of the error folder pass over."""
+        import pyarrow.parquet as pq
+
         if self.error_path is None:
             raise RuntimeError("'Send to error' needs the option 'error_path'")
-        schema = pa.schema([("url", pa.string()), ("status", pa.int32()), ("batch_id", pa.string()), ("body", pa.string())])
-        if writer is None:
-            uri = self.error_path if ":" in self.error_path else f"file://{self.error_path}"
-            files, base = fs.FileSystem.from_uri(uri)
-            files.create_dir(base, recursive=True)
-            writer = pq.ParquetWriter(f"{base}/{uuid.uuid4().hex}.parquet", schema, filesystem=files)
+        files, base = self._folder()
+        files.create_dir(f"{base}/_staged", recursive=True)
+        sent.file = f"{uuid.uuid4().hex}.parquet"
+        return pq.ParquetWriter(f"{base}/_staged/{sent.file}", REFUSED, filesystem=files)
+
+    def _keep(self, writer, message: dict, status: int) -> None:  # noqa: ANN001
         row = {"url": message["url"], "status": status, "batch_id": message["batch_id"], "body": message["body"]}
-        writer.write_table(pa.Table.from_pylist([row], schema=schema))
-        return writer
+        writer.write_table(pa.Table.from_pylist([row], schema=REFUSED))
+
+    def publish(self, messages: list[Sent | None], name: str) -> None:
+        """Bring the files of the attempts that count into the error folder, and note what became of the messages.
+
+        Files of attempts that failed or were too late are never named here and stay out of sight. A
+        micro-batch that is run again has the same names and so replaces what it left.
+        """
+        done = [m for m in messages if m is not None]
+        if self.error_path is None:
+            return
+        files, base = self._folder()
+        files.create_dir(f"{base}/_outcomes", recursive=True)
+        for i, m in enumerate(sorted((m for m in done if m.file), key=lambda m: m.file)):
+            files.move(f"{base}/_staged/{m.file}", f"{base}/{name}-{i:05d}.parquet")
+        counts = {k: sum(getattr(m, k) for m in done) for k in ("messages", "records", "skipped", "to_error")}
+        with files.open_output_stream(f"{base}/_outcomes/{name}.json") as f:
+            f.write(json.dumps(counts).encode())
+
+    def drop(self, messages: list[Sent | None]) -> None:
+        """Delete the files of a write that is given up."""
+        for m in messages:
+            if m is not None and m.file:
+                files, base = self._folder()
+                files.delete_file(f"{base}/_staged/{m.file}")
 
 
 class MessagesWriter(DataSourceWriter):
     def __init__(self, options: dict[str, str]):
-        self.task = _TaskWriter(options)
+        self.task, self.name = _TaskWriter(options), f"run-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[Row]) -> Sent:
         return self.task.write(iterator)
 
+    def commit(self, messages: list[Sent | None]) -> None:
+        self.task.publish(messages, self.name)
+
+    def abort(self, messages: list[Sent | None]) -> None:
+        self.task.drop(messages)
+
 
 class MessagesStreamWriter(DataSourceStreamWriter):
     def __init__(self, options: dict[str, str]):
@@ -163,11 +203,11 @@ class MessagesStreamWriter(DataSourceStreamWriter):
     def write(self, iterator: Iterator[Row]) -> Sent:
         return self.task.write(iterator)
 
-    def commit(self, messages: list[Sent], batchId: int) -> None:  # noqa: N803
-        pass
+    def commit(self, messages: list[Sent | None], batchId: int) -> None:  # noqa: N803
+        self.task.publish(messages, f"batch-{batchId:012d}")
 
-    def abort(self, messages: list[Sent], batchId: int) -> None:  # noqa: N803
-        pass
+    def abort(self, messages: list[Sent | None], batchId: int) -> None:  # noqa: N803
+        self.task.drop(messages)
 
 
 class MessagesDataSource(DataSource):

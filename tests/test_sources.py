@@ -1,7 +1,9 @@
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from fake_api import failing_first, from_folder, paged, recorder, requests, unreadable, with_gap
+from pyspark.sql import Row
 
 import pageframe as pf
 from pageframe.options import SourceOptions
@@ -9,6 +11,7 @@ from pageframe.sources import reader as reader_source
 from pageframe.sources.reader import Spool
 from pageframe.sources.transport import pack, send, unpack
 from pageframe.sources.walk import Cursor, walk
+from pageframe.sources.writer import MessagesStreamWriter
 from pageframe.streaming.streams import captured_stream, fetched_stream, parse_stream, send_stream, unseen, write_stream_routed
 
 INDEX = {"url": "http://h/p?page={pagination.index}", "pagination_type": "Increment an index", "start_index": 0, "index_increment": 1}
@@ -337,6 +340,39 @@ def test_refused_messages_go_to_the_error_folder(spark, tmp_path):
     assert [(r.status, json.loads(r.body)["id"]) for r in spark.read.parquet(str(tmp_path / "errors")).collect()] == [(409, 2)]
 
 
+def test_two_attempts_of_a_poll_give_the_rows_of_the_first(tmp_path):
+    spool = Spool(str(tmp_path))
+    o = SourceOptions(**JSON, **HEADER)
+    late = Spool(str(tmp_path))
+    slow = walk(o, paged(4, link="header"), Cursor(), 3)
+    begun = next(slow)  # this attempt started first and ends last
+    spool.write("http://h/p", 1, walk(o, paged(3, link="header"), Cursor(), 2), Cursor())
+    first = spool.entry("http://h/p", 1)
+    late.write("http://h/p", 1, iter([begun, *slow]), Cursor())
+    assert late.entry("http://h/p", 1) == spool.entry("http://h/p", 1) == first
+    assert [row[1] for row in late.pages(first)] == [0, 1] and spool.last_number("http://h/p") == 1
+    assert spool.entry("http://h/p", 1)["cursor"] == first["cursor"]
+
+
+def test_refused_messages_of_repeated_tasks_count_once(tmp_path):
+    """Only the attempts that a commit names are published; a micro-batch run again replaces what it left."""
+    o = pf.SinkOptions(url="http://h/in", http_errors_handling=[("2..", "Success"), ("409", "Send to error")])
+    given = pf.writer_options(o, recorder(str(tmp_path / "sent")), error_path=str(tmp_path / "errors"))
+    rows = [Row(url="http://h/in", method="POST", headers={}, body=b, batch_id=b, n_records=1) for b in ('{"name":"refuse","id":1}', '{"name":"ok","id":2}')]
+    writer = MessagesStreamWriter(given)
+    lost, kept = writer.write(iter(rows)), writer.write(iter(rows))
+    assert lost.file != kept.file and not list((tmp_path / "errors").glob("*.parquet"))
+    writer.commit([kept], 7)
+    writer.commit([writer.write(iter(rows)), None], 7)
+    found = list((tmp_path / "errors").glob("*.parquet"))
+    assert [f.name for f in found] == ["batch-000000000007-00000.parquet"] and pq.read_table(found[0])["batch_id"].to_pylist() == [rows[0].batch_id]
+    counts = json.loads((tmp_path / "errors" / "_outcomes" / "batch-000000000007.json").read_text())
+    assert counts == {"messages": 2, "records": 2, "skipped": 0, "to_error": 1}
+    given_up = writer.write(iter(rows))
+    writer.abort([given_up, None], 8)
+    assert not (tmp_path / "errors" / "_staged" / given_up.file).exists() and len(list((tmp_path / "errors").glob("*.parquet"))) == 1
+
+
 def test_a_failing_status_fails_the_write(people, spark, tmp_path):
     spark.dataSource.register(pf.MessagesDataSource)
     o = pf.SinkOptions(url="http://h/in", batch_size=100)
