@@ -99,7 +99,8 @@ def is_plainly_fine(item: str, typed: str, parts: list[str], field: T.StructFiel
     elif isinstance(dtype, T.BooleanType):
         fine = f"schema_of_variant({at(item, parts)}) = 'BOOLEAN'"
     elif isinstance(dtype, NUMBERS):
-        fine = f"{typed} NOT IN (0, 1)"
+        # true and false convert to 1 and 0; whole numbers of these values need no further look
+        fine = f"({typed} NOT IN (0, 1) OR {typed} IN (0, 1) AND schema_of_variant({at(item, parts)}) = 'BIGINT')"
     elif isinstance(dtype, NESTED):
         fine = f"{fits(item, parts, dtype, field.nullable)} AND {typed} IS NOT NULL"
     else:
