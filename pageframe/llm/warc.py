@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pageframe.functions.skew import broadcast_if_small
 MAGIC = "WARC/1.1\r\n"
 #: Payloads from this size on are stored once; later ones of the same content refer to the first.
 LEAST_SHARED = 100
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CANDIDATES = (
     "file string, block long, rel long, succ long, leave long, record_type string, page_id long, refers_to long, "
     "payload_bytes long, payload_digest string, whole boolean, skip long"
@@ -36,30 +38,48 @@ def write_archives(pages: DataFrame, folder: str) -> None:
     Spark writes and commits, each closed by two line ends. Digests and ids alone are shuffled;
     the payloads stay where they are read unless there are more revisits than a checked broadcast
     takes. A null html is an empty payload, control characters in a url are replaced.
+
+    A response's block is an HTTP message, a revisit's is empty. Record ids are random UUIDs, so rows
+    with equal ids have records of their own; ``Page-Id`` has the row's id (absent for null). A revisit names its
+    first by target, date and ``Refers-To-Page-Id``. The date is that of writing: ``pages`` has none.
     """
+    date = F.lit(datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"))
     payload = F.coalesce("html", F.lit(""))
     size = F.octet_length(payload).cast("long")
-    shared = pages.select("page_id", F.sha2(payload, 256).alias("d"), size.alias("n")).filter(F.col("n") >= LEAST_SHARED)
-    first = shared.groupBy("d").agg(F.min("page_id").alias("first"), F.count("*").alias("rows")).filter("rows > 1 and first is not null")
-    again = shared.join(first, "d").filter("page_id is null or page_id != first").select("page_id", "d", "first").distinct()
+    target = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20\x7f]", "%20")
+    shared = pages.select("page_id", target.alias("url"), F.sha2(payload, 256).alias("d"), size.alias("n")).filter(F.col("n") >= LEAST_SHARED)
+    by_id = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
+    first = shared.groupBy("d").agg(F.min(by_id).alias("first"), F.count("*").alias("rows")).filter("rows > 1 and first is not null")
+    again = shared.join(first, "d").filter("page_id is null or page_id != first.page_id")
+    again = again.select("page_id", "d", F.col("first.page_id").alias("first"), F.col("first.url").alias("first_url")).distinct()
     again, small = broadcast_if_small(again)
     again = again.withColumnsRenamed({"page_id": "_id", "d": "_d"})
-    rows = pages.select("page_id", "url", payload.alias("payload"), size.alias("n"), F.sha2(payload, 256).alias("d"))
+    rows = pages.select("page_id", target.alias("url"), payload.alias("payload"), size.alias("n"), F.sha2(payload, 256).alias("d"))
     rows = rows.join(again, rows["page_id"].eqNullSafe(again["_id"]) & (rows["d"] == again["_d"]), "left")
-    name = F.coalesce(F.col("page_id").cast("string"), F.lit("-"))
-    revisit = F.col("first").isNotNull()
+    revisit, none = F.col("first").isNotNull(), F.lit("")
+    http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("n").cast("string"), F.lit("\r\n\r\n"))
+    rows = rows.withColumn("http", http)
+    refers = F.concat(
+        _named("WARC-Profile", F.lit(PROFILE)),
+        _named("WARC-Refers-To-Target-URI", F.col("first_url")),
+        _named("WARC-Refers-To-Date", date),
+        _named("Refers-To-Page-Id", F.col("first").cast("string")),
+    )
+    length = F.when(revisit, F.lit(0)).otherwise(F.octet_length("http") + F.col("n"))
     head = F.concat(
         F.lit(MAGIC),
         _named("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        _named("WARC-Record-ID", F.concat(F.lit("<urn:page:"), name, F.lit(">"))),
-        _named("WARC-Target-URI", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20\x7f]", "%20")),
-        F.when(revisit, _named("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("first"), F.lit(">")))).otherwise(F.lit("")),
+        _named("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">"))),
+        _named("WARC-Date", date),
+        _named("WARC-Target-URI", F.col("url")),
+        F.coalesce(_named("Page-Id", F.col("page_id").cast("string")), none),
+        F.when(revisit, refers).otherwise(none),
         _named("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("d"))),
         _named("WARC-Payload-Length", F.col("n").cast("string")),
-        _named("Content-Type", F.lit("text/html")),
-        _named("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("n").cast("string"))),
+        _named("Content-Type", F.lit("application/http; msgtype=response")),
+        _named("Content-Length", length.cast("string")),
     )
-    record = F.concat(head, F.lit("\r\n"), F.when(revisit, F.lit("")).otherwise(F.col("payload")))
+    record = F.concat(head, F.lit("\r\n"), F.when(revisit, none).otherwise(F.concat("http", "payload")))
     rows.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").text(folder)
 
 
@@ -69,8 +89,7 @@ def _field(head: bytes, name: bytes) -> bytes | None:
 
 
 def _page(value: bytes | None) -> int | None:
-    found = re.fullmatch(rb"<urn:page:(-?[0-9]+)>", value or b"")
-    return int(found[1]) if found else None
+    return int(value) if re.fullmatch(rb"-?[0-9]{1,19}", value or b"") else None
 
 
 def _candidate(piece: bytes, rel: int) -> dict | None:
@@ -80,8 +99,12 @@ def _candidate(piece: bytes, rel: int) -> dict | None:
     if end < 0 or not length or not length.isdigit() or len(length) > 18:
         return None
     n, skip = int(length), end + 4
+    whole, succ = len(piece) >= skip + n, rel + len(MAGIC) + skip + n + 4
+    if (_field(piece[:end], b"Content-Type") or b"").startswith(b"application/http"):
+        # the payload is what follows the message's own head
+        body = piece.find(b"\r\n\r\n", skip, skip + n)
+        n, skip = (n, skip) if body < 0 else (n - (body + 4 - skip), body + 4)
     payload = piece[skip : skip + n]
-    whole = len(piece) >= skip + n
     kind = (_field(piece[:end], b"WARC-Type") or b"").decode("latin-1")
     digest, size = hashlib.sha256(payload).hexdigest() if whole else None, n
     if kind == "revisit":
@@ -90,10 +113,10 @@ def _candidate(piece: bytes, rel: int) -> dict | None:
         size = int(named) if named.isdigit() and len(named) < 19 else None
     return {
         "rel": rel,
-        "succ": rel + len(MAGIC) + skip + n + 4,
+        "succ": succ,
         "record_type": kind,
-        "page_id": _page(_field(piece[:end], b"WARC-Record-ID")),
-        "refers_to": _page(_field(piece[:end], b"WARC-Refers-To")),
+        "page_id": _page(_field(piece[:end], b"Page-Id")),
+        "refers_to": _page(_field(piece[:end], b"Refers-To-Page-Id")),
         "payload_bytes": size,
         "payload_digest": digest,
         "whole": whole,
