@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from pageframe.functions.lineage import fresh_path
+from pageframe.functions.lineage import fresh_path, stored
 from pageframe.llm.tokens import default_path, encoder, slices
 
 MAGIC = b"DAC1"
@@ -22,8 +22,12 @@ CHUNK_BITS = 8
 #: Bits of a continuation bitmap that one entry of its rank directory covers.
 RANK_BITS = 512
 #: Ids after which a segment is closed; a document is never split between segments.
-SEGMENT_IDS = 1 << 19
+SEGMENT_IDS = 1 << 16
 END = 0
+#: Bytes after which a page of a file is closed: less than a segment takes, so each has a page of its own.
+PAGE_BYTES = 1 << 12
+#: Segments that a look-up names to the scan, which then reads their pages alone; for more it reads all.
+NAMED_SEGMENTS = 1000
 SEGMENTS = "part int, seq int, n_docs long, n_tokens long, segment binary"
 
 
@@ -101,7 +105,8 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
     Documents are dealt to as many ranges of doc_id as the session has shuffle partitions, equal ids
     by a hash of the text, and a task writes segments as it goes: it never holds more than one.
     Segments are binary cells of Parquet files, so that Spark commits them in any store it can
-    write. Null ids come first; a null text counts as empty and has its end id only.
+    write; each cell is a page of its own and not compressed, so its codes can be addressed as they
+    lie in the file. Null ids come first; a null text counts as empty and has its end id only.
     """
     path = path or default_path()
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -137,7 +142,8 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
             yield out()
 
     segments = ranged.sortWithinPartitions(*order).mapInArrow(run, SEGMENTS)
-    segments.write.option("compression", "zstd").parquet(folder)
+    plain = {"compression": "none", "parquet.page.size": PAGE_BYTES, "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": "false"}
+    segments.write.options(**plain).parquet(folder)
 
 
 def earlier(window: WindowSpec) -> WindowSpec:
@@ -145,6 +151,51 @@ def earlier(window: WindowSpec) -> WindowSpec:
     return window.rowsBetween(W.unboundedPreceding, -1)
 
 
+def _bases(segments: DataFrame) -> DataFrame:
+    """(part, seq, base) with the number of ids before each segment."""
+    sums = segments.select("part", "seq", "n_tokens")
+    parts = sums.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier(W.orderBy("part"))), F.lit(0)).alias("base"))
+    inside = F.coalesce(F.sum("n_tokens").over(earlier(W.partitionBy("part").orderBy("seq"))), F.lit(0))
+    return sums.withColumn("inside", inside).join(parts, "part").select("part", "seq", (F.col("base") + F.col("inside")).alias("base"))
+
+
+def token_at(positions: DataFrame, folder: str) -> DataFrame:
+    """(position, id) for each row of ``positions`` (position, a long counted over all documents from 0).
+
+    A position is located by the segments' lengths, which are columns of their own; its segment is
+    then addressed in place, chunk by chunk over the rank directories: no code but its own is decoded. If
+    the positions meet at most ``NAMED_SEGMENTS`` segments, the scan is told which and reads the pages of
+    these alone; otherwise the segments are joined. Positions that are null or outside the files give
+    no row; repeated ones give a row each.
+    """
+    spark = positions.sparkSession
+    segments = spark.read.schema(SEGMENTS).parquet(folder)
+    spans = segments.select("part", "seq", "n_tokens").join(_bases(segments), ["part", "seq"])
+    # segments are at least as long as a block of positions but for the last of a part: few blocks each
+    block = F.sequence(F.floor(F.col("base") / SEGMENT_IDS), F.floor((F.col("base") + F.col("n_tokens") - 1) / SEGMENT_IDS))
+    spans = spans.filter("n_tokens > 0").withColumn("block", F.explode(block))
+    wanted = positions.select(F.col("position").cast("long").alias("position")).withColumn("block", F.floor(F.col("position") / SEGMENT_IDS))
+    within = (F.col("position") >= F.col("base")) & (F.col("position") < F.col("base") + F.col("n_tokens"))
+    found = wanted.join(spans, "block").filter(within)
+    found = stored(found.select("part", "seq", "position", (F.col("position") - F.col("base")).alias("local")), "located")
+    named = found.select("part", "seq").distinct().limit(NAMED_SEGMENTS + 1).collect()
+    if len(named) <= NAMED_SEGMENTS:
+        segments = segments.filter(F.col("part").isin(sorted({r.part for r in named})) & F.col("seq").isin(sorted({r.seq for r in named})))
+    # distinct positions of a segment: at most as many as it has ids
+    places = found.groupBy("part", "seq").agg(F.collect_set(F.struct("position", "local")).alias("at"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                segment = Segment(row["segment"])
+                columns = [[p["position"] for p in row["at"]], [segment[p["local"]] for p in row["at"]]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["position", "id"])
+
+    ids = places.join(segments.select("part", "seq", "segment"), ["part", "seq"]).select("segment", "at").mapInArrow(run, "position long, id long")
+    return wanted.select("position").join(ids, "position")
+
+
 def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files, and its ``ids`` as bytes if asked for.
 
@@ -152,11 +203,7 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
     wrote them, and parts, of which there are as many as write tasks, among each other.
     """
     segments = spark.read.schema(SEGMENTS).parquet(folder)
-    sums = segments.select("part", "seq", "n_tokens")
-    parts = sums.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier(W.orderBy("part"))), F.lit(0)).alias("base"))
-    inside = F.coalesce(F.sum("n_tokens").over(earlier(W.partitionBy("part").orderBy("seq"))), F.lit(0))
-    bases = sums.withColumn("inside", inside).join(parts, "part").select("part", "seq", (F.col("base") + F.col("inside")).alias("base"))
+    bases = _bases(segments)
     schema = "part int, seq int, doc_id long, local long, n_tokens long, ids_crc32 long, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
