@@ -1,10 +1,29 @@
 """SQL of the queries that SQL can express.
 
 Fingerprints (XXH64), token ids, learned scores and spans with checksums are beyond it; those queries
-are tested against plain computations.
+are tested against plain computations. The SQL of ``op3_url_filter`` follows canonical links that are
+absolute and written plainly; other ways of writing them, which the test tables lack, have tests of their own.
 """
 
 ORACLES: dict[str, str] = {
+    "op3_url_filter": r"""
+        WITH RECURSIVE rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+            ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+        u AS (SELECT row_number() OVER () AS k, page_id, html, coalesce(regexp_extract(url, '(?s)^.*?://(.*)$', 1), '') AS rest FROM pages),
+        s AS (SELECT *, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*([?][^#]*)', 1) AS query FROM u),
+        t AS (SELECT *, regexp_extract(html, '<link rel="canonical" href="[a-z]+://([^"#]*)', 1) AS link FROM s),
+        n AS (SELECT *, CASE WHEN rest = '' THEN '' ELSE host || CASE WHEN path = '' THEN '/' ELSE path END || query END AS node FROM t),
+        e AS (SELECT node AS a, link AS b FROM n WHERE node <> '' AND link <> ''),
+        w AS (SELECT a, b FROM e UNION SELECT b, a FROM e UNION SELECT a, a FROM e UNION SELECT b, b FROM e),
+        reach AS (SELECT a, b FROM w UNION SELECT reach.a, w.b FROM reach JOIN w ON reach.b = w.a),
+        v AS (SELECT b, arg_max(verdict, length(h) + length(p)) AS v FROM (SELECT DISTINCT b, regexp_extract(b, '^([^/?#]*)', 1) AS bh,
+            regexp_extract(b, '^[^/?#]*([^?#]*)', 1) AS bp FROM reach) JOIN rules ON (bh = h OR ends_with(bh, '.' || h)) AND starts_with(bp, p) GROUP BY b),
+        c AS (SELECT a, bool_or(v = 'block') AND NOT bool_or(v = 'allow') AS blocked FROM reach JOIN v USING (b) GROUP BY a),
+        r AS (SELECT k, arg_max(h || p, length(h) + length(p)) AS rule, arg_max(verdict, length(h) + length(p)) AS verdict
+            FROM n JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY k)
+        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
+        FROM n LEFT JOIN r USING (k) LEFT JOIN c ON c.a = n.node""",
     "op4_warc": """
         WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha256(coalesce(html, '')) AS d FROM pages),
         f AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM p),
@@ -47,6 +66,27 @@ ORACLES: dict[str, str] = {
         r AS (SELECT s.item_id, d.doc_id, s.score, CAST(row_number() OVER (PARTITION BY s.k ORDER BY s.score DESC, d.doc_id NULLS FIRST) AS INTEGER) AS rank
             FROM s JOIN d ON d.k = s.dk)
         SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20""",
+    "op8_quality": r"""
+        WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce('=' || source, '-') AS host, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        g AS (SELECT k, unnest(range(1, len(ws) - 6)) AS i, unnest(list_transform(range(1, len(ws) - 6), lambda i: array_to_string(ws[i:i + 7], ' '))) AS win
+            FROM d WHERE len(ws) > 8),
+        p AS (SELECT k, count(DISTINCT i + j) AS n FROM (SELECT k, i, count(*) OVER (PARTITION BY k, win) AS times FROM g), range(8) AS o(j)
+            WHERE times > 1 GROUP BY k),
+        x AS (SELECT k, unnest(list_filter(string_split(t, chr(10)), lambda s: regexp_matches(s, '[^\x20\x09-\x0D]'))) AS line FROM d),
+        y AS (SELECT k, count(*) - count(DISTINCT line) AS n FROM x GROUP BY k),
+        z AS (SELECT k, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words, translate(array_to_string(
+            regexp_extract_all(line, '[^\x20\x09-\x0D]+'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line FROM x),
+        h AS (SELECT host, count(DISTINCT t) AS docs FROM d GROUP BY host),
+        c AS (SELECT host, line, count(DISTINCT t) AS n FROM z JOIN d USING (k) GROUP BY ALL),
+        l AS (SELECT host, line FROM c JOIN h USING (host) WHERE n > least(200, greatest(5, docs * 10 / CAST(100 AS DOUBLE)))),
+        r AS (SELECT k, sum(words) AS n FROM z JOIN d USING (k) JOIN l USING (host, line) GROUP BY k),
+        f AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+            CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(y.n, 0) AS BIGINT) AS n_dup_lines,
+            CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words, coalesce(r.n, 0) AS removed
+            FROM d LEFT JOIN p USING (k) LEFT JOIN y USING (k) LEFT JOIN r USING (k))
+        SELECT * EXCLUDE (removed), n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+            NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * (n_words - removed) >= 30 * n_words AS kept FROM f""",
     "op9_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
