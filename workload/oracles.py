@@ -207,7 +207,7 @@ ORACLES: dict[str, str] = {
         CAST(NULL AS VARCHAR) AS body, CAST(1 AS BIGINT) AS n_records, CAST(c_custkey AS VARCHAR) AS batch_id FROM customer""",
     "sink_messages": """SELECT 'POST' AS method, 'application/json' AS content_type,
         '{"Content-Type":"application/json","Instance-Follow-Redirects":"true","Request-Method":"POST","X-App":"a","charset":"UTF-8"}' AS headers,
-        true AS fits, c_custkey, c_name, c_acctbal FROM customer""",
+        true AS fits, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
     "sink_outcomes": f"""SELECT '{HOST}/customer/' || c_custkey AS url, CAST(c_custkey AS VARCHAR) AS batch_id, CAST(1 AS BIGINT) AS n_records,
         CAST(CASE c_custkey % 10 WHEN 3 THEN 404 WHEN 7 THEN 409 ELSE 204 END AS INTEGER) AS status, CAST(1 AS INTEGER) AS attempts,
         CASE c_custkey % 10 WHEN 3 THEN 'skipOnError' WHEN 7 THEN 'sendToError' ELSE 'success' END AS handling FROM customer""",

@@ -833,7 +833,7 @@ def sink_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = pf.SinkOptions(headers={"X-App": "a"}, write_json_as_array=True, **SINK)
     messages = pf.build_messages(_customers(spark, sf_dir).repartition(7), options)
     fits = F.col("n_records").between(1, 50) & (F.size(F.from_json("body", "array<string>")) == F.col("n_records"))
-    rows = F.from_json("body", "array<struct<c_custkey bigint, c_name string, c_acctbal double>>")
+    rows = F.from_json("body", "array<struct<c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string>>")
     return messages.select("method", "content_type", F.to_json("headers").alias("headers"), fits.alias("fits"), F.explode(rows).alias("r")).select(
         "method", "content_type", "headers", "fits", "r.*"
     )
