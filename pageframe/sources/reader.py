@@ -36,6 +36,10 @@ from pageframe.sources.transport import Transport, pack, unpack
 from pageframe.sources.walk import Cursor, Response, walk
 
 
+# Bytes of pages that a poll gathers for a row group of its spool.
+HELD = 4 << 20
+
+
 def reader_options(
     options: SourceOptions,
     transport: Transport | str = "http",
@@ -204,20 +208,27 @@ class Spool:
         return next((n for n in numbers if self._entries(f"{self._folder(url)}/{n:012d}")), 0)
 
     def write(self, url: str, number: int, pages: Iterator[tuple[Response | None, Cursor]], start: Cursor) -> None:
-        """Write the pages as they come (one at a time in memory), then the entry file."""
+        """Write the pages as they come (``HELD`` bytes and one page at a time in memory), then the entry file."""
+        import pyarrow as pa
         import pyarrow.parquet as pq
 
         folder, name = f"{self._folder(url)}/{number:012d}", uuid.uuid4().hex
         self.files.create_dir(folder, recursive=True)
         data = f"{folder}/{name}.parquet"
         cursor, writer = start, None
+        held, size = [], 0
         for page, after in pages:
             cursor = after
             if page is None:
                 continue
             writer = writer or pq.ParquetWriter(data, RESPONSE_ARROW, filesystem=self.files)
-            writer.write_batch(as_batch(page))
+            held.append(as_batch(page))
+            size += held[-1].nbytes
+            if size >= HELD:  # one row group for many pages: a footer entry each would outgrow the pages of a long poll
+                writer.write_table(pa.Table.from_batches(held))
+                held, size = [], 0
         if writer is not None:
+            writer.write_table(pa.Table.from_batches(held, RESPONSE_ARROW))
             writer.close()
         content = {"data": data if writer is not None else None, "cursor": cursor.as_dict()}
         # under its last name only once it is whole

@@ -1,11 +1,16 @@
 """What a lookup reads and what a poll writes stay small, however many pages there are."""
 
+import os
 from glob import glob
 
 import pyarrow.parquet as pq
+from fake_api import paged
 from pyspark.sql import functions as F
 
 import pageframe as pf
+from pageframe.options import SourceOptions
+from pageframe.sources.reader import Spool
+from pageframe.sources.walk import Cursor, walk
 
 
 def test_a_lookup_reads_a_small_part_of_a_large_bucket(spark, tmp_path):
@@ -37,3 +42,13 @@ def test_urls_without_bounds_and_beyond_ascii_are_found(spark, tmp_path, pages):
         pf.write_capture(pages(*[str(i) for i in range(len(some))], seed="s", urls=some), path, buckets=1)
         look = pf.capture_transport(path, buckets=1)
         assert [look("GET", u, {}, None, 1)[2] for u in some] == [str(i).encode() for i in range(len(some))]
+
+
+def test_a_long_poll_is_few_row_groups(tmp_path):
+    spool = Spool(str(tmp_path))
+    o = SourceOptions(schema="v INT NOT NULL", result_path="/items", url="http://h/p", pagination_type="Link in response header")
+    spool.write("http://h/p", 1, walk(o, paged(200, link="header"), Cursor()), Cursor())
+    entry = spool.entry("http://h/p", 1)
+    assert [row[1] for row in spool.pages(entry)] == list(range(200))
+    assert pq.ParquetFile(entry["data"]).metadata.num_row_groups == 1
+    assert not [f for f in os.listdir(os.path.dirname(entry["data"])) if f.endswith(".part")]
