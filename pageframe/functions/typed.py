@@ -5,6 +5,8 @@ The tests are SQL text: they are long, and a text is one call to the JVM instead
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
 from pageframe.functions.paths import variant_path
@@ -91,6 +93,44 @@ def fits(value: str, parts: list[str], dtype: T.DataType, nullable: bool, depth:
     return f"CASE WHEN {raw} IS NULL OR is_variant_null({raw}) THEN {absent} ELSE {ok} END"
 
 
+def plain_kinds(dtype: T.DataType) -> str | None:
+    """Pattern of the schemas of nested values whose leaves convert without loss where they are not null.
+
+    The schema of a variant is one for all its elements, so a whole array is judged by one match. None
+    if ``dtype`` has types or names that it cannot tell; other fields than those of ``dtype`` may be there
+    if they are simple.
+    """
+    if isinstance(dtype, T.ArrayType):
+        inner = plain_kinds(dtype.elementType)
+        return inner and f"ARRAY<(?:VOID|{inner})>"
+    if isinstance(dtype, T.StructType):
+        inner = {f.name: plain_kinds(f.dataType) for f in dtype}
+        if not inner or None in inner.values() or not all(re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", n) for n in inner):
+            return None
+        fields = "".join(f"(?:[^<>`]*, )?{n}: (?:VOID|{inner[n]}), " for n in sorted(inner)).removesuffix(", ")
+        return f"OBJECT<{fields}(?:, [^<>`]*)?>"
+    if isinstance(dtype, WHOLE_NUMBERS):
+        return "BIGINT"
+    if isinstance(dtype, NUMBERS):
+        return r"(?:BIGINT|DOUBLE|DECIMAL\([0-9]+,[0-9]+\))"
+    if isinstance(dtype, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "STRING"
+    return "BOOLEAN" if isinstance(dtype, T.BooleanType) else None
+
+
+def has_all(typed: str, dtype: T.DataType, nullable: bool, depth: int = 0) -> str:
+    """True if a typed value has no null where there must be none, or where a value might have been lost."""
+    x = f"y{depth}"
+    there = f"{typed} IS NOT NULL"
+    if isinstance(dtype, T.ArrayType):
+        ok = f"{there} AND forall({typed}, {x} -> {has_all(x, dtype.elementType, dtype.containsNull, depth + 1)})"
+    elif isinstance(dtype, T.StructType):
+        ok = " AND ".join([there, *[has_all(f"{typed}.{f.name}", f.dataType, f.nullable, depth) for f in dtype]])
+    else:  # strings, doubles and booleans of the kinds of ``plain_kinds`` are never lost
+        return "true" if nullable and isinstance(dtype, (T.StringType, T.FloatType, T.DoubleType, T.BooleanType)) else there
+    return f"({ok})"
+
+
 def is_plainly_fine(item: str, typed: str, parts: list[str], field: T.StructField) -> str:
     """A cheap test that holds for most values. If it fails, the field may still be fine."""
     dtype = field.dataType
@@ -103,6 +143,9 @@ def is_plainly_fine(item: str, typed: str, parts: list[str], field: T.StructFiel
         fine = f"({typed} NOT IN (0, 1) OR {typed} IN (0, 1) AND schema_of_variant({at(item, parts)}) = 'BIGINT')"
     elif isinstance(dtype, NESTED):
         fine = f"{fits(item, parts, dtype, field.nullable)} AND {typed} IS NOT NULL"
+        if (kinds := plain_kinds(dtype)) is not None:
+            seen = f"schema_of_variant({at(item, parts)}) RLIKE {quote(f'^{kinds}$')}"
+            fine = f"(coalesce({seen} AND {has_all(typed, dtype, False)}, false) OR {fine})"
     else:
         fine = f"{typed} IS NOT NULL"
     fine = f"coalesce({fine}, false)"
