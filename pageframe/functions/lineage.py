@@ -7,6 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of a file and fewest files of a frame whose greatest number of rows is known before it is written.
+FILE_ROWS, FEWEST_FILES = 100_000, 2
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it in ``spark.checkpoint.dir``.
@@ -35,21 +38,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str = "rows", path: str | None = None) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read back."""
-    path = path or fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, name: str = "rows", path: str | None = None, most: int | None = None) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back.
+
+    ``most`` is a number of rows that ``df`` cannot exceed. All tasks work as before; if fewer files hold
+    so many rows, their results are dealt evenly to that many writers. A file costs more than its rows
+    then: where Hadoop has no native library, each one starts several processes on its executor.
+    """
+    spark = df.sparkSession
+    path = path or fresh_path(spark, name)
+    files = max(FEWEST_FILES, -(-(most or 0) // FILE_ROWS))
+    few = most is not None and files < int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(files) if few else df).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def counted(df: DataFrame, path: str | None = None, **counts: str) -> tuple[DataFrame, dict[str, int]]:
+def counted(df: DataFrame, path: str | None = None, most: int | None = None, **counts: str) -> tuple[DataFrame, dict[str, int]]:
     """``stored`` with the number of rows as ``rows``, and of those where each expression of ``counts`` holds.
 
     The write counts as it goes, so there is no second job.
     """
     path, seen = path or fresh_path(df.sparkSession, "counted"), Observation()
     metrics = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.expr(e)).alias(n) for n, e in counts.items()]]
-    return stored(df.observe(seen, *metrics), path=path), {n: v or 0 for n, v in seen.get.items()}
+    return stored(df.observe(seen, *metrics), path=path, most=most), {n: v or 0 for n, v in seen.get.items()}
 
 
 def size_of(spark: SparkSession, path: str) -> int:

@@ -17,16 +17,16 @@ HOT_ROWS = 1_000_000
 SALTS = 64
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` written to the shared folder; hinted only within ``limit`` rows and ``BROADCAST_BYTES``."""
-    written, small, _ = small_or_not(df, limit)
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS, most: int | None = None) -> tuple[DataFrame, bool]:
+    """``df`` written to the shared folder; hinted only within ``limit`` rows and ``BROADCAST_BYTES``. ``most``: as for ``stored``."""
+    written, small, _ = small_or_not(df, limit, most)
     return written, small
 
 
-def small_or_not(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool, int]:
+def small_or_not(df: DataFrame, limit: int = BROADCAST_ROWS, most: int | None = None) -> tuple[DataFrame, bool, int]:
     """``broadcast_if_small`` and the number of rows, all from one job."""
     path = fresh_path(df.sparkSession, "side")
-    written, n = counted(df, path)
+    written, n = counted(df, path, most)
     small = n["rows"] <= limit and size_of(df.sparkSession, path) <= BROADCAST_BYTES
     return (F.broadcast(written) if small else written), small, n["rows"]
 

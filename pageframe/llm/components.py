@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageframe.functions.lineage import fresh_path, remove, stored
+from pageframe.functions.lineage import counted, fresh_path, remove, stored
 
 
-def components(edges: DataFrame, left: str, right: str) -> DataFrame:
+def components(edges: DataFrame, left: str, right: str, most: int | None = None) -> DataFrame:
     """(node, root) for every node of an edge, root being the smallest node that is reachable.
 
     Each round first hangs the larger neighbours of every node on the smallest one it knows (large
     star), then the smaller ones (small star). Both are a minimum per node, combined before the
     shuffle, and an equi-join, which adaptive execution splits where a node has very many edges.
     The set of edges never grows; depth falls by about half a round. Rounds are written to the
-    shared folder and the one before is deleted. Edges with a null end and loops are left out,
+    shared folder, both stars at once, in as few files as the edges fill, and the one before is
+    deleted. ``most``: no fewer than the rows of ``edges``, if known. Edges with a null end and loops are left out,
     repeated edges count once, no edges give no rows. Nodes of any type with an order are taken.
     """
     spark = edges.sparkSession
@@ -24,14 +25,13 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
         a.isNotNull() & b.isNotNull() & (a != b)
     )
     path, before = fresh_path(spark, "star"), None
-    state = stored(state.distinct(), path=path)
+    state, n = counted(state.distinct(), path, most)
     mark = _mark(state)
     while mark[0]:
-        for star in (_large, _small):
-            new = fresh_path(spark, "star")
-            state = stored(star(state), path=new)
-            remove(spark, path)
-            path = new
+        new = fresh_path(spark, "star")
+        state = stored(_small(_large(state)), path=new, most=n["rows"])
+        remove(spark, path)
+        path = new
         before, mark = mark, _mark(state)
         if mark == before:
             break

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageframe.functions.lineage import stored
+from pageframe.functions.lineage import counted, stored
 from pageframe.functions.skew import broadcast_if_small, small_or_not
 from pageframe.llm.components import components
 from pageframe.llm.rows import WORD, text_of
@@ -150,30 +150,44 @@ def near_links(texts: DataFrame, alike: float = ALIKE) -> DataFrame:
     whose candidates lack none. All candidates are checked on their whole sets. Pairs that other
     links join already have no link of their own.
     """
-    links, more = _links(texts, alike)
+    links, _, more, _ = _links(texts, alike)
     return links if more is None else links.unionByName(more)
 
 
-def _links(texts: DataFrame, alike: float) -> tuple[DataFrame, DataFrame | None]:
-    signed = stored(_of_texts(texts, bands=bands).select("node", F.explode("bands").alias("band")).distinct(), "bands")
+def _links(texts: DataFrame, alike: float) -> tuple[DataFrame, DataFrame, DataFrame | None, int]:
+    """The links of candidates, (node, root) by them, what crowded bands add (or None), and the rows of the latter two at most."""
+    signed, n = counted(_of_texts(texts, bands=bands).select("node", F.explode("bands").alias("band")).distinct())
     buckets = signed.groupBy("band").agg(F.count("*").alias("k"), F.min("node").alias("low"), F.max("node").alias("high"))
-    buckets, _ = broadcast_if_small(buckets.filter("k > 1"))
-    met = stored(signed.join(buckets, "band"), "met")
+    buckets, _ = broadcast_if_small(buckets.filter("k > 1"), most=n["rows"] // 2)
+    met, n = counted(signed.join(buckets, "band"))
+    n_met = n["rows"]
     few, crowded = met.filter(F.col("k") <= FEW), met.filter(F.col("k") > FEW)
     ends = crowded.select("node", F.explode(F.array("low", "high")).alias("other")).filter("node != other")
     pairs = few.select("band", "node").join(few.select("band", F.col("node").alias("other")), "band").filter("node < other").select("node", "other")
-    pairs = stored(pairs.unionByName(ends).select(*_ordered(F.col("node"), F.col("other"))).distinct(), "pairs")
-    asked, _ = broadcast_if_small(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    pairs = pairs.unionByName(ends).select(*_ordered(F.col("node"), F.col("other"))).distinct()
+    # a text meets two ends, or half of FEW - 1 others
+    pairs, n = counted(pairs, most=2 * n_met)
+    n_pairs = n["rows"]
+    asked, _ = broadcast_if_small(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), most=n_met)
     once = texts.join(asked, "node", "left_semi").dropDuplicates(["node"])
     sets = stored(_of_texts(once, hashes=lambda h: h, bits=parities), "sets")
-    links = stored(_alike(pairs, sets, alike), "links")
-    dense, _, n = small_or_not(crowded.select("node").distinct())
-    if not n:
-        return links, None
+    links = stored(_alike(pairs, sets, alike), "links", most=n_pairs)
+    roots = components(links, "a", "b", n_pairs)
+    dense, _, crowd = small_or_not(crowded.select("node").distinct(), most=n_met)
+    if not crowd:
+        return links, roots, None, 0
     among = sets.join(dense, "node", "left_semi")
-    return links, stored(_alike(stored(missing_pairs(among, components(links, "a", "b"), alike), "pairs"), among, alike), "links")
+    pairs, n = counted(missing_pairs(among, roots, alike))
+    if not n["rows"]:
+        return links, roots, None, 0
+    more, n = counted(_alike(pairs, among, alike), most=n["rows"])
+    return links, roots, more if n["rows"] else None, 2 * n_pairs + n["rows"]
 
 
 def groups(texts: DataFrame, alike: float = ALIKE) -> DataFrame:
     """(node, root) of the texts that are linked, directly or through others."""
-    return components(near_links(texts, alike), "a", "b")
+    _, roots, more, n = _links(texts, alike)
+    if more is None:
+        return roots
+    # a node hangs on its root already: the few links that are new need few rounds
+    return components(more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), "a", "b", n)
