@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageframe.functions.lineage import stored
-from pageframe.llm import near_copies
+from pageframe.llm import gray_index, near_copies
 from pageframe.llm.components import components
+from pageframe.llm.gray_index import FAN, GrayIndex, gray_ranks, merge
 from pageframe.llm.rows import packed, row_key, text_of
 
 SEED = 42
@@ -20,7 +21,6 @@ DIFFERENCES = 2
 SHINGLE = 3
 #: Blocks of the Gray order. Their upper nodes, 24 bytes each, go to every task.
 BLOCKS, MOST_BLOCKS, BLOCK_CODES = 256, 1 << 16, 1 << 20
-FAN = 16
 QUERIES = 128
 
 
@@ -56,72 +56,9 @@ def fingerprints(docs: DataFrame, carry: list[Column]) -> DataFrame:
     return narrow.mapInArrow(run, narrow.drop("_text").withColumn("fp", F.lit(0).cast("long")).schema)
 
 
-def gray_rank(code: Column) -> Column:
-    """The place of a code in Gray order, as a signed long of that order."""
-    for shift in (1, 2, 4, 8, 16, 32):
-        code = code.bitwiseXOR(F.shiftrightunsigned(code, shift))
-    return code.bitwiseXOR(F.lit(-(1 << 63)))
-
-
-def _gray_ranks(codes: np.ndarray) -> np.ndarray:
-    rank = codes.copy()
-    for shift in (1, 2, 4, 8, 16, 32):
-        rank ^= rank >> np.uint64(shift)
-    return rank
-
-
-class GrayIndex:
-    """Levels of nodes over codes in Gray order, leaves first.
-
-    A node holds the bits that all codes below share (``mask``) and their values (``bits``), without
-    those that a node above has factored out already. A search adds up the differences on its way
-    down and leaves a node with all that is below once they are too many.
-    """
-
-    def __init__(self, both: np.ndarray, either: np.ndarray, fan: int = FAN):
-        """``both``, ``either``: conjunction and disjunction of the codes below each leaf."""
-        levels = [(both, either)]
-        while len(levels[-1][0]) > 1:
-            starts = np.arange(0, len(levels[-1][0]), fan)
-            levels.append((np.bitwise_and.reduceat(levels[-1][0], starts), np.bitwise_or.reduceat(levels[-1][1], starts)))
-        self.fan, self.levels, above = fan, [], None
-        for both, either in reversed(levels):
-            mask = ~(both ^ either)
-            own = mask if above is None else mask & ~np.repeat(above, fan)[: len(mask)]
-            self.levels.append((own, both & own))
-            above = mask
-
-    def search(self, codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (place in ``codes``, leaf) of leaves that may hold a code within ``most`` differences."""
-        query, node = np.arange(len(codes)), np.zeros(len(codes), np.int64)
-        found = np.zeros(len(codes), np.int64)
-        for depth, (mask, bits) in enumerate(self.levels):
-            if depth:
-                children = node[:, None] * self.fan + np.arange(self.fan)
-                inside = children < len(mask)
-                query, found, node = (np.repeat(x, self.fan)[inside.ravel()] for x in (query, found, node))
-                node = children.ravel()[inside.ravel()]
-            found = found + np.bitwise_count((codes[query] ^ bits[node]) & mask[node])
-            stay = found <= most
-            query, found, node = query[stay], found[stay], node[stay]
-        return query, node
-
-
-def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Labels after uniting the groups of ``a`` and ``b``; a label is the smallest place of its group."""
-    while True:
-        x, y = label[a], label[b]
-        differ = x != y
-        if not differ.any():
-            return label
-        np.minimum.at(label, np.maximum(x, y)[differ], np.minimum(x, y)[differ])
-        while not np.array_equal(up := label[label], label):
-            label = up
-
-
 def block_links(members: np.ndarray, visitors: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join the same groups as all pairs of a visitor and a member within ``most`` differences."""
-    members = members[np.argsort(_gray_ranks(members), kind="stable")]
+    members = members[np.argsort(gray_ranks(members), kind="stable")]
     starts = np.arange(0, len(members), FAN)
     index = GrayIndex(np.bitwise_and.reduceat(members, starts), np.bitwise_or.reduceat(members, starts))
     label, left, right = np.arange(len(members)), [], []
@@ -134,7 +71,7 @@ def block_links(members: np.ndarray, visitors: np.ndarray, most: int) -> tuple[n
         near = np.bitwise_count(codes[query] ^ members[place]) <= most
         query, place = query[near], place[near]
         same = query[1:] == query[:-1]
-        label = _merge(label, place[1:][same], place[:-1][same])
+        label = merge(label, place[1:][same], place[:-1][same])
         first = np.concatenate([[True], ~same])[: len(query)]
         left.append(codes[query[first]])
         right.append(members[place[first]])
@@ -153,48 +90,11 @@ def near_links(codes: DataFrame, most: int = DIFFERENCES, blocks: int | None = N
     own lower levels. Visitors of a much visited block are dealt to several tasks, each with a copy
     of the block's codes, so no task holds more than a few times a block. Nothing is capped.
     """
-    spark = codes.sparkSession
-    ranked = codes.select("fp", gray_rank(F.col("fp")).alias("rank"))
     n = codes.count()
     blocks = blocks or min(MOST_BLOCKS, max(BLOCKS, -(-n // BLOCK_CODES)))
-    cuts = [i / blocks for i in range(1, blocks)]
-    bounds = ranked.agg(F.percentile_approx("rank", cuts, 10 * blocks).alias("b")).first()["b"] if n > 1 and cuts else []
-    bounds = np.array(sorted(set(bounds)), np.int64)
-
-    def blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            block = np.searchsorted(bounds, batch.column("rank").to_numpy(), side="right")
-            yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(block.astype(np.int32))], names=["fp", "block"])
-
-    own = stored(ranked.mapInArrow(blocked, "fp long, block int"), "codes")
-    nodes = own.groupBy("block").agg(F.bit_and("fp").alias("both"), F.bit_or("fp").alias("either"), F.count("*").alias("n"))
-    nodes = sorted(nodes.collect())  # one row a block
-    if not nodes:
-        return spark.createDataFrame([], "a long, b long")
-    ids = np.array([r["block"] for r in nodes], np.int32)
-    upper = GrayIndex(*(np.array([r[c] for r in nodes], np.int64).view(np.uint64) for c in ("both", "either")))
-
-    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp, home = batch.column("fp").to_numpy(), batch.column("block").to_numpy()
-            for low in range(0, len(fp), 2048):
-                codes = fp[low : low + 2048]
-                query, leaf = upper.search(codes.view(np.uint64), most)
-                to = ids[leaf]
-                later = to >= home[low : low + 2048][query]
-                yield pa.RecordBatch.from_arrays([pa.array(codes[query[later]]), pa.array(to[later])], names=["fp", "block"])
-
-    visits = stored(own.mapInArrow(routed, "fp long, block int"), "visits")
-    sizes = {r["block"]: r["n"] for r in nodes}
-    seen = {r["block"]: r["count"] for r in visits.groupBy("block").count().collect()}  # one row a block
-    spread = [(int(k), 1 + seen.get(k, 0) // (1 << 16 | 4 * sizes[k])) for k in sizes]
-    spread = F.broadcast(spark.createDataFrame(spread, "block int, tasks int"))
-    salt = F.pmod(F.xxhash64("fp"), F.col("tasks"))
-    dealt = (
-        own.join(spread, "block")
-        .select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - F.lit(1).cast("long"))).alias("salt"), "fp", F.lit(True).alias("member"))
-        .unionByName(visits.join(spread, "block").select("block", salt.alias("salt"), "fp", F.lit(False).alias("member")))
-    )
+    dealt = gray_index.dealt(codes.select("fp"), gray_index.even_bounds(codes, blocks), most, home=True)
+    if dealt is None:
+        return codes.sparkSession.createDataFrame([], "a long, b long")
 
     def links(table: pa.Table) -> pa.Table:
         fp, member = table.column("fp").to_numpy().view(np.uint64), table.column("member").to_numpy()
@@ -222,8 +122,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(fp, doc_id, key, root, component_id) as ``fingerprint_groups``, for near copies on word shingles.
 
     Texts are linked if their sets of 5-word shingles have a Jaccard similarity of 0.8 or more: there
-    fingerprints of 64 bits differ in about 10 bits, a radius at which no index rules anything out,
-    so the candidates come from ``near_copies``. ``fp`` names the text, 0 without words.
+    64 bits differ in about 10, so ``near_copies`` takes longer fingerprints and searches them code by
+    code, at 2 bits each, in the Gray index. ``fp`` names the text, 0 without words.
     """
     node = near_copies.text_node(F.col("text")).alias("fp")
     nodes = stored(docs.select(node, F.col("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("key")), "nodes")
